@@ -1,0 +1,25 @@
+"""Broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
+    """Return ``broadcast(df)`` when it has at most ``max_rows`` rows, else
+    ``df`` unchanged, leaving the strategy to the planner and AQE.
+
+    The check is an exact, bounded count (``limit(max_rows + 1)``). With
+    ``materialize=True`` the side is first written to the session's
+    reliable checkpoint folder, so a computed side (an aggregate over a big
+    table) is evaluated once for both the check and the join, and survives
+    executor loss.
+    """
+    if materialize:
+        df = df.checkpoint(eager=True)
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
