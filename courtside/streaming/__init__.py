@@ -1 +1,5 @@
 """Incremental pickup of newly landed snapshot files."""
+
+from courtside.streaming.landing_stream import landing_stream_schema, stream_landing
+
+__all__ = ["landing_stream_schema", "stream_landing"]
