@@ -42,3 +42,29 @@ def made_label(flag) -> Column:
 def true_shooting(points, fga, fta) -> Column:
     """Points / (2 * (FGA + 0.44 * FTA)); NULL when attempts are missing or zero."""
     return F.try_divide(_c(points), F.lit(2) * (_c(fga) + F.lit(0.44) * _c(fta)))
+
+
+# SQL-text forms of the same ladders, for plans written as SQL expressions
+# (one parse on the JVM instead of one round trip per Column node).
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def tier_label_sql(win_pct: str, tiers=DEFAULT_TIERS, otherwise=DEFAULT_TIER_ELSE) -> str:
+    whens = " ".join(f"WHEN {win_pct} >= {b} THEN {_lit(l)}" for b, l in tiers)
+    return f"CASE {whens} WHEN {win_pct} IS NOT NULL THEN {_lit(otherwise)} END"
+
+
+def zone_label_sql(distance: str, bounds=DEFAULT_ZONE_BOUNDS, otherwise=DEFAULT_ZONE_ELSE) -> str:
+    whens = " ".join(f"WHEN {distance} < {b} THEN {_lit(l)}" for b, l in bounds)
+    return f"CASE {whens} WHEN {distance} IS NOT NULL THEN {_lit(otherwise)} END"
+
+
+def made_label_sql(flag: str) -> str:
+    return (f"CASE WHEN {flag} = 1 THEN {_lit(MADE_LABEL)} "
+            f"WHEN {flag} = 0 THEN {_lit(MISSED_LABEL)} END")

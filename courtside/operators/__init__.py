@@ -1,7 +1,7 @@
 """Generic DataFrame operators. They take column names as arguments and
 know nothing of the league domain."""
 
-from courtside.operators.broadcast import bounded_broadcast
+from courtside.operators.broadcast import bounded_broadcast, bounded_broadcasts
 from courtside.operators.topk import top_k, order_columns
 from courtside.operators.aggregate import rate_by_group, share_of_total
 from courtside.operators.ranking import seed_within, number_rows
@@ -9,6 +9,6 @@ from courtside.operators.extremes import arg_extreme
 from courtside.operators.snapshot import latest_snapshot
 
 __all__ = [
-    "bounded_broadcast", "top_k", "order_columns", "rate_by_group", "share_of_total",
+    "bounded_broadcast", "bounded_broadcasts", "top_k", "order_columns", "rate_by_group", "share_of_total",
     "seed_within", "number_rows", "arg_extreme", "latest_snapshot",
 ]

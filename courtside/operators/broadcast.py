@@ -23,3 +23,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         df = df.checkpoint(eager=True)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def within_rows(dfs, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[bool]:
+    """For each frame, whether it has at most ``max_rows`` rows; one job for all."""
+    dfs = list(dfs)
+    probe = None
+    for i, df in enumerate(dfs):
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("_side"))
+        probe = part if probe is None else probe.unionAll(part)
+    counts = {r["_side"]: r["n"] for r in
+              probe.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
+def bounded_broadcasts(dfs, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``bounded_broadcast`` for several small sides with one counting job."""
+    dfs = list(dfs)
+    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, within_rows(dfs, max_rows))]

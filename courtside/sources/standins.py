@@ -13,8 +13,9 @@ Plan shape, chosen for scale:
 * ``nation`` and ``region`` are broadcast only after an exact row-count
   check; ``supplier`` and ``customer`` grow with the data and are left to
   the planner and AQE;
-* money is summed as DECIMAL, so totals are exact and independent of
-  partitioning; counts and whole-number sums are exact by construction.
+* money is summed in whole cents (BIGINT), so totals are exact and
+  independent of partitioning; counts and whole-number sums are exact by
+  construction.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.functions.labels import made_label, tier_label, zone_label
-from courtside.functions.text import record_text
-from courtside.operators.broadcast import bounded_broadcast
+from courtside.functions.labels import made_label_sql, tier_label_sql, zone_label_sql
+from courtside.operators.broadcast import bounded_broadcasts, within_rows
 
 # Dimension tables at or below this many rows are broadcast.
 DIMENSION_MAX_ROWS = 10_000
@@ -37,154 +37,152 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     return df.select(*columns) if columns else df
 
 
-def _season_of_year(y):
+def _exprs(*texts: str) -> list:
+    return [F.expr(t) for t in texts]
+
+
+# Plans below are written as SQL expression text: each is parsed once on
+# the JVM, instead of costing one driver round trip per Column node.
+
+def _season_of_year_sql(y: str) -> str:
     """1997 -> '1997-98'; 1999 -> '1999-00'."""
-    return F.concat(y.cast("string"), F.lit("-"),
-                    F.lpad(((y + 1) % 100).cast("string"), 2, "0"))
+    return f"concat(CAST({y} AS STRING), '-', lpad(CAST(({y} + 1) % 100 AS STRING), 2, '0'))"
 
 
 def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One supplier = one player; one ship year = one season."""
-    li = read_table(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"])
-    flag_n = F.col("l_returnflag") == "N"
-    status_f = F.col("l_linestatus") == "F"
-    big = F.col("l_quantity") >= 40
-    totals = (li.groupBy(F.col("l_suppkey").alias("player_id"),
-                         F.year("l_shipdate").alias("y"))
-              .agg(F.count_distinct("l_orderkey").cast("int").alias("gp"),
-                   F.sum("l_quantity").alias("pts"),
-                   F.sum("l_linenumber").alias("ast"),
-                   F.sum(F.when(F.col("l_linestatus") == "O", 6).otherwise(3)).alias("reb"),
-                   F.sum(F.round(F.col("l_tax") * 100)).alias("stl"),
-                   F.sum(F.round(F.col("l_discount") * 100)).alias("blk"),
-                   F.count_if(flag_n).alias("fgm"),
-                   F.count(F.lit(1)).alias("fga"),
-                   F.count_if(status_f & (F.col("l_returnflag") == "R")).alias("ftm"),
-                   F.count_if(status_f).alias("fta"),
-                   F.count_if(big & (F.col("l_returnflag") == "A")).alias("tpm"),
-                   F.count_if(big).alias("tpa")))
-    nation = bounded_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]),
-                               DIMENSION_MAX_ROWS)
+    li = spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet")).selectExpr(
+        "l_suppkey AS player_id", "year(l_shipdate) AS y", "l_orderkey", "l_linenumber",
+        "l_quantity", "l_tax", "l_discount", "l_returnflag", "l_linestatus")
+    totals = li.groupBy("player_id", "y").agg(*_exprs(
+        "CAST(count(DISTINCT l_orderkey) AS INT) AS gp",
+        "sum(l_quantity) AS pts",
+        "sum(l_linenumber) AS ast",
+        "sum(CASE WHEN l_linestatus = 'O' THEN 6 ELSE 3 END) AS reb",
+        "sum(round(l_tax * 100)) AS stl",
+        "sum(round(l_discount * 100)) AS blk",
+        "count_if(l_returnflag = 'N') AS fgm",
+        "count(1) AS fga",
+        "count_if(l_linestatus = 'F' AND l_returnflag = 'R') AS ftm",
+        "count_if(l_linestatus = 'F') AS fta",
+        "count_if(l_quantity >= 40 AND l_returnflag = 'A') AS tpm",
+        "count_if(l_quantity >= 40) AS tpa"))
+    (nation,) = bounded_broadcasts(
+        [read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])], DIMENSION_MAX_ROWS)
     supplier = (read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
                 .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     j = totals.join(supplier, F.col("player_id") == F.col("s_suppkey"))
-    gp = F.col("gp")
-    return j.select(
-        F.col("player_id").cast("bigint").alias("player_id"),
-        F.col("s_name").alias("player_name"),
-        F.col("n_name").alias("team_abbreviation"),
-        gp.alias("games_played"),
-        (F.col("fga") / gp * 10).alias("minutes_per_game"),
-        (F.col("pts") / gp).alias("points_per_game"),
-        (F.col("ast") / gp).alias("assists_per_game"),
-        (F.col("reb") / gp).alias("rebounds_per_game"),
-        (F.col("stl") / gp).alias("steals_per_game"),
-        (F.col("blk") / gp).alias("blocks_per_game"),
-        F.try_divide(F.col("fgm"), F.nullif(F.col("fga"), F.lit(0))).alias("field_goal_pct"),
-        F.try_divide(F.col("tpm"), F.nullif(F.col("tpa"), F.lit(0))).alias("three_point_pct"),
-        F.try_divide(F.col("ftm"), F.nullif(F.col("fta"), F.lit(0))).alias("free_throw_pct"),
-        ((F.col("pts") + F.col("ast") + F.col("reb") + F.col("stl") + F.col("blk")
-          - (F.col("fga") - F.col("fgm")) - (F.col("fta") - F.col("ftm"))) / gp)
-        .alias("efficiency_rating"),
-        (F.col("pts") / (F.lit(2) * (F.col("fga") + F.lit(0.44) * F.col("fta"))))
-        .alias("true_shooting_pct"),
-        _season_of_year(F.col("y")).alias("season"),
+    return j.selectExpr(
+        "CAST(player_id AS BIGINT) AS player_id",
+        "s_name AS player_name",
+        "n_name AS team_abbreviation",
+        "gp AS games_played",
+        "fga / gp * 10 AS minutes_per_game",
+        "pts / gp AS points_per_game",
+        "ast / gp AS assists_per_game",
+        "reb / gp AS rebounds_per_game",
+        "stl / gp AS steals_per_game",
+        "blk / gp AS blocks_per_game",
+        "try_divide(fgm, nullif(fga, 0)) AS field_goal_pct",
+        "try_divide(tpm, nullif(tpa, 0)) AS three_point_pct",
+        "try_divide(ftm, nullif(fta, 0)) AS free_throw_pct",
+        "(pts + ast + reb + stl + blk - (fga - fgm) - (fta - ftm)) / gp AS efficiency_rating",
+        "pts / (2 * (fga + 0.44D * fta)) AS true_shooting_pct",
+        f"{_season_of_year_sql('y')} AS season",
     )
 
 
 def team_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nation = one team; one order year = one season."""
-    o = read_table(spark, sf_dir, "orders", [
-        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    won, lost = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
-    home = F.col("o_orderpriority") < "3"
-    price = F.col("o_totalprice").cast("decimal(14,2)")
+    o = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).selectExpr(
+        "o_custkey", "year(o_orderdate) AS y", "o_orderstatus = 'F' AS won",
+        "o_orderstatus = 'O' AS lost", "o_orderpriority < '3' AS home",
+        # money in exact cents: sums are exact and independent of partitioning
+        "CAST(round(o_totalprice * 100) AS BIGINT) AS cents")
     # Partial standings per customer and year; sums of these are exact.
-    per_customer = (o.groupBy("o_custkey", F.year("o_orderdate").alias("y"))
-                    .agg(F.count_if(won).alias("w"), F.count_if(lost).alias("l"),
-                         F.sum(F.when(won, price)).alias("pf"),
-                         F.sum(F.when(lost, price)).alias("pa"),
-                         F.count_if(won & home).alias("hw"), F.count_if(lost & home).alias("hl"),
-                         F.count_if(won & ~home).alias("aw"), F.count_if(lost & ~home).alias("al")))
+    per_customer = o.groupBy("o_custkey", "y").agg(*_exprs(
+        "count_if(won) AS w", "count_if(lost) AS l",
+        "sum(CASE WHEN won THEN cents END) AS pf", "sum(CASE WHEN lost THEN cents END) AS pa",
+        "count_if(won AND home) AS hw", "count_if(lost AND home) AS hl",
+        "count_if(won AND NOT home) AS aw", "count_if(lost AND NOT home) AS al"))
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     per_nation = (per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
                   .groupBy("c_nationkey", "y")
-                  .agg(*[F.sum(c).alias(c) for c in ("w", "l", "pf", "pa", "hw", "hl", "aw", "al")]))
-    geo = bounded_broadcast(
-        read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-        .join(bounded_broadcast(read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]),
-                                DIMENSION_MAX_ROWS),
-              F.col("n_regionkey") == F.col("r_regionkey")),
-        DIMENSION_MAX_ROWS)
+                  .agg(*_exprs(*[f"sum({c}) AS {c}"
+                                 for c in ("w", "l", "pf", "pa", "hw", "hl", "aw", "al")])))
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    # region's key is unique, so nation x region has at most nation's rows:
+    # both within the bound proves the joined side is too.
+    if all(within_rows([nation, region], DIMENSION_MAX_ROWS)):
+        geo = F.broadcast(geo)
     t = per_nation.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-    wins, losses = F.col("w").cast("int"), F.col("l").cast("int")
-    ppg = F.col("pf").cast("double") / 1000 / F.nullif(F.col("w"), F.lit(0))
-    oppg = F.col("pa").cast("double") / 1000 / F.nullif(F.col("l"), F.lit(0))
-    win_pct = F.try_divide(F.col("w"), F.nullif(F.col("w") + F.col("l"), F.lit(0)))
-    return t.select(
-        F.col("n_nationkey").cast("bigint").alias("team_id"),
-        F.col("r_name").alias("team_city"),
-        F.col("n_name").alias("team_name"),
-        F.col("n_name").alias("team_abbreviation"),
-        F.when(F.col("n_regionkey") % 2 == 0, "East").otherwise("West").alias("conference"),
-        F.col("r_name").alias("division"),
-        wins.alias("wins"), losses.alias("losses"),
-        (wins + losses).alias("total_games"),
-        win_pct.alias("win_pct"),
-        tier_label(win_pct).alias("win_pct_label"),
-        record_text("hw", "hl").alias("home_record"),
-        record_text("aw", "al").alias("away_record"),
-        F.lit(None).cast("string").alias("last_10_record"),
-        ppg.alias("points_per_game"),
-        oppg.alias("opp_points_per_game"),
-        (ppg - oppg).alias("point_differential"),
-        (ppg - oppg).alias("net_rating"),
-        F.col("y").cast("string").alias("season"),
+    t = t.selectExpr("*", "try_divide(w, nullif(w + l, 0)) AS _win_pct",
+                     "CAST(pf AS DOUBLE) / 100 / 1000 / nullif(w, 0) AS _ppg",
+                     "CAST(pa AS DOUBLE) / 100 / 1000 / nullif(l, 0) AS _oppg")
+    return t.selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS team_id",
+        "r_name AS team_city",
+        "n_name AS team_name",
+        "n_name AS team_abbreviation",
+        "CASE WHEN n_regionkey % 2 = 0 THEN 'East' ELSE 'West' END AS conference",
+        "r_name AS division",
+        "CAST(w AS INT) AS wins",
+        "CAST(l AS INT) AS losses",
+        "CAST(w AS INT) + CAST(l AS INT) AS total_games",
+        "_win_pct AS win_pct",
+        f"{tier_label_sql('_win_pct')} AS win_pct_label",
+        "format_string('%d-%d', hw, hl) AS home_record",
+        "format_string('%d-%d', aw, al) AS away_record",
+        "CAST(NULL AS STRING) AS last_10_record",
+        "_ppg AS points_per_game",
+        "_oppg AS opp_points_per_game",
+        "_ppg - _oppg AS point_differential",
+        "_ppg - _oppg AS net_rating",
+        "CAST(y AS STRING) AS season",
     )
 
 
 def shot_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event = one shot attempt. Narrow: no shuffle at all."""
-    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
-    k = F.regexp_extract("props", r"([0-9]+)", 1).try_cast("int")
-    gm = (F.hour("ts") * 60 + F.minute("ts")) % 48
-    dist = k % 40
-    flag = (F.when(F.col("event_type").isin("purchase", "signup"), F.lit(1))
-            .when(F.col("event_type") == "error", F.lit(None).cast("int"))
-            .otherwise(F.lit(0)))
-    loc_x = (F.col("event_id") % 500 - 250).cast("int")
-    return e.select(
-        F.to_date("ts").cast("string").alias("game_id"),
-        F.col("user_id").cast("bigint").alias("player_id"),
-        F.concat(F.lit("Player "), F.col("user_id").cast("string")).alias("player_name"),
-        F.lit(None).cast("bigint").alias("team_id"),
-        F.lit(None).cast("string").alias("team_name"),
-        (F.floor(gm / 12) + 1).cast("int").alias("period"),
-        (F.lit(11) - gm % 12).cast("int").alias("minutes_remaining"),
-        F.lit(0).alias("seconds_remaining"),
-        F.col("event_type"),
-        F.col("event_type").alias("action_type"),
-        F.when(dist >= 23, "3PT Field Goal").otherwise("2PT Field Goal").alias("shot_type"),
-        F.when(dist < 8, "Restricted Area").when(dist < 23, "Mid-Range")
-        .otherwise("Above the Break 3").alias("shot_zone_basic"),
-        F.when(loc_x < -83, "Left").when(loc_x < 83, "Center").otherwise("Right")
-        .alias("shot_zone_area"),
-        dist.cast("int").alias("shot_distance"),
-        loc_x.alias("loc_x"),
-        (F.col("event_id") % 470 - 47).cast("int").alias("loc_y"),
-        flag.alias("shot_made_flag"),
-        zone_label(dist).alias("shot_zone_label"),
-        made_label(flag).alias("made_label"),
-        F.when(F.dayofmonth("ts") <= 15, "2023-24").otherwise("2024-25").alias("season"),
+    e = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).selectExpr(
+        "event_id", "ts", "user_id", "event_type",
+        "try_cast(regexp_extract(props, '([0-9]+)', 1) AS INT) % 40 AS dist",
+        "(hour(ts) * 60 + minute(ts)) % 48 AS gm",
+        "CAST(event_id % 500 - 250 AS INT) AS loc_x",
+        "CASE WHEN event_type IN ('purchase', 'signup') THEN 1 "
+        "WHEN event_type = 'error' THEN CAST(NULL AS INT) ELSE 0 END AS flag")
+    return e.selectExpr(
+        "CAST(to_date(ts) AS STRING) AS game_id",
+        "CAST(user_id AS BIGINT) AS player_id",
+        "concat('Player ', CAST(user_id AS STRING)) AS player_name",
+        "CAST(NULL AS BIGINT) AS team_id",
+        "CAST(NULL AS STRING) AS team_name",
+        "CAST(floor(gm / 12) + 1 AS INT) AS period",
+        "CAST(11 - gm % 12 AS INT) AS minutes_remaining",
+        "0 AS seconds_remaining",
+        "event_type",
+        "event_type AS action_type",
+        "CASE WHEN dist >= 23 THEN '3PT Field Goal' ELSE '2PT Field Goal' END AS shot_type",
+        "CASE WHEN dist < 8 THEN 'Restricted Area' WHEN dist < 23 THEN 'Mid-Range' "
+        "ELSE 'Above the Break 3' END AS shot_zone_basic",
+        "CASE WHEN loc_x < -83 THEN 'Left' WHEN loc_x < 83 THEN 'Center' ELSE 'Right' END "
+        "AS shot_zone_area",
+        "CAST(dist AS INT) AS shot_distance",
+        "loc_x",
+        "CAST(event_id % 470 - 47 AS INT) AS loc_y",
+        "flag AS shot_made_flag",
+        f"{zone_label_sql('dist')} AS shot_zone_label",
+        f"{made_label_sql('flag')} AS made_label",
+        "CASE WHEN dayofmonth(ts) <= 15 THEN '2023-24' ELSE '2024-25' END AS season",
     )
 
 
 def event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as daily snapshots: ``date`` is the event's day."""
-    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    return e.withColumn("date", F.to_date("ts"))
+    return spark.read.parquet(os.path.join(sf_dir, "events.parquet")).selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value", "to_date(ts) AS date")
 
 
 STANDINS = {
