@@ -32,11 +32,11 @@ CONFERENCE = "East"
 
 
 def _players(spark, sf):
-    return standins.player_stats(spark, sf)
+    return standins.player_stats(spark, sf, PLAYER_SEASON)
 
 
 def _teams(spark, sf):
-    return standins.team_standings(spark, sf)
+    return standins.team_standings(spark, sf, TEAM_SEASON)
 
 
 def _shots(spark, sf):

@@ -32,11 +32,44 @@ from courtside.operators.broadcast import bounded_broadcasts, within_rows
 DIMENSION_MAX_ROWS = 10_000
 
 
+# Declared input schemas (only the columns the stand-ins read): no schema
+# inference job per read, and the scan's ReadSchema is exactly these.
+INPUT_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "orders": "o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in INPUT_SCHEMAS:
+        reader = reader.schema(INPUT_SCHEMAS[name])
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*columns) if columns else df
 
 
+def _year_range(column: str, first_year: int, last_year: int) -> str:
+    """A range predicate the Parquet scan can push down (row-group pruning)."""
+    return (f"{column} >= TIMESTAMP_NTZ'{first_year}-01-01 00:00:00' AND "
+            f"{column} < TIMESTAMP_NTZ'{last_year + 1}-01-01 00:00:00'")
+
+
+def _season_start_year(season: str | None) -> int | None:
+    """'1997-98' or '1998' -> 1997 / 1998; anything else -> None (no pruning)."""
+    if season and len(season) >= 4 and season[:4].isdigit():
+        return int(season[:4])
+    return None
+
+
 def _exprs(*texts: str) -> list:
     return [F.expr(t) for t in texts]
 
@@ -49,9 +82,18 @@ def _season_of_year_sql(y: str) -> str:
     return f"concat(CAST({y} AS STRING), '-', lpad(CAST(({y} + 1) % 100 AS STRING), 2, '0'))"
 
 
-def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One supplier = one player; one ship year = one season."""
-    li = spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet")).selectExpr(
+def player_stats(spark: SparkSession, sf_dir: str, season: str | None = None) -> DataFrame:
+    """One supplier = one player; one ship year = one season.
+
+    With ``season`` the table holds that season only, and the season's
+    ship-date range is applied at the scan, before aggregating, as a
+    season-partitioned processed table would prune its folders.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    y0 = _season_start_year(season)
+    if y0 is not None:
+        li = li.where(_year_range("l_shipdate", y0, y0))
+    li = li.selectExpr(
         "l_suppkey AS player_id", "year(l_shipdate) AS y", "l_orderkey", "l_linenumber",
         "l_quantity", "l_tax", "l_discount", "l_returnflag", "l_linestatus")
     totals = li.groupBy("player_id", "y").agg(*_exprs(
@@ -72,7 +114,7 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = (read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
                 .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     j = totals.join(supplier, F.col("player_id") == F.col("s_suppkey"))
-    return j.selectExpr(
+    out = j.selectExpr(
         "CAST(player_id AS BIGINT) AS player_id",
         "s_name AS player_name",
         "n_name AS team_abbreviation",
@@ -90,11 +132,17 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pts / (2 * (fga + 0.44D * fta)) AS true_shooting_pct",
         f"{_season_of_year_sql('y')} AS season",
     )
+    return out if season is None else out.where(F.col("season") == season)
 
 
-def team_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nation = one team; one order year = one season."""
-    o = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).selectExpr(
+def team_standings(spark: SparkSession, sf_dir: str, season: str | None = None) -> DataFrame:
+    """One nation = one team; one order year = one season (``season`` as in
+    ``player_stats``)."""
+    o = read_table(spark, sf_dir, "orders")
+    y0 = _season_start_year(season)
+    if y0 is not None:
+        o = o.where(_year_range("o_orderdate", y0, y0))
+    o = o.selectExpr(
         "o_custkey", "year(o_orderdate) AS y", "o_orderstatus = 'F' AS won",
         "o_orderstatus = 'O' AS lost", "o_orderpriority < '3' AS home",
         # money in exact cents: sums are exact and independent of partitioning
@@ -121,7 +169,7 @@ def team_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = t.selectExpr("*", "try_divide(w, nullif(w + l, 0)) AS _win_pct",
                      "CAST(pf AS DOUBLE) / 100 / 1000 / nullif(w, 0) AS _ppg",
                      "CAST(pa AS DOUBLE) / 100 / 1000 / nullif(l, 0) AS _oppg")
-    return t.selectExpr(
+    out = t.selectExpr(
         "CAST(n_nationkey AS BIGINT) AS team_id",
         "r_name AS team_city",
         "n_name AS team_name",
@@ -142,11 +190,12 @@ def team_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_ppg - _oppg AS net_rating",
         "CAST(y AS STRING) AS season",
     )
+    return out if season is None else out.where(F.col("season") == season)
 
 
 def shot_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event = one shot attempt. Narrow: no shuffle at all."""
-    e = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).selectExpr(
+    e = read_table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id", "event_type",
         "try_cast(regexp_extract(props, '([0-9]+)', 1) AS INT) % 40 AS dist",
         "(hour(ts) * 60 + minute(ts)) % 48 AS gm",
@@ -181,7 +230,7 @@ def shot_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as daily snapshots: ``date`` is the event's day."""
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet")).selectExpr(
+    return read_table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value", "to_date(ts) AS date")
 
 
