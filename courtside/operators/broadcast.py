@@ -25,16 +25,40 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows else df
 
 
+# Row-count checks of file-backed frames, per session: the key is the
+# frame's semantic plan hash and its exact input file list (Spark writes
+# new file names on every write, so changed data gives a new key).
+_CHECKED: dict = {}
+
+
+def _memo_key(df: DataFrame, max_rows: int):
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:
+        return None
+    if not files:
+        return None
+    return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
+
+
 def within_rows(dfs, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[bool]:
-    """For each frame, whether it has at most ``max_rows`` rows; one job for all."""
-    dfs = list(dfs)
-    probe = None
-    for i, df in enumerate(dfs):
-        part = df.limit(max_rows + 1).select(F.lit(i).alias("_side"))
-        probe = part if probe is None else probe.unionAll(part)
-    counts = {r["_side"]: r["n"] for r in
-              probe.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    """For each frame, whether it has at most ``max_rows`` rows.
+
+    ``take(max_rows + 1)`` stops reading as soon as the bound is passed and
+    needs no shuffle; results for file-backed frames are remembered for the
+    session.
+    """
+    out = []
+    for df in dfs:
+        key = _memo_key(df, max_rows)
+        if key is not None and key in _CHECKED:
+            out.append(_CHECKED[key])
+            continue
+        ok = len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
+        if key is not None:
+            _CHECKED[key] = ok
+        out.append(ok)
+    return out
 
 
 def bounded_broadcasts(dfs, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.operators.broadcast import bounded_broadcast, DEFAULT_MAX_BROADCAST_ROWS
+from courtside.session import ensure_checkpoint_dir
 
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], date_col: str = "date",
@@ -25,6 +26,7 @@ def latest_snapshot(df: DataFrame, keys: Sequence[str], date_col: str = "date",
     uses a shuffle join (AQE splits skewed keys).
     """
     keys = list(keys)
+    ensure_checkpoint_dir(df.sparkSession)
     newest = df.groupBy(*keys).agg(F.max(date_col).alias(date_col))
     newest = bounded_broadcast(newest, max_broadcast_rows, materialize=True)
     return df.join(newest, on=[*keys, date_col], how="left_semi")
