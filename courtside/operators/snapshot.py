@@ -11,22 +11,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.operators.broadcast import bounded_broadcast, DEFAULT_MAX_BROADCAST_ROWS
 from courtside.session import ensure_checkpoint_dir
 
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], date_col: str = "date",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = 100_000) -> DataFrame:
     """Rows whose ``date_col`` is the newest for their ``keys``.
 
     The newest-date side reads only key and date columns and is reduced by
-    a partial aggregate, then written once to the checkpoint folder. When
-    it is within ``max_broadcast_rows`` it is broadcast to a left-semi
-    join, so the full table is never shuffled; beyond that the planner
-    uses a shuffle join (AQE splits skewed keys).
+    a partial aggregate. One job computes it; when it has at most
+    ``max_broadcast_rows`` rows (one per key: a season, or a season and
+    player) those rows are the broadcast side of a left-semi join, so the
+    full table is never shuffled. Beyond the bound the side is written
+    once to the shared checkpoint folder and joined with a shuffle join
+    (AQE splits skewed keys).
     """
     keys = list(keys)
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     newest = df.groupBy(*keys).agg(F.max(date_col).alias(date_col))
-    newest = bounded_broadcast(newest, max_broadcast_rows, materialize=True)
-    return df.join(newest, on=[*keys, date_col], how="left_semi")
+    rows = newest.take(max_broadcast_rows + 1)
+    if len(rows) <= max_broadcast_rows:
+        small = spark.createDataFrame(rows, newest.schema) if rows else \
+            spark.createDataFrame([], newest.schema)
+        return df.join(F.broadcast(small), on=[*keys, date_col], how="left_semi")
+    ensure_checkpoint_dir(spark)
+    return df.join(newest.checkpoint(eager=True), on=[*keys, date_col], how="left_semi")

@@ -403,6 +403,12 @@ FROM team_standings WHERE season = '{TEAM_SEASON}'""",
 SELECT season, shot_zone_label, made_label, CAST(COUNT(*) AS BIGINT) AS attempts
 FROM shot_charts GROUP BY season, shot_zone_label, made_label""",
 
+    "l_teams": _with(_T) + f"""
+SELECT * FROM team_standings WHERE season = '{TEAM_SEASON}'""",
+
+    "l_shots": _with(_S) + f"""
+SELECT * FROM shot_charts WHERE season = '{SHOT_SEASON}'""",
+
     "n_latest": """
 WITH e AS (SELECT user_id, value, CAST(ts AS DATE) AS date FROM events)
 SELECT user_id, date, CAST(COUNT(*) AS BIGINT) AS events,

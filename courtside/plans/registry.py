@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from courtside.operators.snapshot import latest_snapshot
 from courtside.plans import dashboard as D
+from courtside.plans import landed as L
 from courtside.plans import players as P
 from courtside.plans import shots as S
 from courtside.plans import teams as T
@@ -114,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "n_derive_teams": n_derive_teams,
     "n_derive_shots": n_derive_shots,
     "n_latest": n_latest,
+    # landing round trips: CSV with drifting headers -> processed tables
+    "l_teams": lambda s, sf: L.l_teams(s, sf, TEAM_SEASON),
+    "l_shots": lambda s, sf: L.l_shots(s, sf, SHOT_SEASON),
 }

@@ -28,16 +28,22 @@ def snapshot_path(root: str, dataset: str, season: str, date: str,
     return p if entity_id is None else f"{p}/player_id={entity_id}"
 
 
-def land_snapshot(df: DataFrame, root: str, dataset: str, season: str, date: str,
+def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, date: str,
                   by_player: bool = False) -> str:
     """Write one snapshot as headered CSV under ``season=/date=`` (and
     ``player_id=`` for per-player shot files), replacing only those
-    partitions. Landing players one after another keeps the others."""
+    partitions. Landing players one after another keeps the others.
+    ``season=None`` takes each row's own ``season`` column (a multi-season
+    snapshot in one distributed write)."""
     parts = ["season", "date"] + (["player_id"] if by_player else [])
-    out = df.withColumns({"season": F.lit(season), "date": F.lit(date)})
+    out = df.withColumn("date", F.lit(date))
+    if season is not None:
+        out = out.withColumn("season", F.lit(season))
+    elif "season" not in df.columns:
+        raise KeyError("season=None needs a 'season' column")
     (_dynamic(out).option("header", True).partitionBy(*parts)
      .csv(f"{root.rstrip('/')}/{dataset}"))
-    return snapshot_path(root, dataset, season, date)
+    return snapshot_path(root, dataset, season or "*", date)
 
 
 def _land_one(dataset: str, entity_id, df: DataFrame, root: str, season: str, date: str,

@@ -11,12 +11,10 @@ Two traps decide how files are read:
   to all of them.
 
 So columns are bound by header name, and every distinct header shape is
-read in its own scan: one cheap text pass finds the header line of every
-file (only lines made entirely of known column names qualify), the few
-distinct shapes come to the driver, and each shape's scan keeps only its
-own files through a left-semi join on the file path. With a single shape,
-the common case, that is one CSV scan. Names then resolve
-case-insensitively and the shapes are unioned by name.
+read in its own scan: one text pass finds the header line of every file
+(only lines made entirely of known column names qualify), and each shape
+is read with its own header as schema from its own files. Names then
+resolve case-insensitively per shape and the shapes are unioned by name.
 """
 
 from __future__ import annotations
@@ -34,7 +32,10 @@ from courtside.operators.broadcast import bounded_broadcast
 # More distinct header shapes than this in one read means the folder is
 # not a landing folder of this dataset.
 MAX_HEADER_SHAPES = 16
-# Up to this many files, the file list of a shape is broadcast.
+# Up to this many landed files, the file -> header map is listed on the
+# driver and each shape reads its own files; beyond, shapes are separated
+# with a (broadcast, if at most MAX_BROADCAST_FILES) semi-join on the path.
+MAX_LISTED_FILES = 100_000
 MAX_BROADCAST_FILES = 1_000_000
 
 
@@ -90,31 +91,47 @@ def _glob(root: str, dataset: str, season: str | None, date: str | None) -> tupl
     return base, f"{base}/season={season or '*'}/date={date or '*'}"
 
 
+def _shape_schema(header: str) -> T.StructType:
+    names = [t.strip().strip('"') for t in header.split(",")]
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
 def _read_layout(spark: SparkSession, base: str, pattern: str, dataset: str) -> list[DataFrame]:
-    """All header shapes of the files matching ``pattern``; [] if none match."""
+    """All header shapes of the files matching ``pattern``; [] if none match.
+
+    One job finds every file's header line. When there are at most
+    ``MAX_LISTED_FILES`` files, the (file, header) pairs come to the driver
+    and each shape is read from its own file list; beyond that only the
+    distinct shapes come back and each shape's scan keeps its files with a
+    left-semi join on the file path.
+    """
     try:
         lines = spark.read.option("basePath", base).text(pattern)
     except AnalysisException:
         return []
     headers = (lines.where(_is_header(dataset))
                .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_hdr")))
+    reader = (spark.read.option("header", True).option("basePath", base)
+              .option("mode", "PERMISSIVE").option("enforceSchema", True))
+    listed = headers.take(MAX_LISTED_FILES + 1)
+    if len(listed) <= MAX_LISTED_FILES:
+        by_shape: dict[str, list[str]] = {}
+        for r in listed:
+            by_shape.setdefault(r["_hdr"], []).append(r["_file"])
+        if len(by_shape) > MAX_HEADER_SHAPES:
+            raise ValueError(f"more than {MAX_HEADER_SHAPES} header shapes under {pattern}")
+        return [reader.schema(_shape_schema(h)).csv(sorted(files)) for h, files in by_shape.items()]
     shapes = [r["_hdr"] for r in
               headers.select("_hdr").distinct().limit(MAX_HEADER_SHAPES + 1).collect()]
     if len(shapes) > MAX_HEADER_SHAPES:
         raise ValueError(f"more than {MAX_HEADER_SHAPES} header shapes under {pattern}")
-    reader = spark.read.option("header", True).option("basePath", base).option("mode", "PERMISSIVE")
-    if len(shapes) <= 1:
-        return [reader.csv(pattern)] if shapes else []
     frames = []
     for hdr in shapes:
-        names = [t.strip().strip('"') for t in hdr.split(",")]
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         files = bounded_broadcast(headers.where(F.col("_hdr") == hdr).select("_file"),
                                   MAX_BROADCAST_FILES)
-        df = (reader.schema(schema).option("enforceSchema", True).csv(pattern)
-              .withColumn("_file", F.col("_metadata.file_path"))
-              .join(files, "_file", "left_semi").drop("_file"))
-        frames.append(df)
+        frames.append(reader.schema(_shape_schema(hdr)).csv(pattern)
+                      .withColumn("_file", F.col("_metadata.file_path"))
+                      .join(files, "_file", "left_semi").drop("_file"))
     return frames
 
 
