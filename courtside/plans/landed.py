@@ -55,12 +55,14 @@ def l_teams(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
 
 
 def l_shots(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
-    """Shots landed one folder per player on two days, upper-case headers, read back."""
+    """Shots landed on two days with upper-case upstream headers, read back."""
     shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)
     root = scratch_path(spark, "landed")
     upstream = [F.col(c).alias(c.upper()) if c != "player_id" else F.col(c)
                 for c in SHOT_COLUMNS] + [F.col("season")]
     stale = shots.withColumn("shot_distance", F.col("shot_distance") + 1)
-    land_snapshot(stale.select(*upstream), root, "shot_charts", None, OLD_DATE, by_player=True)
-    land_snapshot(shots.select(*upstream), root, "shot_charts", None, NEW_DATE, by_player=True)
+    # A bulk landing of every player writes one date folder (a few large
+    # files); one folder per player and day is for landing players singly.
+    land_snapshot(stale.select(*upstream), root, "shot_charts", None, OLD_DATE)
+    land_snapshot(shots.select(*upstream), root, "shot_charts", None, NEW_DATE)
     return process(read_landing(spark, root, "shot_charts", season=season), "shot_charts")
