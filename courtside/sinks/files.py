@@ -9,6 +9,7 @@ failed job replaces its own output and nothing else.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,13 @@ def _land_one(dataset: str, entity_id, df: DataFrame, root: str, season: str, da
         return (dataset, entity_id, "error", None, None, f"{type(e).__name__}: {e}"[:2000])
 
 
+def run_date() -> str:
+    """Today's date in UTC as ``YYYY-MM-DD``: the landing folder of a run."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d")
+
+
 def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int, DataFrame]],
-             root: str, season: str, date: str) -> DataFrame:
+             root: str, season: str, date: str | None = None) -> DataFrame:
     """Land every dataset and return a manifest
     ``[dataset, entity_id, status, rows, path, message]``.
 
@@ -70,6 +76,7 @@ def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int,
     written. Row counts come from ``observe`` on the write itself, so no
     second pass over the data is made.
     """
+    date = date or run_date()
     rows = []
     for dataset, value in frames.items():
         if isinstance(value, Mapping):

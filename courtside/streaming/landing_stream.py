@@ -8,9 +8,12 @@ stream is stateless; choosing the newest snapshot stays a batch step
 downstream (``courtside.operators.latest_snapshot``), so no streaming
 state grows with the data.
 
-A stream has one schema, so landed headers must already be canonical
-(our ``land_snapshot`` writes them so); ``enforceSchema=false`` makes a
-file whose header disagrees fail instead of binding columns by position.
+A stream has one schema, so landed headers must already be canonical and
+in one layout: our bulk ``land_snapshot`` (one folder per season and date,
+canonical headers, season and date in the folder names).
+``enforceSchema=false`` makes a file whose header disagrees fail instead
+of binding columns by position; drifting upstream headers go through the
+batch ``read_landing`` instead.
 """
 
 from __future__ import annotations
@@ -28,13 +31,11 @@ from courtside.session import checkpoint_root
 
 
 def landing_stream_schema(dataset: str) -> T.StructType:
-    """All-string canonical columns plus the partition columns."""
-    cols = [c for c in RAW_COLUMNS[dataset] if not (dataset == "shot_charts" and c == "player_id")]
-    fields = [T.StructField(c, T.StringType(), True) for c in cols]
+    """All-string canonical columns in landed order, plus the partition
+    columns ``season`` and ``date`` (taken from the folder names)."""
+    fields = [T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[dataset]]
     fields += [T.StructField("season", T.StringType(), True),
                T.StructField("date", T.StringType(), True)]
-    if dataset == "shot_charts":
-        fields.append(T.StructField("player_id", T.StringType(), True))
     return T.StructType(fields)
 
 

@@ -193,3 +193,22 @@ def test_stream_landing_processes_only_new_files(spark, workdir):
     assert got.count() == 2
     assert sorted(r.wins for r in got.collect()) == [10, 11]
     assert dict(got.dtypes)["wins"] == "int" and "net_rating" in got.columns
+
+
+def test_stream_landing_shots_bulk_layout(spark, workdir):
+    root, out, ck = f"{workdir}/landing", f"{workdir}/processed/shot_charts", f"{workdir}/ck"
+    from courtside.schemas import SHOT_COLUMNS
+    row = ("0022400001", "7", "A", "1", "Hawks", "4", "5", "10", "Made Shot", "Jump Shot",
+           "2PT Field Goal", "Mid-Range", "Center(C)", "12", "10", "20", "1")
+    df = spark.createDataFrame([row, row], ", ".join(f"{c} string" for c in SHOT_COLUMNS))
+    land_snapshot(df, root, "shot_charts", "2024-25", "2025-01-01")
+    stream_landing(spark, root, "shot_charts", out, checkpoint=ck)
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 2 and got[0].game_id == "0022400001" and got[0].shot_zone_label == "Mid"
+    assert got[0].player_id == 7 and got[0].made_label == "Made"
+
+
+def test_run_date_format():
+    from courtside.sinks.files import run_date
+    d = run_date()
+    assert len(d) == 10 and d[4] == "-" and d[7] == "-"
