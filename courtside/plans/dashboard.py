@@ -43,8 +43,10 @@ def d_players(players: DataFrame, season: str, min_games: int = 20, k: int = 50)
     )
 
 
-def d_standings(teams: DataFrame, season: str) -> DataFrame:
-    """Standings for the team page, best record first."""
+def d_standings(teams: DataFrame, season: str, ordered: bool = True) -> DataFrame:
+    """Standings for the team page, best record first. Cards and display
+    tables take ``ordered=False``: they number rows themselves, so a
+    global sort here would only add a range shuffle."""
     df = teams.where(F.col("season") == season).select(
         display_name("team_city", "team_name").alias("team"), "team_id",
         "team_abbreviation", "conference", "division", "wins", "losses", "win_pct",
@@ -53,7 +55,9 @@ def d_standings(teams: DataFrame, season: str) -> DataFrame:
         F.col("opp_points_per_game").alias("opp_ppg"),
         "net_rating", "home_record", "away_record", "last_10_record",
     )
-    return top_k(df, "win_pct", None, tiebreak=TEAM_TIEBREAK).drop("team_id")
+    if ordered:
+        df = top_k(df, "win_pct", None, tiebreak=TEAM_TIEBREAK)
+    return df.drop("team_id")
 
 
 def d_shooters(shots: DataFrame, season: str) -> DataFrame:

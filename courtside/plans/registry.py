@@ -48,8 +48,8 @@ def _d_players(spark, sf):
     return D.d_players(_players(spark, sf), PLAYER_SEASON)
 
 
-def _d_standings(spark, sf):
-    return D.d_standings(_teams(spark, sf), TEAM_SEASON)
+def _d_standings(spark, sf, ordered=True):
+    return D.d_standings(_teams(spark, sf), TEAM_SEASON, ordered=ordered)
 
 
 def _d_shots(spark, sf):
@@ -101,14 +101,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d_shots": _d_shots,
     # cards
     "k_players": lambda s, sf: D.k_players(_d_players(s, sf)),
-    "k_teams": lambda s, sf: D.k_teams(_d_standings(s, sf)),
+    "k_teams": lambda s, sf: D.k_teams(_d_standings(s, sf, ordered=False)),
     "k_shots": lambda s, sf: D.k_shots(_d_shots(s, sf)),
     "k_zones": lambda s, sf: D.k_zones(_d_shots(s, sf)),
     "k_clutch": lambda s, sf: D.k_clutch(_d_shots(s, sf)),
     # display tables
     "r_top15": lambda s, sf: D.r_top15(_d_players(s, sf)),
     "r_scatter": lambda s, sf: D.r_scatter(_d_players(s, sf)),
-    "r_conf": lambda s, sf: D.r_conf(_d_standings(s, sf), CONFERENCE),
+    "r_conf": lambda s, sf: D.r_conf(_d_standings(s, sf, ordered=False), CONFERENCE),
     "r_player_table": lambda s, sf: D.r_player_table(_d_players(s, sf)),
     "r_shot_points": lambda s, sf: D.r_shot_points(_d_shots(s, sf)),
     # normalize / derive steps on the stand-ins
