@@ -113,7 +113,8 @@ def _read_layout(spark: SparkSession, base: str, pattern: str, dataset: str) ->
                .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_hdr")))
     reader = (spark.read.option("header", True).option("basePath", base)
               .option("mode", "PERMISSIVE").option("enforceSchema", True))
-    listed = headers.take(MAX_LISTED_FILES + 1)
+    # header lines are sparse (one per file): a global limit is one job
+    listed = headers.limit(MAX_LISTED_FILES + 1).collect()
     if len(listed) <= MAX_LISTED_FILES:
         by_shape: dict[str, list[str]] = {}
         for r in listed:

@@ -212,3 +212,18 @@ def test_run_date_format():
     from courtside.sinks.files import run_date
     d = run_date()
     assert len(d) == 10 and d[4] == "-" and d[7] == "-"
+
+
+def test_run_daily_lands_processes_and_registers(spark, workdir):
+    from courtside.plans.pipeline import run_daily
+    players = spark.createDataFrame(
+        [("7", "A Player", "ATL", "30", "34", "25.5", "5", "6", "1", "1", "0.5", "0.4", "0.8", "25")],
+        "PLAYER_ID string, PLAYER string, TEAM string, GP string, MIN string, PTS string, "
+        "AST string, REB string, STL string, BLK string, FG_PCT string, FG3_PCT string, "
+        "FT_PCT string, EFF string")
+    m = run_daily(spark, {"player_stats": players}, f"{workdir}/raw", f"{workdir}/processed",
+                  "2024-25", "2025-01-02", database="cs_daily", datasets=("player_stats",))
+    assert [r.status for r in m.collect()] == ["success"]
+    got = run_query(spark, "p_top20", players="cs_daily.player_stats", season="2024-25",
+                    min_games=20).collect()
+    assert [(r.player_name, r.ppg) for r in got] == [("A Player", 25.5)]
