@@ -27,10 +27,3 @@ def seed_within(df: DataFrame, group: Sequence[str] | str, by, tiebreak: Sequenc
     if k is not None:
         out = out.where(F.col(name) <= k)
     return out
-
-
-def number_rows(df: DataFrame, by, descending: bool = True, tiebreak: Sequence = (),
-                name: str = "position") -> DataFrame:
-    """1-based position over a small, already limited frame (display order)."""
-    w = Window.orderBy(*order_columns(by, descending, tiebreak))
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))

@@ -1,10 +1,9 @@
 """Dashboard queries (``d_*``), its cards (``k_*``) and display tables (``r_*``).
 
 ``d_*`` read a processed table; ``k_*`` and ``r_*`` take a ``d_*`` frame.
-Card rows are one aggregate each (several ``max_by`` / filtered terms in
-one pass), never one job per card. ``d_players`` and ``d_standings`` are
-bounded (top 50; one row per team), so the display-order numbering used
-for ties runs on at most that many rows.
+Card rows are one aggregate each (several ``min_by`` / filtered terms in
+one pass), never one job per card; ties go to the first row in display
+order through a sortable display key, so no row numbering is needed.
 """
 
 from __future__ import annotations
@@ -15,8 +14,8 @@ from pyspark.sql import functions as F
 from courtside.functions.rates import pct_rate
 from courtside.functions.text import display_name, percent_text, record_text, signed_text
 from courtside.operators.aggregate import rate_by_group
-from courtside.operators.extremes import arg_extreme
-from courtside.operators.ranking import number_rows, seed_within
+from courtside.operators.extremes import arg_extreme, display_key, first_in_order
+from courtside.operators.ranking import seed_within
 from courtside.operators.topk import top_k
 from courtside.plans.shots import clutch_condition
 from courtside.schemas import THREE_POINT_SHOT_TYPE
@@ -80,33 +79,31 @@ def d_shots(shots: DataFrame, season: str, player_name: str) -> DataFrame:
 
 def k_players(d: DataFrame) -> DataFrame:
     """Scoring leader, top efficiency, best FG%, best 3PT% over the ``d_players`` rows."""
-    d = number_rows(d, "ppg", tiebreak=["player_name"], name="_ord")
-    o = F.col("_ord")
+    key = display_key("ppg", tiebreak=["player_name"])
     return d.agg(
-        F.min_by("player_name", o).alias("scoring_leader"),
-        F.min_by("ppg", o).alias("scoring_leader_ppg"),
-        arg_extreme("player_name", "efficiency", o).alias("top_efficiency_player"),
+        first_in_order("player_name", key).alias("scoring_leader"),
+        first_in_order("ppg", key).alias("scoring_leader_ppg"),
+        arg_extreme("player_name", "efficiency", key).alias("top_efficiency_player"),
         F.round(F.max("efficiency"), 1).alias("top_efficiency"),
-        arg_extreme("player_name", "fg_pct", o).alias("best_fg_player"),
+        arg_extreme("player_name", "fg_pct", key).alias("best_fg_player"),
         F.round(F.max("fg_pct") * 100, 1).alias("best_fg_pct"),
-        arg_extreme("player_name", "three_pct", o).alias("best_three_player"),
+        arg_extreme("player_name", "three_pct", key).alias("best_three_player"),
         F.round(F.max("three_pct") * 100, 1).alias("best_three_pct"),
     )
 
 
 def k_teams(d: DataFrame) -> DataFrame:
     """Best record, best net rating, top offense, top defense over ``d_standings``."""
-    d = number_rows(d, "win_pct", tiebreak=["team"], name="_ord")
-    o = F.col("_ord")
+    key = display_key("win_pct", tiebreak=["team"])
     return d.agg(
-        F.min_by("team", o).alias("best_record_team"),
-        F.min_by(record_text("wins", "losses"), o).alias("best_record"),
-        arg_extreme("team", "net_rating", o).alias("best_net_team"),
+        first_in_order("team", key).alias("best_record_team"),
+        first_in_order(record_text("wins", "losses"), key).alias("best_record"),
+        arg_extreme("team", "net_rating", key).alias("best_net_team"),
         F.round(F.max("net_rating"), 1).alias("best_net_rating"),
         signed_text(F.max("net_rating")).alias("best_net_text"),
-        arg_extreme("team", "ppg", o).alias("top_offense_team"),
+        arg_extreme("team", "ppg", key).alias("top_offense_team"),
         F.round(F.max("ppg"), 1).alias("top_offense_ppg"),
-        arg_extreme("team", "opp_ppg", o, largest=False).alias("top_defense_team"),
+        arg_extreme("team", "opp_ppg", key, largest=False).alias("top_defense_team"),
         F.round(F.min("opp_ppg"), 1).alias("top_defense_opp_ppg"),
     )
 

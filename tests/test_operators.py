@@ -65,12 +65,18 @@ def test_seed_within_no_gaps_and_limit(spark):
 
 
 def test_arg_extreme_ties_nan_null(spark):
+    from courtside.operators import display_key, first_in_order
     df = spark.createDataFrame(
-        [("a", 5.0, 1), ("b", 9.0, 2), ("c", 9.0, 3), ("d", float("nan"), 4), ("e", None, 5)],
-        "name string, v double, ord int")
-    r = df.agg(arg_extreme("name", "v", "ord").alias("mx"),
-               arg_extreme("name", "v", "ord", largest=False).alias("mn")).collect()[0]
-    assert r.mx == "b" and r.mn == "a"
+        [("a", 5.0, 1.0), ("b", 9.0, 3.0), ("c", 9.0, 2.0), ("d", float("nan"), 4.0),
+         ("e", None, 5.0), ("f", 1.0, None)],
+        "name string, v double, ppg double")
+    key = display_key("ppg", tiebreak=["name"])  # display order: e d b c a f
+    r = df.agg(arg_extreme("name", "v", key).alias("mx"),
+               arg_extreme("name", "v", key, largest=False).alias("mn"),
+               first_in_order("name", key).alias("first")).collect()[0]
+    assert r.mx == "b" and r.mn == "f" and r.first == "e"
+    plan = df.agg(first_in_order("name", key))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
 
 
 def test_latest_snapshot_keys_and_idempotent(spark):
