@@ -3,7 +3,7 @@ built-in functions, so expressions stay JVM-side inside codegen."""
 
 from courtside.functions.coerce import to_double, to_int, to_long, nan_to_null
 from courtside.functions.labels import tier_label, zone_label, made_label, true_shooting
-from courtside.functions.rates import pct_rate, pct_of, conditional_rate
+from courtside.functions.rates import pct_rate, pct_of
 from courtside.functions.text import (
     percent_text, signed_text, record_text, one_decimal_text, display_name, thousands_text,
 )
@@ -11,7 +11,7 @@ from courtside.functions.text import (
 __all__ = [
     "to_double", "to_int", "to_long", "nan_to_null",
     "tier_label", "zone_label", "made_label", "true_shooting",
-    "pct_rate", "pct_of", "conditional_rate",
+    "pct_rate", "pct_of",
     "percent_text", "signed_text", "record_text", "one_decimal_text", "display_name",
     "thousands_text",
 ]

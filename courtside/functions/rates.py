@@ -26,20 +26,3 @@ def pct_rate(numerator, denominator, digits: int = 1) -> Column:
 def pct_of(value, digits: int = 1) -> Column:
     """round(value * 100, digits) for a fraction stored as DOUBLE."""
     return F.round(_c(value) * F.lit(100), digits)
-
-
-def conditional_rate(flag, condition=None, denominator: str = "non_null") -> Column:
-    """Aggregate: percent of ``flag`` among rows meeting ``condition``.
-
-    denominator="rows": SUM(flag)*100/COUNT(*); "non_null": AVG(flag)*100,
-    i.e. NULL flags are not attempts. No qualifying row gives NULL.
-    """
-    f = _c(flag)
-    if condition is not None:
-        f = F.when(condition, f)
-    if denominator == "rows":
-        n = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-        return F.try_divide(F.sum(f).cast("double") * F.lit(100.0), n)
-    if denominator == "non_null":
-        return F.avg(f) * F.lit(100.0)
-    raise ValueError(f"denominator must be 'rows' or 'non_null', not {denominator!r}")

@@ -164,3 +164,29 @@ def test_kpi_scope_is_the_top_rows_only(spark):
     k = D.k_players(d).collect()[0]
     assert k.scoring_leader == "p00" and k.top_efficiency_player == "p00"  # tie -> display order
     assert k.top_efficiency == 20.0 and k.best_fg_pct == 50.0
+
+
+PLAYER_COLS = ("player_id long, player_name string, team_abbreviation string, games_played int, "
+               "minutes_per_game double, points_per_game double, assists_per_game double, "
+               "rebounds_per_game double, steals_per_game double, blocks_per_game double, "
+               "field_goal_pct double, three_point_pct double, free_throw_pct double, "
+               "efficiency_rating double, true_shooting_pct double, season string")
+
+
+def _player(i, name, gp, ppg, apg=1.0, rpg=1.0):
+    return (i, name, "T", gp, 30.0, ppg, apg, rpg, 1.0, 1.0, 0.5, None, 0.8, 10.0, None, "S")
+
+
+def test_thresholds_inclusive_and_tie_at_the_cut(spark):
+    from courtside.plans import players as P
+    rows = [_player(1, "exact", 20, 20.0, 5.0, 5.0), _player(2, "short", 19, 40.0, 9.0, 9.0)]
+    rows += [_player(10 + i, f"p{i:02d}", 30, 30.0 - i) for i in range(19)]
+    rows += [_player(50, "zz tie", 30, 12.0), _player(51, "aa tie", 30, 12.0)]
+    df = spark.createDataFrame(rows, PLAYER_COLS)
+    top = [r.player_name for r in P.p_top20(df, "S").collect()]
+    assert "exact" in top and "short" not in top
+    assert "aa tie" in top and "zz tie" not in top  # rank 20 and 21 equal: lower name kept
+    triple = [r.player_name for r in P.p_triple(df, "S").collect()]
+    assert triple == ["short", "exact"]  # 20/5/5 exactly is kept; games do not matter here
+    three = P.p_three(df, "S").collect()
+    assert three == []  # NULL three-point percentages never rank
