@@ -10,6 +10,8 @@ Plan shape, chosen for scale:
   (lineitem by supplier x year, orders by customer x year): the join
   then moves one row per entity and year instead of every fact row, and a
   hot supplier or customer collapses to one partial row per task;
+* the distinct-order count runs apart from the sums, so the one exchange
+  that sees every lineitem row carries three key columns;
 * ``nation`` and ``region`` are broadcast only after an exact row-count
   check; ``supplier`` and ``customer`` grow with the data and are left to
   the planner and AQE;
