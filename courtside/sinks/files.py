@@ -72,8 +72,10 @@ def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int,
     ``[dataset, entity_id, status, rows, path, message]``.
 
     A value that is a mapping ``{player_id: frame}`` lands one file set per
-    player (shots); an empty frame is recorded as ``empty`` and not
-    written. Row counts come from ``observe`` on the write itself, so no
+    player (shots), one write per player as the feed delivers them; an
+    empty frame is recorded as ``empty`` and not written. To land many
+    players at once, pass one frame with a ``player_id`` column instead:
+    it is one distributed write into the date folder. Row counts come from ``observe`` on the write itself, so no
     second pass over the data is made.
     """
     date = date or run_date()

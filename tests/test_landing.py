@@ -227,3 +227,38 @@ def test_run_daily_lands_processes_and_registers(spark, workdir):
     got = run_query(spark, "p_top20", players="cs_daily.player_stats", season="2024-25",
                     min_games=20).collect()
     assert [(r.player_name, r.ppg) for r in got] == [("A Player", 25.5)]
+
+
+def test_header_shapes_beyond_the_listing_bound(spark, workdir, monkeypatch):
+    """Past MAX_LISTED_FILES the shapes are split with a semi-join on the path: same rows."""
+    import courtside.sources.landing as landing
+    base = f"{workdir}/team_standings/season=2024-25"
+    write_text(f"{base}/date=2025-01-01/standings.csv",
+               VARIANT_A + "\n1,Atlanta,Hawks,ATL,East,SE,10,5,0.667,6-2,4-3,7-3,110.5,105.2,5.3\n")
+    write_text(f"{base}/date=2025-01-02/standings.csv",
+               VARIANT_B + "\n1,Atlanta,Hawks,hawks,East,SE,5,11,0.688,6-2,5-3,7-3,111,105,6\n")
+    monkeypatch.setattr(landing, "MAX_LISTED_FILES", 1)
+    got = sorted((str(r.date), r.wins, r.losses) for r in
+                 read_landing(spark, workdir, "team_standings").collect())
+    assert got == [("2025-01-01", "10", "5"), ("2025-01-02", "11", "5")]
+
+
+def test_latest_snapshot_beyond_the_broadcast_bound(spark):
+    from courtside.operators import latest_snapshot
+    rows = [("s", i % 3, f"2025-01-0{1 + i % 2}", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "season string, player_id int, date string, v int") \
+        .withColumn("date", F.to_date("date"))
+    small = sorted(r.v for r in latest_snapshot(df, ["season", "player_id"]).collect())
+    big = sorted(r.v for r in latest_snapshot(df, ["season", "player_id"],
+                                              max_broadcast_rows=1).collect())
+    assert small == big and len(small) > 0
+
+
+def test_write_processed_spreads_a_season_over_bounded_files(spark, workdir):
+    import glob
+    out = f"{workdir}/processed/t"
+    df = spark.range(5000).selectExpr("id AS v", "'2024-25' AS season")
+    write_processed(df, out, files_per_partition=3)
+    files = glob.glob(f"{out}/season=2024-25/*.parquet")
+    assert 1 <= len(files) <= 3
+    assert spark.read.parquet(out).count() == 5000
