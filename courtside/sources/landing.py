@@ -68,16 +68,19 @@ def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
 
 
 def tracked_players(df: DataFrame, ids: Sequence[int], max_inline: int = 1000,
-                    column: str = "player_id") -> DataFrame:
+                    max_broadcast: int = MAX_BROADCAST_FILES, column: str = "player_id") -> DataFrame:
     """Rows of the listed players. A short list is an ``IN`` predicate (pushed
-    to the scan); a long one a left-semi join against the list, broadcast
-    because its size is the length of a driver-side list."""
-    ids = list(ids)
+    to the scan); a longer one a left-semi join against the list, broadcast
+    up to ``max_broadcast`` ids (its size is the known length of the list),
+    beyond that a shuffle semi-join."""
+    ids = list(dict.fromkeys(int(i) for i in ids))
     if len(ids) <= max_inline:
         return df.where(F.col(column).isin(ids))
     spark = df.sparkSession
-    id_df = spark.createDataFrame([(int(i),) for i in ids], f"{column} bigint")
-    return df.join(F.broadcast(id_df), column, "left_semi")
+    id_df = spark.createDataFrame([(i,) for i in ids], f"{column} bigint")
+    if len(ids) <= max_broadcast:
+        id_df = F.broadcast(id_df)
+    return df.join(id_df, column, "left_semi")
 
 
 def _is_header(dataset: str):
