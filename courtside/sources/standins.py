@@ -51,11 +51,21 @@ INPUT_SCHEMAS = {
 }
 
 
+# One relation per table and session, like a catalog table: the file
+# listing is done once per session (as Spark's own file-status cache does
+# for catalog tables); every query still scans the whole table.
+_RELATIONS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    reader = spark.read
-    if name in INPUT_SCHEMAS:
-        reader = reader.schema(INPUT_SCHEMAS[name])
-    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        reader = spark.read
+        if name in INPUT_SCHEMAS:
+            reader = reader.schema(INPUT_SCHEMAS[name])
+        df = _RELATIONS[key] = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 
