@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.functions.rates import pct_rate
-from courtside.functions.text import display_name, percent_text, record_text, signed_text
+from courtside.functions.text import percent_text, record_text, signed_text
 from courtside.operators.aggregate import rate_by_group
 from courtside.operators.extremes import arg_extreme, display_key, first_in_order
 from courtside.operators.ranking import seed_within
@@ -30,15 +30,11 @@ def d_players(players: DataFrame, season: str, min_games: int = 20, k: int = 50)
     """Top-k scorers with unrounded values, for the player page."""
     df = players.where((F.col("season") == season) & (F.col("games_played") >= min_games))
     df = top_k(df, "points_per_game", k, tiebreak=PLAYER_TIEBREAK)
-    return df.select(
+    return df.selectExpr(
         "player_name", "team_abbreviation", "games_played",
-        F.col("points_per_game").alias("ppg"),
-        F.col("assists_per_game").alias("apg"),
-        F.col("rebounds_per_game").alias("rpg"),
-        F.col("field_goal_pct").alias("fg_pct"),
-        F.col("three_point_pct").alias("three_pct"),
-        F.col("efficiency_rating").alias("efficiency"),
-        F.col("true_shooting_pct").alias("ts_pct"),
+        "points_per_game AS ppg", "assists_per_game AS apg", "rebounds_per_game AS rpg",
+        "field_goal_pct AS fg_pct", "three_point_pct AS three_pct",
+        "efficiency_rating AS efficiency", "true_shooting_pct AS ts_pct",
     )
 
 
@@ -46,12 +42,10 @@ def d_standings(teams: DataFrame, season: str, ordered: bool = True) -> DataFram
     """Standings for the team page, best record first. Cards and display
     tables take ``ordered=False``: they number rows themselves, so a
     global sort here would only add a range shuffle."""
-    df = teams.where(F.col("season") == season).select(
-        display_name("team_city", "team_name").alias("team"), "team_id",
+    df = teams.where(F.col("season") == season).selectExpr(
+        "concat(team_city, ' ', team_name) AS team", "team_id",
         "team_abbreviation", "conference", "division", "wins", "losses", "win_pct",
-        "win_pct_label",
-        F.col("points_per_game").alias("ppg"),
-        F.col("opp_points_per_game").alias("opp_ppg"),
+        "win_pct_label", "points_per_game AS ppg", "opp_points_per_game AS opp_ppg",
         "net_rating", "home_record", "away_record", "last_10_record",
     )
     if ordered:
@@ -167,26 +161,20 @@ def r_conf(d: DataFrame, conference: str) -> DataFrame:
     return df.select(
         "position", "team", "wins", "losses",
         percent_text("win_pct").alias("win_pct_text"),
-        F.col("win_pct_label").alias("tier"),
-        F.col("ppg").alias("off_ppg"),
-        F.col("opp_ppg").alias("def_ppg"),
-        F.col("net_rating").alias("net_rtg"),
-        F.col("home_record").alias("home"),
-        F.col("away_record").alias("away"),
-        F.col("last_10_record").alias("l10"),
+        *[F.expr(e) for e in ("win_pct_label AS tier", "ppg AS off_ppg", "opp_ppg AS def_ppg",
+                              "net_rating AS net_rtg", "home_record AS home",
+                              "away_record AS away", "last_10_record AS l10")],
     ).orderBy("position")
 
 
 def r_player_table(d: DataFrame) -> DataFrame:
     """Player display table with percent strings."""
     return d.select(
-        F.col("player_name").alias("player"),
-        F.col("team_abbreviation").alias("team"),
-        F.col("games_played").alias("gp"),
-        "ppg", "apg", "rpg",
+        *[F.expr(e) for e in ("player_name AS player", "team_abbreviation AS team",
+                              "games_played AS gp", "ppg", "apg", "rpg")],
         percent_text("fg_pct").alias("fg_pct"),
         percent_text("three_pct").alias("three_pct"),
-        F.col("efficiency").alias("eff"),
+        F.expr("efficiency AS eff"),
         percent_text("ts_pct").alias("ts_pct"),
     )
 

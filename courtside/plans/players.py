@@ -1,7 +1,8 @@
 """Player leader boards and threshold filters (the player SQL templates).
 
 Each query filters one season first (partition pruning on a processed
-table partitioned by season), then ranks with a bounded top-k.
+table partitioned by season), then ranks with a bounded top-k. Output
+columns are SQL expression text: one parse on the JVM per projection.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.functions.rates import pct_of
 from courtside.operators.topk import top_k
 
 # Tiebreak appended to every ranking: the source has none.
@@ -26,18 +26,18 @@ def _season(players: DataFrame, season: str, min_games: int | None) -> DataFrame
 def p_top20(players: DataFrame, season: str, min_games: int = 20, k: int = 20) -> DataFrame:
     """Top scorers with the full stat line."""
     df = top_k(_season(players, season, min_games), "points_per_game", k, tiebreak=TIEBREAK)
-    return df.select(
+    return df.selectExpr(
         "player_name", "team_abbreviation", "games_played",
-        F.round("points_per_game", 1).alias("ppg"),
-        F.round("assists_per_game", 1).alias("apg"),
-        F.round("rebounds_per_game", 1).alias("rpg"),
-        F.round("steals_per_game", 1).alias("spg"),
-        F.round("blocks_per_game", 1).alias("bpg"),
-        pct_of("field_goal_pct").alias("fg_pct"),
-        pct_of("three_point_pct").alias("three_pct"),
-        pct_of("free_throw_pct").alias("ft_pct"),
-        pct_of("true_shooting_pct").alias("ts_pct"),
-        F.round("efficiency_rating", 1).alias("efficiency"),
+        "round(points_per_game, 1) AS ppg",
+        "round(assists_per_game, 1) AS apg",
+        "round(rebounds_per_game, 1) AS rpg",
+        "round(steals_per_game, 1) AS spg",
+        "round(blocks_per_game, 1) AS bpg",
+        "round(field_goal_pct * 100, 1) AS fg_pct",
+        "round(three_point_pct * 100, 1) AS three_pct",
+        "round(free_throw_pct * 100, 1) AS ft_pct",
+        "round(true_shooting_pct * 100, 1) AS ts_pct",
+        "round(efficiency_rating, 1) AS efficiency",
         "season",
     )
 
@@ -49,23 +49,23 @@ def p_triple(players: DataFrame, season: str, min_points: float = 20,
                        & (F.col("points_per_game") >= min_points)
                        & (F.col("assists_per_game") >= min_assists)
                        & (F.col("rebounds_per_game") >= min_rebounds))
-    return top_k(df, "points_per_game", None, tiebreak=TIEBREAK).select(
+    return top_k(df, "points_per_game", None, tiebreak=TIEBREAK).selectExpr(
         "player_name", "team_abbreviation",
-        F.round("points_per_game", 1).alias("ppg"),
-        F.round("assists_per_game", 1).alias("apg"),
-        F.round("rebounds_per_game", 1).alias("rpg"),
-        F.round("efficiency_rating", 1).alias("efficiency"),
+        "round(points_per_game, 1) AS ppg",
+        "round(assists_per_game, 1) AS apg",
+        "round(rebounds_per_game, 1) AS rpg",
+        "round(efficiency_rating, 1) AS efficiency",
     )
 
 
 def p_eff(players: DataFrame, season: str, min_games: int = 20, k: int = 15) -> DataFrame:
     """Efficiency leaders."""
     df = top_k(_season(players, season, min_games), "efficiency_rating", k, tiebreak=TIEBREAK)
-    return df.select(
+    return df.selectExpr(
         "player_name", "team_abbreviation", "games_played",
-        F.round("efficiency_rating", 1).alias("efficiency"),
-        pct_of("true_shooting_pct").alias("ts_pct"),
-        F.round("points_per_game", 1).alias("ppg"),
+        "round(efficiency_rating, 1) AS efficiency",
+        "round(true_shooting_pct * 100, 1) AS ts_pct",
+        "round(points_per_game, 1) AS ppg",
     )
 
 
@@ -73,9 +73,9 @@ def p_three(players: DataFrame, season: str, min_games: int = 20, k: int = 15) -
     """Best three-point shooters."""
     df = _season(players, season, min_games).where(F.col("three_point_pct").isNotNull())
     df = top_k(df, "three_point_pct", k, tiebreak=TIEBREAK)
-    return df.select(
+    return df.selectExpr(
         "player_name", "team_abbreviation",
-        pct_of("three_point_pct").alias("three_pct"),
-        F.round("points_per_game", 1).alias("ppg"),
+        "round(three_point_pct * 100, 1) AS three_pct",
+        "round(points_per_game, 1) AS ppg",
         "games_played",
     )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.functions.rates import pct_of
-from courtside.functions.text import display_name
 from courtside.operators.ranking import seed_within
 from courtside.operators.topk import top_k
 
 TIEBREAK = ("team_name", "team_id")
+# city || ' ' || name: NULL in, NULL out (concat, never concat_ws)
+TEAM = "concat(team_city, ' ', team_name)"
 
 
 def _season(teams: DataFrame, season: str) -> DataFrame:
@@ -20,39 +20,39 @@ def _season(teams: DataFrame, season: str) -> DataFrame:
 def t_all(teams: DataFrame, season: str) -> DataFrame:
     """Full standings, best record first."""
     df = top_k(_season(teams, season), "win_pct", None, tiebreak=TIEBREAK)
-    return df.select(
-        display_name("team_city", "team_name").alias("team"),
+    return df.selectExpr(
+        f"{TEAM} AS team",
         "team_abbreviation", "conference", "division",
         "wins", "losses", "total_games",
-        pct_of("win_pct").alias("win_pct"),
+        "round(win_pct * 100, 1) AS win_pct",
         "win_pct_label", "home_record", "away_record", "last_10_record",
-        F.round("points_per_game", 1).alias("off_ppg"),
-        F.round("opp_points_per_game", 1).alias("def_ppg"),
-        F.round("net_rating", 1).alias("net_rating"),
+        "round(points_per_game, 1) AS off_ppg",
+        "round(opp_points_per_game, 1) AS def_ppg",
+        "round(net_rating, 1) AS net_rating",
         "season",
     )
 
 
 def t_conf(teams: DataFrame, season: str) -> DataFrame:
     """Per conference: teams, total wins, unweighted averages over teams."""
-    df = _season(teams, season).groupBy("conference").agg(
-        F.count(F.lit(1)).cast("bigint").alias("teams"),
-        F.sum("wins").cast("bigint").alias("total_wins"),
-        F.round(F.avg("win_pct") * 100, 1).alias("avg_win_pct"),
-        F.round(F.avg("points_per_game"), 1).alias("avg_off_ppg"),
-        F.round(F.avg("opp_points_per_game"), 1).alias("avg_def_ppg"),
-        F.round(F.avg("net_rating"), 1).alias("avg_net_rating"),
-    )
+    df = _season(teams, season).groupBy("conference").agg(*[F.expr(e) for e in (
+        "CAST(count(1) AS BIGINT) AS teams",
+        "CAST(sum(wins) AS BIGINT) AS total_wins",
+        "round(avg(win_pct) * 100, 1) AS avg_win_pct",
+        "round(avg(points_per_game), 1) AS avg_off_ppg",
+        "round(avg(opp_points_per_game), 1) AS avg_def_ppg",
+        "round(avg(net_rating), 1) AS avg_net_rating",
+    )])
     return df.orderBy(F.col("avg_win_pct").desc_nulls_last(), "conference")
 
 
 def t_off(teams: DataFrame, season: str, k: int = 10) -> DataFrame:
     """Best offenses: highest points per game."""
     df = top_k(_season(teams, season), "points_per_game", k, tiebreak=TIEBREAK)
-    return df.select(
-        display_name("team_city", "team_name").alias("team"), "conference",
-        F.round("points_per_game", 1).alias("ppg"),
-        F.round("net_rating", 1).alias("net_rating"),
+    return df.selectExpr(
+        f"{TEAM} AS team", "conference",
+        "round(points_per_game, 1) AS ppg",
+        "round(net_rating, 1) AS net_rating",
         "wins", "losses",
     )
 
@@ -61,10 +61,10 @@ def t_def(teams: DataFrame, season: str, k: int = 10) -> DataFrame:
     """Best defenses: lowest opponent points per game (NULL never ranks)."""
     df = top_k(_season(teams, season), "opp_points_per_game", k, descending=False,
                tiebreak=TIEBREAK)
-    return df.select(
-        display_name("team_city", "team_name").alias("team"), "conference",
-        F.round("opp_points_per_game", 1).alias("opp_ppg"),
-        F.round("net_rating", 1).alias("net_rating"),
+    return df.selectExpr(
+        f"{TEAM} AS team", "conference",
+        "round(opp_points_per_game, 1) AS opp_ppg",
+        "round(net_rating, 1) AS net_rating",
         "wins", "losses",
     )
 
@@ -73,10 +73,7 @@ def t_seed(teams: DataFrame, season: str, k: int = 10) -> DataFrame:
     """Playoff picture: seeds 1..k per conference by win percentage."""
     df = seed_within(_season(teams, season), "conference", "win_pct",
                      tiebreak=TIEBREAK, k=k, name="conference_seed")
-    return df.select(
-        "conference",
-        display_name("team_city", "team_name").alias("team"),
-        "wins", "losses",
-        pct_of("win_pct").alias("win_pct"),
-        "conference_seed",
+    return df.selectExpr(
+        "conference", f"{TEAM} AS team", "wins", "losses",
+        "round(win_pct * 100, 1) AS win_pct", "conference_seed",
     ).orderBy("conference", "conference_seed")
