@@ -62,6 +62,12 @@ def _plan(df):
 def test_plans(spark):
     top = _plan(E.queries()["p_top20"](spark, SF))
     assert "TakeOrderedAndProject" in top
+    # the season parameter reaches the Parquet scan as a pushed range
+    assert "GreaterThanOrEqual(l_shipdate" in top and "LessThan(l_shipdate" in top
+    # the row-level exchange of the games count carries only its keys
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_shipdate:timestamp_ntz>" in top
+    # cards: no window, no row numbering
+    assert "Window" not in _plan(E.queries()["k_players"](spark, SF))
     assert "SinglePartition" not in _plan(E.queries()["s_share"](spark, SF))
     seed = E.queries()["t_seed"](spark, SF)
     seed._jdf.queryExecution().optimizedPlan().toString()
