@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import langid, simhash
+from courtside.llm import langid, quality_rules, simhash
 from courtside.llm.common import id_bucket, table
 
 
@@ -14,6 +14,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", id_bucket("doc_id").alias("fold"))
     model = langid.train(docs.filter("fold <> 0 and lang is not null"))
@@ -21,5 +26,5 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op4_langid": op4_langid}
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op4_langid": op4_langid}
 ORACLE_SQL: dict[str, str] = {}
