@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import langid, quality_rules, simhash
+from courtside.llm import langid, mixing, quality_rules, simhash
 from courtside.llm.common import id_bucket, table
 
 
@@ -26,5 +26,9 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op4_langid": op4_langid}
-ORACLE_SQL: dict[str, str] = {}
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op4_langid": op4_langid, "op5_mixing": op5_mixing}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE}
