@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import WordIds, byte_grams, per_batch, raw_texts, slabs
+from courtside.llm.common import WordIds, byte_grams, per_batch, raw_texts, slabs, spare_name
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4)
@@ -34,6 +34,8 @@ SCRIPT_SHARE = 0.01
 FLOOR, OUTSIDE = -8.0, -16.0
 SWITCH = 12.0
 UNDETERMINED = "und"
+#: A text with a smaller share of its letters in its main language has no language (pipeline stage).
+LEAST_SCORE = 0.3
 
 # First code points of script ranges (Unicode blocks), with the script from there on.
 SCRIPTS = [
@@ -200,3 +202,11 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "l
         return work
 
     return per_batch(docs, text_col, fields, make)
+
+
+def keep_known(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose language is known: not ``und``, and with a share of letters of at least
+    ``least`` in it. Learns from the rows of ``docs`` that name a language."""
+    pred, score = spare_name(docs.columns, "lang_pred"), spare_name(docs.columns, "lang_score")
+    found = predict(docs, train(docs, lang_col, text_col), text_col, pred, score)
+    return found.filter((F.col(pred) != UNDETERMINED) & (F.col(score) >= least)).select(*docs.columns)

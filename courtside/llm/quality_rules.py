@@ -20,7 +20,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from courtside.llm.common import WHITE, WordIds, per_batch, slabs
@@ -168,3 +168,12 @@ def judge(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY,
         return work
 
     return per_batch(docs, text_col, [(prefix + n, t) for n, t in FIELDS], make)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, bands: dict | None = None) -> DataFrame:
+    """The documents that pass the base rules and fit their script's bands."""
+    prefix = "q_"
+    while any((prefix + n).lower() in {c.lower() for c in docs.columns} for n, _ in FIELDS):
+        prefix = "_" + prefix
+    found = judge(docs, text_col, vocabulary, bands, prefix)
+    return found.filter(found[prefix + "kept"]).select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import langid, mixing, quality_rules, simhash
+from courtside.llm import decontam, langid, mixing, quality_rules, simhash
 from courtside.llm.common import id_bucket, table
 
 
@@ -19,6 +19,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", id_bucket("doc_id").alias("fold"))
     model = langid.train(docs.filter("fold <> 0 and lang is not null"))
@@ -30,5 +35,5 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op4_langid": op4_langid, "op5_mixing": op5_mixing}
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing}
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE}
