@@ -141,3 +141,39 @@ def byte_grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> tupl
         grams.append((code >> np.uint64(64 - int(buckets).bit_length() + 1)).astype(np.int64))
         owners.append(owner[: len(keep)][keep])
     return (np.concatenate(grams), np.concatenate(owners)) if grams else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def sum_arrays(texts: DataFrame, work, size: int) -> np.ndarray:
+    """Sum over all texts (one column) of arrays of ``size`` numbers; ``work()`` gives a function
+    from a list of texts to such an array. Each task adds up its own, then pieces are added on Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        add = work()
+        for batch in batches:
+            found = raw_texts(batch.column(0))
+            for lo, hi in slabs(found):
+                total += add(found[lo:hi])
+        at = np.flatnonzero(total)
+        step = 1 << 15
+        for part in range(0, size, step):
+            mine = at[(at >= part) & (at < part + step)]
+            if len(mine):
+                dense = total[part : part + step]
+                yield pa.RecordBatch.from_arrays([pa.array([part // step]), pa.array([dense.tobytes()], pa.binary())], names=["part", "x"])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = np.frombuffer(x)
+                sums[p] = sums[p] + x if p in sums else x
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "x"])
+
+    parts = texts.mapInArrow(run, "part long, x binary").repartition("part").mapInArrow(fold, "part long, x binary")
+    out, step = np.zeros(size), 1 << 15
+    for r in parts.toLocalIterator():
+        x = np.frombuffer(r["x"])
+        out[r["part"] * step : r["part"] * step + len(x)] += x
+    return out

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import T_to_arrow, per_batch, raw_texts, slabs, spare_name
+from courtside.llm.common import T_to_arrow, per_batch, slabs, spare_name, sum_arrays
 
 BLOCK = 24
 RANK, SKETCH = 256, 48
@@ -104,41 +104,6 @@ def _counts(unit: np.ndarray, ids: np.ndarray, n_terms: int) -> tuple[np.ndarray
     return key // n_terms, key % n_terms, times
 
 
-def _sums(docs: DataFrame, work, size: int) -> np.ndarray:
-    """Adds up arrays of ``size`` numbers that ``work`` makes of the texts of each task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        add = work()
-        for batch in batches:
-            texts = raw_texts(batch.column(0))
-            for lo, hi in slabs(texts):
-                total += add(texts[lo:hi])
-        at = np.flatnonzero(total)
-        step = 1 << 15
-        for part in range(0, size, step):
-            mine = at[(at >= part) & (at < part + step)]
-            if len(mine):
-                dense = total[part : part + step]
-                yield pa.RecordBatch.from_arrays([pa.array([part // step]), pa.array([dense.tobytes()], pa.binary())], names=["part", "x"])
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(x)
-                sums[p] = sums[p] + x if p in sums else x
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "x"])
-
-    parts = docs.mapInArrow(run, "part long, x binary").repartition("part").mapInArrow(fold, "part long, x binary")
-    out, step = np.zeros(size), 1 << 15
-    for r in parts.toLocalIterator():
-        x = np.frombuffer(r["x"])
-        out[r["part"] * step : r["part"] * step + len(x)] += x
-    return out
-
-
 def fit(texts: DataFrame, items: Items) -> dict:
     """Weights and latent space from one column of all texts."""
     n = len(items.vocabulary)
@@ -156,7 +121,7 @@ def fit(texts: DataFrame, items: Items) -> dict:
 
         return add
 
-    df = _sums(texts, frequencies, n + 1)
+    df = sum_arrays(texts, frequencies, n + 1)
     total, df = max(df[-1], 1.0), df[:n]
     idf = np.log(1 + (total + 1) / (df + 1))
     common = df > COMMON * total
@@ -203,7 +168,7 @@ def fit(texts: DataFrame, items: Items) -> dict:
 
         return add
 
-    b = _sums(texts, ranges, n * width).reshape(n, width) / total
+    b = sum_arrays(texts, ranges, n * width).reshape(n, width) / total
     # single-pass range finder of the symmetric X'X: b (W'b)^-1 b' = L L'
     core = random.T.astype(float) @ b
     values, vectors = np.linalg.eigh((core + core.T) / 2)
