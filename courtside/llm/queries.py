@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import decontam, langid, mixing, quality_knn, quality_rules, simhash
+from courtside.llm import decontam, langid, mixing, quality_knn, quality_rules, simhash, toxicity
 from courtside.llm.common import id_bucket, table
 
 
@@ -43,5 +43,13 @@ def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "score", F.expr("cast(score >= 0.3 as int)").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", id_bucket("doc_id").alias("fold"))
+    labels = table(spark, sf_dir, "labels").filter(id_bucket("doc_id") != 0)
+    model = toxicity.train(docs.filter("fold <> 0"), labels, "doc_id", "text", "toxic")
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "score", F.expr("cast(score >= 0.5 as int)").alias("predicted"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op9_toxicity": op9_toxicity}
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE}
