@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import decontam, langid, mixing, quality_knn, quality_rules, simhash, toxicity
+from courtside.llm import decontam, langid, licences, mixing, quality_knn, quality_rules, simhash, toxicity
 from courtside.llm.common import id_bucket, table
 
 
@@ -51,5 +51,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "score", F.expr("cast(score >= 0.5 as int)").alias("predicted"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op9_toxicity": op9_toxicity}
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE}
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op9_toxicity": op9_toxicity, "op10_licences": op10_licences}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op10_licences": licences.oracle()}
