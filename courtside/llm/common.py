@@ -143,37 +143,56 @@ def byte_grams(words: list[bytes], sizes: tuple[int, ...], buckets: int) -> tupl
     return (np.concatenate(grams), np.concatenate(owners)) if grams else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def sum_arrays(texts: DataFrame, work, size: int) -> np.ndarray:
-    """Sum over all texts (one column) of arrays of ``size`` numbers; ``work()`` gives a function
-    from a list of texts to such an array. Each task adds up its own, then pieces are added on Spark."""
+def sum_batches(rows: DataFrame, work, size: int) -> np.ndarray:
+    """Sum over all rows of arrays of ``size`` numbers; ``work()`` gives a function from an Arrow
+    batch to such an array. Each task adds up its own, then pieces of the sums are added on Spark."""
+    step = 1 << 15
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         add = work()
         for batch in batches:
-            found = raw_texts(batch.column(0))
-            for lo, hi in slabs(found):
-                total += add(found[lo:hi])
-        at = np.flatnonzero(total)
-        step = 1 << 15
+            if batch.num_rows:
+                total += add(batch)
         for part in range(0, size, step):
-            mine = at[(at >= part) & (at < part + step)]
-            if len(mine):
-                dense = total[part : part + step]
-                yield pa.RecordBatch.from_arrays([pa.array([part // step]), pa.array([dense.tobytes()], pa.binary())], names=["part", "x"])
+            piece = total[part : part + step]
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part // step]), pa.array([piece.tobytes()], pa.binary())], names=["part", "x"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = np.frombuffer(x)
-                sums[p] = sums[p] + x if p in sums else x
+                sums[p] = sums.get(p, 0) + np.frombuffer(x)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "x"])
 
-    parts = texts.mapInArrow(run, "part long, x binary").repartition("part").mapInArrow(fold, "part long, x binary")
-    out, step = np.zeros(size), 1 << 15
-    for r in parts.toLocalIterator():
+    out = np.zeros(size)
+    for r in rows.mapInArrow(run, "part long, x binary").repartition("part").mapInArrow(fold, "part long, x binary").toLocalIterator():
         x = np.frombuffer(r["x"])
         out[r["part"] * step : r["part"] * step + len(x)] += x
     return out
+
+
+def sum_arrays(texts: DataFrame, work, size: int) -> np.ndarray:
+    """``sum_batches`` over one column of texts, for a function from a list of texts to an array."""
+
+    def of_batches():
+        add = work()
+
+        def batch_sum(batch: pa.RecordBatch) -> np.ndarray:
+            found = raw_texts(batch.column(0))
+            return sum((add(found[lo:hi]) for lo, hi in slabs(found)), np.zeros(size))
+
+        return batch_sum
+
+    return sum_batches(texts, of_batches, size)
+
+
+def families(gram: np.ndarray, most: int) -> list[np.ndarray]:
+    """Rows of a matrix of likenesses by the nearest of ``most`` rows that are far from each other."""
+    centres = [0]
+    while len(centres) < min(most, len(gram)):
+        centres.append(int(gram[:, centres].max(axis=1).argmin()))
+    nearest = gram[:, centres].argmax(axis=1)
+    return [x for x in (np.flatnonzero(nearest == k) for k in range(len(centres))) if len(x)]

@@ -9,8 +9,9 @@ The latent space comes from a randomised SVD: each task adds its blocks' share o
 a fixed random ``W``; the sum (vocabulary x sketch, whatever the corpus size) gives the corpus' leading
 directions by a single-pass range finder, and merged with the items' own rows it gives the
 ``RANK`` leading directions. Passages are candidates of an item if the cosine of their projections,
-counted against the passage's full length, reaches ``COSINE``; passages whose shared part is too short
-for that are dropped before they are projected. A candidate counts if, in a window around it, the longest
+counted against the passage's full length, reaches ``COSINE``; passages that can't reach it
+(their shared part is too short, or their terms can't add up to it with any item of a family) are dropped before
+they are projected. A candidate counts if, in a window around it, the longest
 common subsequence of words covers ``OVERLAP`` of the item and the item's answer (its last quarter)
 is covered to ``ANSWER`` - so paraphrases with changed, added or missing words are found.
 
@@ -31,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import T_to_arrow, per_batch, slabs, spare_name, sum_arrays
+from courtside.llm.common import T_to_arrow, families, per_batch, slabs, spare_name, sum_arrays
 
 BLOCK = 24
 RANK, SKETCH = 256, 48
 COSINE, OVERLAP, ANSWER = 0.3, 0.6, 0.5
+#: Groups of like items, used to rule passages out before they are projected.
+FAMILIES = 32
 #: A word in over this share of blocks says nothing about a passage.
 COMMON = 0.1
 MAX_ITEMS = 100_000
@@ -215,6 +218,8 @@ class Finder:
     def __init__(self, items: Items, model: dict) -> None:
         self.items, self.weight, self.other = items, model["weight"], model["other"]
         self.basis, self.latent, self.owner = model["basis"], model["latent"], model["owner"]
+        # the most that a term can add to the cosine with any item of a family
+        self.most = [(self.basis @ self.latent[f].T).max(axis=1).clip(0) for f in families(self.latent @ self.latent.T, FAMILIES)]
 
     def candidates(self, ids: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, item, first word of the passage in the text, cosine) of all pairs at or above the cosine."""
@@ -240,7 +245,10 @@ class Finder:
             value = np.bincount(inverse, weights=times[at], minlength=len(key)) * weight[t]
             mass = np.bincount(r, weights=value * value, minlength=len(p))
             full = np.sqrt(mass + rest[p] + np.where(joins[p], rest[after], 0))
-            keep = (np.sqrt(mass) >= COSINE * full)[r]  # a passage that shares less can't reach the cosine
+            live = np.zeros(len(p), bool)  # passages that could reach the cosine with an item of some family
+            for most in self.most:
+                live |= np.bincount(r, weights=value * most[t], minlength=len(p)) >= COSINE * full
+            keep = (live & (np.sqrt(mass) >= COSINE * full))[r]
             if not keep.any():
                 continue
             r, t, value = r[keep], t[keep], value[keep].astype(np.float32)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import WHITE_RE, WordIds, per_batch, slabs
+from courtside.llm.common import WHITE_RE, WordIds, families, per_batch, slabs
 
 DECAY, SPAN = 0.7, 6
 #: The kernel is raised to this power (a product of kernels): near matches stand out from chance likeness.
@@ -101,15 +101,6 @@ def summed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key // ALPHABET**3, key % ALPHABET**3, np.bincount(inverse, weights=weight, minlength=len(key))
 
 
-def families(gram: np.ndarray, most: int = FAMILIES) -> list[np.ndarray]:
-    """Landmarks by their nearest of some landmarks that are far from each other."""
-    centres = [0]
-    while len(centres) < min(most, len(gram)):
-        centres.append(int(gram[:, centres].max(axis=1).argmin()))
-    nearest = gram[:, centres].argmax(axis=1)
-    return [x for x in (np.flatnonzero(nearest == k) for k in range(len(centres))) if len(x)]
-
-
 class Kernel:
     """Normalised kernel values of words with the landmarks."""
 
@@ -120,7 +111,7 @@ class Kernel:
         self.table = np.zeros((len(self.codes), len(landmarks)), np.float32)
         self.table[at, w] = weight
         self.table /= np.maximum(np.sqrt((self.table**2).sum(axis=0)), 1e-12)
-        self.most = [self.table[:, f].max(axis=1) for f in families(self.table.T @ self.table)]
+        self.most = [self.table[:, f].max(axis=1) for f in families(self.table.T @ self.table, FAMILIES)]
 
     def near(self, words: list[bytes], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) of all values of at least ``floor``."""
