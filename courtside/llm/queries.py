@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import decontam, html_main, langid, licences, mixing, quality_knn, quality_rules, simhash, toxicity
+from courtside.llm import brown_lm, decontam, html_main, langid, licences, mixing, quality_knn, quality_rules, simhash, toxicity
 from courtside.llm.common import id_bucket, table
 
 
@@ -43,6 +43,12 @@ def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("fold = 0").alias("held_out"), "score", F.expr("cast(score >= 0.3 as int)").alias("predicted"))
 
 
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (id_bucket("doc_id") == 1).alias("held_out"), "text")
+    model, words = brown_lm.train(docs.filter("not held_out").select("text"))
+    return brown_lm.score(docs, model, words)
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
 
@@ -59,5 +65,5 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op8_html": op8_html, "op9_toxicity": op9_toxicity, "op10_licences": op10_licences}
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op7_brown_lm": op7_brown_lm, "op8_html": op8_html, "op9_toxicity": op9_toxicity, "op10_licences": op10_licences}
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op10_licences": licences.oracle()}
