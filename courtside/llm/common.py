@@ -61,7 +61,10 @@ def spare_name(columns: list[str], wanted: str) -> str:
 
 def per_batch(df: DataFrame, text_col: str, fields: list[tuple[str, T.DataType]], make) -> DataFrame:
     """All rows and columns of ``df`` plus ``fields``, which ``make`` fills for a list of texts
-    (bytes or None) at a time: it returns one sequence or Arrow array a field. No shuffle."""
+    (bytes or None) at a time: it returns one sequence or Arrow array a field. No shuffle. A new
+    column takes the place of one of that name (in any case) that ``df`` has."""
+    new = {n.lower() for n, _ in fields}
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new])
     at = df.columns.index(text_col)
     schema = extended(df.schema, *fields)
     kinds = [T_to_arrow(t) for _, t in fields]
