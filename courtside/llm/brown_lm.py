@@ -93,7 +93,7 @@ def count_bigrams(texts: DataFrame, symbols: dict[bytes, int]) -> DataFrame:
         known = dict(shared.value)
         for batch in batches:
             found = raw_texts(batch.column(0))
-            for lo, hi in slabs(found, 24_000_000):
+            for lo, hi in slabs(found):
                 if len(known) > FORMS:
                     known = dict(shared.value)
                 parts = [np.array([mark])]
@@ -146,7 +146,8 @@ def exchange(after: np.ndarray, before: np.ndarray, classes: np.ndarray, movable
         table[g] -= r
         table[:, g] -= p
         np.maximum(table, 0, out=table)
-        row, col, n = table.sum(axis=1), table.sum(axis=0), (r.sum(), p.sum())
+        # its neighbours' rows and columns get their bigrams back wherever it goes
+        row, col, n = table.sum(axis=1) + p, table.sum(axis=0) + r, (r.sum(), p.sum())
         gain = (_xlogx(table + r).sum(axis=1) - _xlogx(table).sum(axis=1) + _xlogx(table + p[:, None]).sum(axis=0) - _xlogx(table).sum(axis=0)
                 - _xlogx(row + n[0]) + _xlogx(row) - _xlogx(col + n[1]) + _xlogx(col))
         d = np.diag(table)  # the cell of a class with itself gets both
