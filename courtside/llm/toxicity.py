@@ -2,8 +2,8 @@
 
 The kernel of two words adds, over all letter triples in order (with marks for the word's begin and
 end), the product of their weights ``DECAY ** span``; a triple may skip letters up to a span of ``SPAN``.
-It is normalised and cubed, and characters that aren't letters only widen spans. So an insult with
-inserted or left out characters stays close to the insult, and one spelt out letter by letter is read
+It is normalised and raised to a power. Characters that aren't letters are skipped at no cost. So an insult
+with inserted or left out characters stays close to the insult, and one spelt out letter by letter is read
 as a word. Landmarks are words that mark labelled toxic texts (chi-square over a sample of labelled
 texts) and frequent other words. A sentence's row of kernel values is the largest over its words, and
 a text's the largest over its sentences, as one insulting sentence makes a text toxic; values
@@ -31,7 +31,7 @@ from courtside.llm.common import WHITE_RE, WordIds, families, per_batch, slabs
 
 DECAY, SPAN = 0.7, 6
 #: The kernel is raised to this power (a product of kernels): near matches stand out from chance likeness.
-POWER = 3
+POWER = 2
 MARKS, OTHERS = 224, 32
 FLOOR = 0.6
 #: Groups of like landmarks, used to rule words out early.
@@ -44,9 +44,9 @@ _BEGIN, _END = 126, 127
 CHUNK, FORMS = 30_000, 400_000
 
 
-def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code of every character or -1 for a gap, its word, characters of each word), each word
-    trimmed to its letters and set between the marks. Letters beyond a-z share 100 codes."""
+def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(code of every letter, its word), the letters of each word set between the marks. Letters
+    beyond a-z share 100 codes."""
     joined = "\n".join(w.decode("utf-8", "replace") for w in words)
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     word = np.cumsum(points == 10)
@@ -58,26 +58,22 @@ def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         unique, at = np.unique(points[far], return_inverse=True)
         alpha = np.array([chr(u).isalpha() for u in unique])
         kinds[far] = np.where(alpha[at], 26 + points[far] % 100, -1)
-    real = np.flatnonzero(kinds >= 0)
-    first, last = np.full(len(words), 0), np.full(len(words), -1)
-    owner = word[real]
-    if len(real):
-        begin = np.flatnonzero(np.diff(owner, prepend=-1))
-        first[owner[begin]] = real[begin]
-        last[owner[np.append(begin[1:], len(real)) - 1]] = real[np.append(begin[1:], len(real)) - 1]
-    size = np.where(last >= first, last - first + 3, 0)
+    real = kinds >= 0
+    size = np.bincount(word[real], minlength=len(words))
+    size += 2 * (size > 0)
     start = np.cumsum(size) - size
-    owner = np.repeat(np.arange(len(words)), size)
-    place = np.arange(int(size.sum())) - np.repeat(start, size)
-    source = np.repeat(first, size) + place - 1
-    ends = np.repeat(size, size) - 1
-    codes = np.where(place == 0, _BEGIN, np.where(place == ends, _END, kinds[np.clip(source, 0, max(len(kinds) - 1, 0))] if len(kinds) else -1))
-    return codes, owner, size
+    codes = np.empty(int(size.sum()), np.int64)
+    inner = np.ones(len(codes), bool)
+    has = size > 0
+    inner[start[has]] = inner[(start + size - 1)[has]] = False
+    codes[inner] = kinds[real]
+    codes[start[has]], codes[(start + size - 1)[has]] = _BEGIN, _END
+    return codes, np.repeat(np.arange(len(words)), size)
 
 
 def triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, triple code, weight) of every gapped letter triple of every word."""
-    codes, owner, _ = letters(words)
+    codes, owner = letters(words)
     out: list[list[np.ndarray]] = [[], [], []]
     for j in range(1, SPAN - 1):
         for k in range(j + 1, SPAN):
@@ -85,7 +81,7 @@ def triples(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             if n <= 0:
                 continue
             a, b, c = codes[:n], codes[j : j + n], codes[k : k + n]
-            ok = (a >= 0) & (b >= 0) & (c >= 0) & (owner[:n] == owner[k : k + n])
+            ok = owner[:n] == owner[k : k + n]
             out[0].append(owner[:n][ok])
             out[1].append((a[ok] * ALPHABET + b[ok]) * ALPHABET + c[ok])
             out[2].append(np.full(int(ok.sum()), DECAY ** (k + 1)))
