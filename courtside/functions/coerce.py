@@ -2,7 +2,7 @@
 
 ANSI mode raises on ``CAST('' AS DOUBLE)`` and on ``CAST('12.0' AS INT)``,
 so everything goes through ``try_cast``; integers written as float text
-(``"20.0"``) pass through DOUBLE first. ``try_cast('nan' AS DOUBLE)`` is
+(``"20.0"``) pass through DOUBLE where they are no whole-number text. ``try_cast('nan' AS DOUBLE)`` is
 NaN, which would win every ``max`` and poison every ``avg``: NaN is NULL.
 """
 
@@ -26,9 +26,16 @@ def to_double(x) -> Column:
     return nan_to_null(c)
 
 
+def to_long(x) -> Column:
+    """Whole-number text exactly (ids beyond 2^53 keep their value); float text through DOUBLE."""
+    text = F.trim(_c(x).cast("string"))
+    return F.coalesce(text.try_cast("bigint"), to_double(x).try_cast("bigint"))
+
+
 def to_int(x) -> Column:
-    return to_double(x).try_cast("int")
+    return to_long(x).try_cast("int")
 
 
-def to_long(x) -> Column:
-    return to_double(x).try_cast("bigint")
+def without_nan(df):
+    """The frame with NaN as NULL in its floating-point columns: NaN would win every ``max``."""
+    return df.select(*[nan_to_null(c).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])

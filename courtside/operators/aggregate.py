@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.functions.rates import pct_rate
@@ -52,6 +52,13 @@ def rate_by_group(df: DataFrame, keys: Sequence[str], flag: str,
     return out
 
 
+def conditional_rate(flag: str, condition: Column) -> Column:
+    """Aggregate: round(100 * mean of the non-NULL flags where the condition holds, 1);
+    NULL if there is none."""
+    own = F.when(condition, F.col(flag))
+    return pct_rate(F.sum(own), F.count(own))
+
+
 def share_of_total(df: DataFrame, count_col: str, within: Sequence[str],
                    share: str = "pct_of_shots") -> DataFrame:
     """Add round(count * 100 / SUM(count) OVER (PARTITION BY within), 1).

@@ -11,28 +11,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.session import ensure_checkpoint_dir
-
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], date_col: str = "date",
-                    max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Rows whose ``date_col`` is the newest for their ``keys``.
-
-    The newest-date side reads only key and date columns and is reduced by
-    a partial aggregate. One job computes it; when it has at most
-    ``max_broadcast_rows`` rows (one per key: a season, or a season and
-    player) those rows are the broadcast side of a left-semi join, so the
-    full table is never shuffled. Beyond the bound the side is written
-    once to the shared checkpoint folder and joined with a shuffle join
-    (AQE splits skewed keys).
+                    few_keys: bool = False) -> DataFrame:
+    """Rows whose ``date_col`` is the newest for their ``keys``; a NULL key is a
+    key like any other.
+
+    Lazy: the newest date per key is a partial aggregate over key and date
+    columns, joined back null-safely; AQE broadcasts it where it turns out
+    small and splits skewed keys where not. ``few_keys`` states that the
+    keys are a bounded domain (seasons: one a year), so their newest dates
+    are broadcast and the table itself isn't shuffled.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    newest = df.groupBy(*keys).agg(F.max(date_col).alias(date_col))
-    rows = newest.take(max_broadcast_rows + 1)
-    if len(rows) <= max_broadcast_rows:
-        small = spark.createDataFrame(rows, newest.schema) if rows else \
-            spark.createDataFrame([], newest.schema)
-        return df.join(F.broadcast(small), on=[*keys, date_col], how="left_semi")
-    ensure_checkpoint_dir(spark)
-    return df.join(newest.checkpoint(eager=True), on=[*keys, date_col], how="left_semi")
+    newest = df.groupBy(*keys).agg(F.max(date_col).alias("_newest")) \
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], "_newest")
+    if few_keys:
+        newest = F.broadcast(newest)
+    on = F.col(date_col).eqNullSafe(F.col("_newest"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(newest, on, "left_semi")

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.functions.coerce import without_nan
 from courtside.functions.rates import pct_rate
 from courtside.functions.text import percent_text, record_text, signed_text
-from courtside.operators.aggregate import rate_by_group
+from courtside.operators.aggregate import conditional_rate, rate_by_group
 from courtside.operators.extremes import arg_extreme, display_key, first_in_order
-from courtside.operators.ranking import seed_within
+from courtside.operators.ranking import positions
 from courtside.operators.topk import top_k
 from courtside.plans.shots import clutch_condition
 from courtside.schemas import THREE_POINT_SHOT_TYPE
@@ -73,6 +74,7 @@ def d_shots(shots: DataFrame, season: str, player_name: str) -> DataFrame:
 
 def k_players(d: DataFrame) -> DataFrame:
     """Scoring leader, top efficiency, best FG%, best 3PT% over the ``d_players`` rows."""
+    d = without_nan(d)
     key = display_key("ppg", tiebreak=["player_name"])
     return d.agg(
         first_in_order("player_name", key).alias("scoring_leader"),
@@ -88,6 +90,7 @@ def k_players(d: DataFrame) -> DataFrame:
 
 def k_teams(d: DataFrame) -> DataFrame:
     """Best record, best net rating, top offense, top defense over ``d_standings``."""
+    d = without_nan(d)
     key = display_key("win_pct", tiebreak=["team"])
     return d.agg(
         first_in_order("team", key).alias("best_record_team"),
@@ -118,8 +121,7 @@ def k_shots(d: DataFrame) -> DataFrame:
         .otherwise(pct_rate(F.coalesce(F.sum(flag), F.lit(0)), n)).alias("fg_pct"),
         n3.cast("bigint").alias("three_attempts"),
         F.when(n3 == 0, F.lit(0.0))
-        .otherwise(pct_rate(F.sum(F.when(is3, flag)), F.count(F.when(is3, flag))))
-        .alias("three_pct"),
+        .otherwise(conditional_rate("shot_made_flag", is3)).alias("three_pct"),
     )
 
 
@@ -129,16 +131,15 @@ def k_zones(d: DataFrame) -> DataFrame:
     df = rate_by_group(d, ["shot_zone_label"], "shot_made_flag", denominator="non_null",
                        drop_null_keys=True)
     df = df.withColumn("makes", F.coalesce(F.col("makes"), F.lit(0).cast("bigint")))
-    return df.orderBy(F.col("fg_pct").asc_nulls_last(), "shot_zone_label")
+    return df.orderBy(F.col("fg_pct").asc_nulls_last(), F.col("shot_zone_label").asc_nulls_last())
 
 
 def k_clutch(d: DataFrame) -> DataFrame:
     """Clutch attempts and FG% for one player; no clutch shot gives a NULL rate."""
     c = clutch_condition()
-    flag = F.col("shot_made_flag")
     return d.agg(
         F.count_if(c).cast("bigint").alias("clutch_attempts"),
-        pct_rate(F.sum(F.when(c, flag)), F.count(F.when(c, flag))).alias("clutch_fg_pct"),
+        conditional_rate("shot_made_flag", c).alias("clutch_fg_pct"),
     )
 
 
@@ -156,8 +157,8 @@ def r_scatter(d: DataFrame) -> DataFrame:
 
 def r_conf(d: DataFrame, conference: str) -> DataFrame:
     """One conference's table: 1-based position and percent text."""
-    df = seed_within(d.where(F.col("conference") == F.lit(conference)), "conference",
-                     "win_pct", tiebreak=["team"], name="position")
+    df = positions(d.where(F.col("conference") == F.lit(conference)), "win_pct",
+                   tiebreak=["team"], name="position")
     return df.select(
         "position", "team", "wins", "losses",
         percent_text("win_pct").alias("win_pct_text"),

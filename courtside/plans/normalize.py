@@ -124,11 +124,15 @@ def process(df: DataFrame, dataset: str, season: str | None = None,
     normalize, derive, schema = _STEPS[dataset]
     out = derive(normalize(df, season))
     if newest_only and "date" in out.columns:
-        out = latest_snapshot(out, SNAPSHOT_KEYS[dataset], "date")
+        keys = SNAPSHOT_KEYS[dataset]
+        out = latest_snapshot(out, keys, "date", few_keys=keys == ["season"])
     return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def build_processed(spark: SparkSession, root: str, dataset: str,
                     season: str | None = None) -> DataFrame:
-    """The processed table of one dataset straight from its landing folder."""
-    return process(read_landing(spark, root, dataset, season=season), dataset)
+    """The processed table of one dataset straight from its landing folder. Where a
+    season's newest snapshot is one date folder, only that folder is read."""
+    newest_only = SNAPSHOT_KEYS[dataset] == ["season"]
+    raw = read_landing(spark, root, dataset, season=season, newest_only=newest_only)
+    return process(raw, dataset, newest_only=not newest_only)

@@ -417,3 +417,44 @@ FROM e
 WHERE date = (SELECT MAX(e2.date) FROM e e2 WHERE e2.user_id = e.user_id)
 GROUP BY user_id, date""",
 }
+
+_PLAYERS_BACK = """
+SELECT player_id, 'Al "Ace", ' || player_name AS player_name, team_abbreviation, games_played,
+       minutes_per_game, points_per_game, assists_per_game, rebounds_per_game, steals_per_game,
+       blocks_per_game, field_goal_pct, three_point_pct, free_throw_pct, efficiency_rating,
+       {ts} AS true_shooting_pct, season
+FROM player_stats WHERE season = '{season}'"""
+
+ORACLE_SQL |= {
+    "l_players": _with(_P) + _PLAYERS_BACK.format(
+        ts="points_per_game / NULLIF(2 * (points_per_game + 0.44E0 * 0.0E0), 0)", season=PLAYER_SEASON),
+    "l_players_bare": _with(_P) + _PLAYERS_BACK.format(ts="CAST(NULL AS DOUBLE)", season=PLAYER_SEASON),
+    "l_lossless": _with(_S) + f"""
+SELECT player_id, player_name, made_label, COUNT(*) AS shots, CAST(SUM(shot_distance) AS BIGINT) AS feet
+FROM (SELECT CASE WHEN loc_x % 3 = 0 THEN NULL WHEN loc_x % 3 = 1 THEN 9007199254740993 + player_id
+                  ELSE player_id END AS player_id,
+             player_name || ' "Jr", the' AS player_name, made_label, shot_distance
+      FROM shot_charts WHERE season = '{SHOT_SEASON}')
+GROUP BY ALL""",
+    "w_processed": _with(_T) + f"""
+SELECT * FROM team_standings WHERE season = '{TEAM_SEASON}'""",
+    "c_added_column": _with(_T) + f"""
+SELECT season, COUNT(*) AS teams, CAST(SUM(wins) AS BIGINT) AS wins,
+       CAST(SUM(CASE WHEN season = '{TEAM_SEASON}' THEN losses END) AS BIGINT) AS losses
+FROM team_standings GROUP BY season""",
+    "m_land_all": _with(_T, _S.strip()) + f"""
+SELECT 'team_standings' AS dataset, CAST(NULL AS BIGINT) AS entity_id, 'success' AS status, COUNT(*) AS rows FROM team_standings
+UNION ALL SELECT 'player_stats', NULL, 'empty', 0
+UNION ALL
+SELECT 'shot_charts', i, CASE WHEN COUNT(s.player_id) > 0 THEN 'success' ELSE 'empty' END, COUNT(s.player_id)
+FROM (VALUES (1), (2), (3), (-1)) v(i) LEFT JOIN (SELECT * FROM shot_charts WHERE season = '{SHOT_SEASON}') s ON s.player_id = i
+GROUP BY i""",
+    "w_result": ORACLE_SQL["p_eff"],
+    "st_land": _with(_S) + f"""
+SELECT CAST(player_id % 2 AS INTEGER) AS load, shot_zone_label, made_label, COUNT(*) AS shots, COUNT(DISTINCT player_id) AS players
+FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY ALL""",
+    "x_tracked": _with(_S) + f"""
+SELECT player_id, COUNT(*) AS shots FROM shot_charts
+WHERE season = '{SHOT_SEASON}' AND player_id % 3 = 0 AND player_id < 2000 GROUP BY player_id""",
+    **{f"q_{n}": ORACLE_SQL[n] for n in ("p_top20", "p_triple", "t_all", "t_seed", "s_hot", "d_shooters", "d_shots")},
+}

@@ -1,9 +1,9 @@
 """The daily run as one function: land -> process -> write -> register.
 
 ``land_all`` writes the day's frames and returns the manifest; then each
-dataset's processed table is rebuilt from its landing folder (name
-binding, typing, derived columns, newest snapshot) and written over the
-seasons it holds; finally the tables are registered so SQL templates and
+dataset's processed season is brought up to date from the day's landing
+folder (name binding, typing, derived columns, newest snapshot) and
+written; finally the tables are registered so SQL templates and
 ``read_processed`` see the new seasons. Each step is a distributed Spark
 job over files in shared storage, so a rerun after a failure redoes the
 day idempotently.
@@ -14,9 +14,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from courtside.plans.normalize import build_processed
-from courtside.sinks.files import land_all, write_processed
+from courtside.plans.normalize import SNAPSHOT_KEYS, process
+from courtside.session import ensure_checkpoint_dir
+from courtside.sinks.files import land_all, run_date, write_processed
+from courtside.sources.landing import read_landing
 from courtside.sources.processed import DEFAULT_DATABASE, register_table
 
 DATASETS = ("player_stats", "team_standings", "shot_charts")
@@ -25,18 +28,38 @@ DATASETS = ("player_stats", "team_standings", "shot_charts")
 def run_daily(spark: SparkSession, frames: Mapping, landing_root: str, processed_root: str,
               season: str, date: str | None = None, database: str = DEFAULT_DATABASE,
               datasets=DATASETS) -> DataFrame:
-    """Land the day's frames, rebuild the processed tables of ``season``,
-    register them; returns the landing manifest."""
+    """Land the day's frames, bring the processed tables of ``season`` up to
+    date and register them; returns the landing manifest.
+
+    Only datasets that landed rows today are touched: league-wide tables are
+    rebuilt from the newest date folder alone, and shots are the day's rows
+    plus the earlier table's rows of players that didn't land today, so
+    no run reads the landing history again.
+    """
+    date = date or run_date()
     manifest = land_all(spark, frames, landing_root, season, date)
-    failed = {r["dataset"] for r in manifest.where("status = 'error'").select("dataset").collect()}
+    landed = {r["dataset"] for r in manifest.where("status = 'success'").select("dataset").distinct().toLocalIterator()}
     for ds in datasets:
-        if ds in failed:
-            continue  # earlier snapshots stay as they are; the manifest shows why
-        try:
-            df = build_processed(spark, landing_root, ds, season=season)
-        except FileNotFoundError:
-            continue
+        if ds not in landed:
+            continue  # earlier snapshots stay as they are; the manifest says why
         path = f"{processed_root.rstrip('/')}/{ds}"
+        df = process(read_landing(spark, landing_root, ds, season=season, date=date), ds, newest_only=False)
+        if len(SNAPSHOT_KEYS[ds]) > 1:
+            df = _with_earlier(spark, df, path, season)
         write_processed(df, path)
         register_table(spark, ds, path, database=database)
     return manifest
+
+
+def _with_earlier(spark: SparkSession, day: DataFrame, path: str, season: str) -> DataFrame:
+    """The day's rows and those of the processed season whose player isn't among them.
+    Cut from the files it read, as the same season is written next."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/season={season}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return day
+    ensure_checkpoint_dir(spark)
+    earlier = spark.read.parquet(path).where(F.col("season") == season).select(
+        *[F.col(f.name).cast(f.dataType) for f in day.schema.fields])
+    today = day.select(F.col("player_id").alias("_today")).distinct()
+    kept = earlier.join(today, F.col("player_id").eqNullSafe(F.col("_today")), "left_anti")
+    return day.unionByName(kept).checkpoint(eager=True)

@@ -118,4 +118,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # landing round trips: CSV with drifting headers -> processed tables
     "l_teams": lambda s, sf: L.l_teams(s, sf, TEAM_SEASON),
     "l_shots": lambda s, sf: L.l_shots(s, sf, SHOT_SEASON),
+    "l_players": lambda s, sf: L.l_players(s, sf, PLAYER_SEASON),
+    "l_players_bare": lambda s, sf: L.l_players(s, sf, PLAYER_SEASON, attempts=False),
+    "l_lossless": lambda s, sf: L.l_lossless(s, sf, SHOT_SEASON),
+    # processed tables, catalog, manifest, results, stream, tracked list
+    "w_processed": lambda s, sf: L.w_processed(s, sf, TEAM_SEASON),
+    "c_added_column": lambda s, sf: L.c_added_column(s, sf, TEAM_SEASON),
+    "m_land_all": lambda s, sf: L.m_land_all(s, sf, SHOT_SEASON),
+    "w_result": lambda s, sf: L.w_result(s, sf, PLAYER_SEASON),
+    "st_land": lambda s, sf: L.st_land(s, sf, SHOT_SEASON),
+    "x_tracked": lambda s, sf: L.x_tracked(s, sf, SHOT_SEASON),
+    # the named queries through the catalog
+    "q_p_top20": L.by_name("p_top20", season=PLAYER_SEASON),
+    "q_p_triple": L.by_name("p_triple", season=PLAYER_SEASON, **TRIPLE),
+    "q_t_all": L.by_name("t_all", season=TEAM_SEASON),
+    "q_t_seed": L.by_name("t_seed", season=TEAM_SEASON),
+    "q_s_hot": L.by_name("s_hot", season=SHOT_SEASON, min_attempts=HOT_MIN_ATTEMPTS),
+    "q_d_shooters": L.by_name("d_shooters", season=SHOT_SEASON),
+    "q_d_shots": L.by_name("d_shots", season=SHOT_SEASON, player_name=SHOT_PLAYER),
 }

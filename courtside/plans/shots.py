@@ -28,7 +28,8 @@ def s_zone(shots: DataFrame, season: str) -> DataFrame:
     df = rate_by_group(_season(shots, season), ["player_name", "shot_zone_label", "season"],
                        "shot_made_flag", denominator="rows")
     return df.select("player_name", "shot_zone_label", "attempts", "makes", "fg_pct", "season") \
-        .orderBy(F.col("player_name").asc_nulls_last(), F.col("fg_pct").desc_nulls_last())
+        .orderBy(F.col("player_name").asc_nulls_last(), F.col("fg_pct").desc_nulls_last(),
+                 F.col("shot_zone_label").asc_nulls_last())
 
 
 def s_hot(shots: DataFrame, season: str, min_attempts: int = 10) -> DataFrame:
@@ -37,7 +38,8 @@ def s_hot(shots: DataFrame, season: str, min_attempts: int = 10) -> DataFrame:
     df = rate_by_group(df, ["player_name", "shot_zone_basic", "shot_zone_area"],
                        "shot_made_flag", denominator="rows", min_attempts=min_attempts,
                        makes=None)
-    return df.orderBy(F.col("player_name").asc_nulls_last(), F.col("fg_pct").desc_nulls_last())
+    return df.orderBy(F.col("player_name").asc_nulls_last(), F.col("fg_pct").desc_nulls_last(),
+                      F.col("shot_zone_basic").asc_nulls_last(), F.col("shot_zone_area").asc_nulls_last())
 
 
 def s_share(shots: DataFrame, season: str) -> DataFrame:
@@ -46,7 +48,8 @@ def s_share(shots: DataFrame, season: str) -> DataFrame:
                        "shot_made_flag", attempts="total_attempts", makes="total_makes")
     df = share_of_total(df, "total_attempts", ["player_name"], share="pct_of_shots")
     return df.orderBy(F.col("player_name").asc_nulls_last(),
-                      F.col("total_attempts").desc_nulls_last())
+                      F.col("total_attempts").desc_nulls_last(),
+                      F.col("shot_zone_label").asc_nulls_last())
 
 
 def s_clutch(shots: DataFrame, season: str, min_attempts: int = 5) -> DataFrame:
@@ -54,4 +57,5 @@ def s_clutch(shots: DataFrame, season: str, min_attempts: int = 5) -> DataFrame:
     df = _season(shots, season).where(clutch_condition())
     df = rate_by_group(df, ["player_name"], "shot_made_flag", min_attempts=min_attempts,
                        attempts="clutch_attempts", makes="clutch_makes", rate="clutch_fg_pct")
-    return df.orderBy(F.col("clutch_fg_pct").desc_nulls_last(), "player_name")
+    return df.orderBy(F.col("clutch_fg_pct").desc_nulls_last(),
+                      F.col("player_name").asc_nulls_last())

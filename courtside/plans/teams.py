@@ -43,7 +43,8 @@ def t_conf(teams: DataFrame, season: str) -> DataFrame:
         "round(avg(opp_points_per_game), 1) AS avg_def_ppg",
         "round(avg(net_rating), 1) AS avg_net_rating",
     )])
-    return df.orderBy(F.col("avg_win_pct").desc_nulls_last(), "conference")
+    return df.orderBy(F.col("avg_win_pct").desc_nulls_last(),
+                      F.col("conference").asc_nulls_last())
 
 
 def t_off(teams: DataFrame, season: str, k: int = 10) -> DataFrame:
@@ -76,4 +77,4 @@ def t_seed(teams: DataFrame, season: str, k: int = 10) -> DataFrame:
     return df.selectExpr(
         "conference", f"{TEAM} AS team", "wins", "losses",
         "round(win_pct * 100, 1) AS win_pct", "conference_seed",
-    ).orderBy("conference", "conference_seed")
+    ).orderBy(F.col("conference").asc_nulls_last(), "conference_seed")

@@ -135,16 +135,3 @@ RAW_COLUMNS = {
     "team_standings": list(STANDINGS_COLUMNS),
     "shot_charts": list(SHOT_COLUMNS),
 }
-
-# Every name a landed header may carry, per dataset (lower case).
-def known_header_names(dataset: str) -> set[str]:
-    if dataset == "player_stats":
-        names = [c for cands in PLAYER_COLUMNS.values() for c in cands]
-    elif dataset == "team_standings":
-        names = [c for cands in STANDINGS_COLUMNS.values() for c in cands]
-    elif dataset == "shot_charts":
-        names = list(SHOT_COLUMNS)
-    else:
-        raise KeyError(dataset)
-    # optional raw attempt columns for true shooting, and the file's season
-    return {n.lower() for n in names} | {"season", "fga", "fta"}

@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = LOCAL_FALLBACK_CHECKPOINT_DIR
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,36 +30,53 @@ def snapshot_path(root: str, dataset: str, season: str, date: str,
     return p if entity_id is None else f"{p}/player_id={entity_id}"
 
 
-def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, date: str,
+def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, date: str | None,
                   by_player: bool = False) -> str:
     """Write one snapshot as headered CSV under ``season=/date=`` (and
     ``player_id=`` for per-player shot files), replacing only those
     partitions. Landing players one after another keeps the others.
-    ``season=None`` takes each row's own ``season`` column (a multi-season
-    snapshot in one distributed write)."""
+    ``season=None`` / ``date=None`` take each row's own column (many seasons
+    or days in one distributed write). Quotes in text are doubled."""
     parts = ["season", "date"] + (["player_id"] if by_player else [])
-    out = df.withColumn("date", F.lit(date))
-    if season is not None:
-        out = out.withColumn("season", F.lit(season))
-    elif "season" not in df.columns:
-        raise KeyError("season=None needs a 'season' column")
-    (_dynamic(out).option("header", True).partitionBy(*parts)
-     .csv(f"{root.rstrip('/')}/{dataset}"))
-    return snapshot_path(root, dataset, season or "*", date)
-
-
-def _land_one(dataset: str, entity_id, df: DataFrame, root: str, season: str, date: str,
-              by_player: bool) -> tuple:
+    out = df
+    for name, value in (("season", season), ("date", date)):
+        if value is not None:
+            out = out.withColumn(name, F.lit(value))
+        elif name not in df.columns:
+            raise KeyError(f"{name}=None needs a {name!r} column")
+    (_dynamic(out).option("header", True).option("quote", '"').option("escape", '"')
+     .partitionBy(*parts).csv(f"{root.rstrip('/')}/{dataset}"))
+    return snapshot_path(root, dataset, season or "*", date or "*")
+
+
+def _land_one(dataset: str, df: DataFrame, root: str, season: str, date: str) -> tuple:
     try:
         if df.isEmpty():
-            return (dataset, entity_id, "empty", 0, None, "no rows; nothing written")
-        obs = Observation(f"land_{dataset}_{entity_id}")
-        land_snapshot(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, dataset,
-                      season, date, by_player)
-        path = snapshot_path(root, dataset, season, date, entity_id if by_player else None)
-        return (dataset, entity_id, "success", int(obs.get["rows"]), path, None)
-    except Exception as e:  # one failure must not stop the other datasets
-        return (dataset, entity_id, "error", None, None, f"{type(e).__name__}: {e}"[:2000])
+            return (dataset, None, "empty", 0, None, "no rows; nothing written")
+        obs = Observation(f"land_{dataset}")
+        land_snapshot(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, dataset, season, date)
+        return (dataset, None, "success", int(obs.get["rows"]), snapshot_path(root, dataset, season, date), None)
+    except Exception as e:  # one failure must not stop the other datasets; the manifest has all of it
+        return (dataset, None, "error", None, None, f"{type(e).__name__}: {e}")
+
+
+def _land_players(dataset: str, frames: Mapping[int, DataFrame], root: str, season: str, date: str) -> list[tuple]:
+    """All players' frames in one write partitioned by player; rows counted per player beside it."""
+    if not frames:
+        return []
+    try:
+        tagged = [df.withColumn("player_id", F.lit(int(i)).cast("bigint")) for i, df in frames.items()]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+        rows = rows.withColumn("_land_id", F.col("player_id")).repartition("player_id")
+        obs = Observation(f"land_{dataset}")
+        counts = [F.count_if(F.col("_land_id") == int(i)).alias(f"n{k}") for k, i in enumerate(frames)]
+        land_snapshot(rows.observe(obs, *counts).drop("_land_id"), root, dataset, season, date, True)
+        got = obs.get
+        return [(dataset, int(i), "success", int(got[f"n{k}"]), snapshot_path(root, dataset, season, date, int(i)), None)
+                if got[f"n{k}"] else (dataset, int(i), "empty", 0, None, "no rows; nothing written")
+                for k, i in enumerate(frames)]
+    except Exception as e:
+        return [(dataset, int(i), "error", None, None, f"{type(e).__name__}: {e}") for i in frames]
 
 
 def run_date() -> str:
@@ -71,41 +89,33 @@ def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int,
     """Land every dataset and return a manifest
     ``[dataset, entity_id, status, rows, path, message]``.
 
-    A value that is a mapping ``{player_id: frame}`` lands one file set per
-    player (shots), one write per player as the feed delivers them; an
-    empty frame is recorded as ``empty`` and not written. To land many
-    players at once, pass one frame with a ``player_id`` column instead:
-    it is one distributed write into the date folder. Row counts come from ``observe`` on the write itself, so no
-    second pass over the data is made.
+    A value that is a mapping ``{player_id: frame}`` (shots as the feed
+    delivers them) lands in one write partitioned by player; an empty
+    frame is recorded as ``empty`` and not written. Row counts come from
+    ``observe`` on the write itself, so no second pass over the data is
+    made. Messages are kept whole.
     """
     date = date or run_date()
     rows = []
     for dataset, value in frames.items():
         if isinstance(value, Mapping):
-            for entity_id, df in value.items():
-                rows.append(_land_one(dataset, int(entity_id), df.withColumn(
-                    "player_id", F.lit(int(entity_id)).cast("bigint")) if "player_id" not in
-                    df.columns else df, root, season, date, True))
+            rows += _land_players(dataset, value, root, season, date)
         else:
-            rows.append(_land_one(dataset, None, value, root, season, date, False))
+            rows.append(_land_one(dataset, value, root, season, date))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
 def write_processed(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",),
-                    files_per_partition: int = 8, max_records_per_file: int = 5_000_000,
-                    cluster_by: Sequence[str] = ()) -> None:
+                    max_records_per_file: int = 5_000_000) -> None:
     """Write a processed table as Parquet partitioned by season.
 
-    Rows are spread over ``files_per_partition`` tasks per season with a
-    hash of ``cluster_by`` (or of all columns), so a large season is never
-    written by one task and a small one does not become thousands of tiny
-    files; ``maxRecordsPerFile`` caps file size. Only the seasons present in
-    ``df`` are replaced.
+    Rows are rebalanced by season: AQE cuts a large season into tasks of
+    the advisory size and joins small ones, so the number of write tasks
+    follows the data. ``maxRecordsPerFile`` splits files. Only the seasons
+    present in ``df`` are replaced.
     """
     parts = list(partition_by)
-    salt_cols = list(cluster_by) or [c for c in df.columns if c not in parts]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(files_per_partition))
-    out = df.repartition(*[F.col(c) for c in parts], salt)
+    out = df.hint("rebalance", *[F.col(c) for c in parts])
     (_dynamic(out).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*parts).parquet(path))
 

@@ -10,34 +10,22 @@ Two traps decide how files are read:
 * one scan over files with different headers applies one file's header
   to all of them.
 
-So columns are bound by header name, and every distinct header shape is
-read in its own scan: one text pass finds the header line of every file
-(only lines made entirely of known column names qualify), and each shape
-is read with its own header as schema from its own files. Names then
-resolve case-insensitively per shape and the shapes are unioned by name.
+So rows are read as text and bound by name to the first line of their
+own file, in one plan for any number of files and header versions: a small
+aggregate gives each file's header, a join brings it to the file's rows,
+and every wanted column is looked up in it. A CSV field may hold commas
+and doubled quotes, but no line break.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
-
-from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS, known_header_names
-from courtside.operators.broadcast import bounded_broadcast
-
-# More distinct header shapes than this in one read means the folder is
-# not a landing folder of this dataset.
-MAX_HEADER_SHAPES = 16
-# Up to this many landed files, the file -> header map is listed on the
-# driver and each shape reads its own files; beyond, shapes are separated
-# with a (broadcast, if at most MAX_BROADCAST_FILES) semi-join on the path.
-MAX_LISTED_FILES = 100_000
-MAX_BROADCAST_FILES = 1_000_000
 
+from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
 
 def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
                     keep: Iterable[str] = (), optional: Iterable[str] = ()) -> DataFrame:
@@ -57,8 +45,8 @@ def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
         if found is None:
             if target in optional:
                 continue
-            raise KeyError(f"None of {list(candidates)} found for '{target}'. "
-                           f"Available: {list(df.columns)}")
+            raise KeyError(f"no column for {target!r}: any of {list(candidates)} would do, "
+                           f"the frame has {list(df.columns)}")
         cols.append(F.col(f"`{found}`").alias(target))
         used.add(target)
     for k in keep:
@@ -67,76 +55,74 @@ def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
     return df.select(*cols)
 
 
-def tracked_players(df: DataFrame, ids: Sequence[int], max_inline: int = 1000,
-                    max_broadcast: int = MAX_BROADCAST_FILES, column: str = "player_id") -> DataFrame:
-    """Rows of the listed players. A short list is an ``IN`` predicate (pushed
-    to the scan); a longer one a left-semi join against the list, broadcast
-    up to ``max_broadcast`` ids (its size is the known length of the list),
-    beyond that a shuffle semi-join."""
-    ids = list(dict.fromkeys(int(i) for i in ids))
-    if len(ids) <= max_inline:
-        return df.where(F.col(column).isin(ids))
-    spark = df.sparkSession
-    id_df = spark.createDataFrame([(i,) for i in ids], f"{column} bigint")
-    if len(ids) <= max_broadcast:
-        id_df = F.broadcast(id_df)
-    return df.join(id_df, column, "left_semi")
+def tracked_players(df: DataFrame, ids: Sequence[int], column: str = "player_id") -> DataFrame:
+    """Rows of the listed players: a left-semi join with the list, which the
+    planner broadcasts or shuffles by its size."""
+    ids = [(int(i),) for i in dict.fromkeys(ids)]
+    wanted = df.sparkSession.createDataFrame(ids, "_tracked bigint")
+    return df.join(wanted, F.col(column) == F.col("_tracked"), "left_semi")
 
 
-def _is_header(dataset: str):
-    names = F.array(*[F.lit(n) for n in sorted(known_header_names(dataset))])
-    tokens = F.split(F.lower(F.regexp_replace(F.col("value"), '["\\s]', "")), ",")
-    return F.forall(tokens, lambda t: F.array_contains(names, t))
+def _tokens(line: Column) -> Column:
+    """Fields of a CSV line: commas outside quotes separate, doubled quotes are one quote,
+    and empty unquoted text is NULL."""
+    parts = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    def plain(t: Column) -> Column:
+        inner = F.regexp_extract(F.trim(t), '^"(.*)"$', 1)
+        quoted = F.trim(t).rlike('^".*"$')
+        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).when(t != "", t)
+    return F.transform(parts, plain)
 
 
-def _glob(root: str, dataset: str, season: str | None, date: str | None) -> tuple[str, str]:
-    base = f"{root.rstrip('/')}/{dataset}"
-    return base, f"{base}/season={season or '*'}/date={date or '*'}"
+def file_lines(text: DataFrame) -> DataFrame:
+    """(path, start, row, line and, from the folder names, season, date, player) of a text scan."""
+    path = F.col("_metadata.file_path")
+    part = [F.try_url_decode(F.nullif(F.regexp_extract(path, f"/{c}=([^/]+)/", 1), F.lit(""))).alias(f"_{c}")
+            for c in ("season", "date", "player_id")]
+    return text.select(path.alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                       F.monotonically_increasing_id().alias("_row"),
+                       F.regexp_replace("value", "^\ufeff|\r$", "").alias("_line"), *part).where(F.trim("_line") != "")
 
 
-def _shape_schema(header: str) -> T.StructType:
-    names = [t.strip().strip('"') for t in header.split(",")]
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+def _lines(spark: SparkSession, patterns: Sequence[str]) -> DataFrame | None:
+    """Lines of all files that match; None if no file does."""
+    try:
+        return file_lines(spark.read.text(list(patterns)))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def _read_layout(spark: SparkSession, base: str, pattern: str, dataset: str) -> list[DataFrame]:
-    """All header shapes of the files matching ``pattern``; [] if none match.
+def bind_by_header(lines: DataFrame, targets: Mapping[str, Sequence[str]], optional: Iterable[str] = ()) -> DataFrame:
+    """Rows of landed files with the target columns as text, and ``season`` and ``date``.
 
-    One job finds every file's header line. When there are at most
-    ``MAX_LISTED_FILES`` files, the (file, header) pairs come to the driver
-    and each shape is read from its own file list; beyond that only the
-    distinct shapes come back and each shape's scan keeps its files with a
-    left-semi join on the file path.
+    A file's header is its first line, whatever it says. Each row is bound
+    to its own file's header by name, so any number of header versions goes
+    through one plan; names nobody asked for are ignored, and a file
+    without any candidate of a required target raises an error that names
+    its candidates and header. No file is ever left out.
     """
-    try:
-        lines = spark.read.option("basePath", base).text(pattern)
-    except AnalysisException:
-        return []
-    headers = (lines.where(_is_header(dataset))
-               .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_hdr")))
-    reader = (spark.read.option("header", True).option("basePath", base)
-              .option("mode", "PERMISSIVE").option("enforceSchema", True))
-    # header lines are sparse (one per file): a global limit is one job
-    listed = headers.limit(MAX_LISTED_FILES + 1).collect()
-    if len(listed) <= MAX_LISTED_FILES:
-        by_shape: dict[str, list[str]] = {}
-        for r in listed:
-            by_shape.setdefault(r["_hdr"], []).append(r["_file"])
-        if len(by_shape) > MAX_HEADER_SHAPES:
-            raise ValueError(f"more than {MAX_HEADER_SHAPES} header shapes under {pattern}")
-        return [reader.schema(_shape_schema(h)).csv(sorted(files)) for h, files in by_shape.items()]
-    shapes = [r["_hdr"] for r in
-              headers.select("_hdr").distinct().limit(MAX_HEADER_SHAPES + 1).collect()]
-    if len(shapes) > MAX_HEADER_SHAPES:
-        raise ValueError(f"more than {MAX_HEADER_SHAPES} header shapes under {pattern}")
-    frames = []
-    for hdr in shapes:
-        files = bounded_broadcast(headers.where(F.col("_hdr") == hdr).select("_file"),
-                                  MAX_BROADCAST_FILES)
-        frames.append(reader.schema(_shape_schema(hdr)).csv(pattern)
-                      .withColumn("_file", F.col("_metadata.file_path"))
-                      .join(files, "_file", "left_semi").drop("_file"))
-    return frames
+    optional = set(optional)
+    heads = (lines.where("_start = 0").groupBy("_path").agg(F.min_by("_line", "_row").alias("_head"))
+             .withColumn("_names", F.transform(_tokens(F.col("_head")), lambda t: F.lower(F.trim(t)))))
+    at = []
+    for target, candidates in targets.items():
+        places = [F.array_position("_names", c.lower()) for c in candidates]
+        first = F.coalesce(*[F.when(p > 0, p) for p in places])
+        if target not in optional:
+            said = F.concat(F.lit(f"No column for {target!r} (any of {list(candidates)}) in the header "), F.col("_head"), F.lit(" of "), F.col("_path"))
+            first = F.coalesce(first, F.raise_error(said).cast("bigint"))
+        at.append(first.cast("int").alias(f"_{target}"))
+    season = F.array_position("_names", "season")
+    bound = heads.select(F.col("_path").alias("_of"), "_head", F.struct(*at, F.when(season > 0, season).cast("int").alias("_season")).alias("_at"))
+    rows = (lines.join(bound, F.col("_path") == F.col("_of")).where("_line <> _head")
+            .withColumn("_field", _tokens(F.col("_line"))))
+    def field(name: str) -> Column:
+        return F.get("_field", F.col(f"_at.{name}") - 1)
+    cols = [field(f"_{t}").alias(t) for t in targets]
+    return rows.select(*cols, F.coalesce("_season", field("_season")).alias("season"), F.col("_date").cast("date").alias("date"),
+                       F.col("_player_id"))
 
 
 def landing_targets(dataset: str) -> tuple[dict, set]:
@@ -150,29 +136,43 @@ def landing_targets(dataset: str) -> tuple[dict, set]:
     raise KeyError(f"unknown dataset {dataset!r}")
 
 
+def newest_dates(spark: SparkSession, base: str, season: str | None) -> list[str]:
+    """Folder patterns of each season's newest date, from folder names alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/season={season or '*'}/date=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    newest: dict[str, str] = {}
+    for status in found or []:
+        date = status.getPath()
+        newest[date.getParent().getName()] = max(newest.get(date.getParent().getName(), ""), date.getName())
+    return [f"{base}/{s}/{d}" for s, d in sorted(newest.items())]
+
+
 def read_landing(spark: SparkSession, root: str, dataset: str, season: str | None = None,
-                 date: str | None = None) -> DataFrame:
+                 date: str | None = None, newest_only: bool = False) -> DataFrame:
     """Landed rows of one dataset as strings under canonical names, plus the
     partition columns ``season`` and ``date``.
 
-    Each header shape is bound by name on its own (candidate names,
-    case-insensitive, see ``courtside.schemas``) before the shapes are
-    unioned, so ``WINS`` in one file and ``W`` in another both become
-    ``wins``. A shape missing a required column raises a KeyError naming
-    the candidates and the columns present.
+    Columns are bound by name per file (candidate names, case-insensitive,
+    see ``courtside.schemas``), so ``WINS`` in one file and ``W`` in another
+    both become ``wins``. ``newest_only`` reads each season's newest date
+    folder and nothing else. A player's shots that were landed on one date
+    both in the date folder and in a folder of the player's own count once
+    (the date folder's).
     """
-    base, pattern = _glob(root, dataset, season, date)
-    layouts = [f"{pattern}/*.csv"]
-    if dataset == "shot_charts":
-        layouts.append(f"{pattern}/player_id=*/*.csv")
+    base = f"{root.rstrip('/')}/{dataset}"
+    folders = newest_dates(spark, base, season) if newest_only else [f"{base}/season={season or '*'}/date={date or '*'}"]
     targets, optional = landing_targets(dataset)
-    frames = []
-    for lay in layouts:
-        for f in _read_layout(spark, base, lay, dataset):
-            frames.append(resolve_columns(f, targets, keep=("season", "date"), optional=optional))
-    if not frames:
-        raise FileNotFoundError(f"no landed {dataset} files under {pattern}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    bulk = _lines(spark, [f"{f}/*.csv" for f in folders]) if folders else None
+    single = _lines(spark, [f"{f}/player_id=*/*.csv" for f in folders]) if folders and dataset == "shot_charts" else None
+    if bulk is None and single is None:
+        raise FileNotFoundError(f"no landed {dataset} files under {folders or base}")
+    out = bind_by_header(bulk, targets, optional).drop("_player_id") if bulk is not None else None
+    if single is not None:
+        # the folder's name is the player where the file doesn't say
+        own = bind_by_header(single, targets, {*optional, "player_id"}).withColumn("player_id", F.coalesce("player_id", "_player_id")).drop("_player_id")
+        if out is not None:
+            there = out.select(F.col("season").alias("_s"), F.col("date").alias("_d"), F.col("player_id").alias("_p")).distinct()
+            own = own.join(there, F.col("season").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
+                           & F.col("player_id").eqNullSafe(F.col("_p")), "left_anti")
+        out = own if out is None else out.unionByName(own)
     return out

@@ -12,9 +12,8 @@ Plan shape, chosen for scale:
   hot supplier or customer collapses to one partial row per task;
 * the distinct-order count runs apart from the sums, so the one exchange
   that sees every lineitem row carries three key columns;
-* ``nation`` and ``region`` are broadcast only after an exact row-count
-  check; ``supplier`` and ``customer`` grow with the data and are left to
-  the planner and AQE;
+* how dimensions are joined is left to the planner and AQE, which know
+  their sizes;
 * money is summed in whole cents (BIGINT), so totals are exact and
   independent of partitioning; counts and whole-number sums are exact by
   construction.
@@ -28,11 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions.labels import made_label_sql, tier_label_sql, zone_label_sql
-from courtside.operators.broadcast import bounded_broadcasts, within_rows
-
-# Dimension tables at or below this many rows are broadcast.
-DIMENSION_MAX_ROWS = 10_000
-
 
 # Declared input schemas (only the columns the stand-ins read): no schema
 # inference job per read, and the scan's ReadSchema is exactly these.
@@ -51,21 +45,11 @@ INPUT_SCHEMAS = {
 }
 
 
-# One relation per table and session, like a catalog table: the file
-# listing is done once per session (as Spark's own file-status cache does
-# for catalog tables); every query still scans the whole table.
-_RELATIONS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None:
-        reader = spark.read
-        if name in INPUT_SCHEMAS:
-            reader = reader.schema(INPUT_SCHEMAS[name])
-        df = _RELATIONS[key] = reader.parquet(path)
+    reader = spark.read
+    if name in INPUT_SCHEMAS:
+        reader = reader.schema(INPUT_SCHEMAS[name])
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*columns) if columns else df
 
 
@@ -82,6 +66,12 @@ def _season_start_year(season: str | None) -> int | None:
     return None
 
 
+def _is_range(season: str) -> bool:
+    """Whether '1997-98' is exactly what the rows of its start year say."""
+    y = _season_start_year(season)
+    return y is not None and season == f"{y}-{(y + 1) % 100:02d}"
+
+
 def _exprs(*texts: str) -> list:
     return [F.expr(t) for t in texts]
 
@@ -126,8 +116,7 @@ def player_stats(spark: SparkSession, sf_dir: str, season: str | None = None) ->
         "count_if(l_linestatus = 'F') AS fta",
         "count_if(l_quantity >= 40 AND l_returnflag = 'A') AS tpm",
         "count_if(l_quantity >= 40) AS tpa")).join(games, ["player_id", "y"])
-    (nation,) = bounded_broadcasts(
-        [read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])], DIMENSION_MAX_ROWS)
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     supplier = (read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
                 .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     j = totals.join(supplier, F.col("player_id") == F.col("s_suppkey"))
@@ -149,7 +138,8 @@ def player_stats(spark: SparkSession, sf_dir: str, season: str | None = None) ->
         "pts / (2 * (fga + 0.44D * fta)) AS true_shooting_pct",
         f"{_season_of_year_sql('y')} AS season",
     )
-    return out if season is None else out.where(F.col("season") == season)
+    # a season text that the range doesn't stand for matches nothing or only itself
+    return out if season is None or _is_range(season) else out.where(F.col("season") == season)
 
 
 def team_standings(spark: SparkSession, sf_dir: str, season: str | None = None) -> DataFrame:
@@ -178,10 +168,6 @@ def team_standings(spark: SparkSession, sf_dir: str, season: str | None = None)
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    # region's key is unique, so nation x region has at most nation's rows:
-    # both within the bound proves the joined side is too.
-    if all(within_rows([nation, region], DIMENSION_MAX_ROWS)):
-        geo = F.broadcast(geo)
     t = per_nation.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     t = t.selectExpr("*", "try_divide(w, nullif(w + l, 0)) AS _win_pct",
                      "CAST(pf AS DOUBLE) / 100 / 1000 / nullif(w, 0) AS _ppg",
@@ -207,7 +193,7 @@ def team_standings(spark: SparkSession, sf_dir: str, season: str | None = None)
         "_ppg - _oppg AS net_rating",
         "CAST(y AS STRING) AS season",
     )
-    return out if season is None else out.where(F.col("season") == season)
+    return out if season is None or season == str(y0) else out.where(F.col("season") == season)
 
 
 def shot_charts(spark: SparkSession, sf_dir: str) -> DataFrame:

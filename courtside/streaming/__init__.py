@@ -1,5 +1,5 @@
-"""Incremental pickup of newly landed snapshot files."""
+"""Incremental pickup of landed files."""
 
-from courtside.streaming.landing_stream import landing_stream_schema, stream_landing
+from courtside.streaming.landing_stream import stream_landing
 
-__all__ = ["landing_stream_schema", "stream_landing"]
+__all__ = ["stream_landing"]

@@ -2,63 +2,55 @@
 
 The daily landing becomes a file stream: each run (``availableNow``)
 processes only the files that arrived since the last one, recorded in a
-checkpoint under the session's shared checkpoint folder, and appends
-them, typed and derived, to a season-partitioned Parquet table. The
-stream is stateless; choosing the newest snapshot stays a batch step
-downstream (``courtside.operators.latest_snapshot``), so no streaming
-state grows with the data.
-
-A stream has one schema, so landed headers must already be canonical and
-in one layout: our bulk ``land_snapshot`` (one folder per season and date,
-canonical headers, season and date in the folder names).
-``enforceSchema=false`` makes a file whose header disagrees fail instead
-of binding columns by position; drifting upstream headers go through the
-batch ``read_landing`` instead.
+checkpoint under the session's shared checkpoint folder, and adds them,
+typed and derived, to a season-partitioned Parquet table. The stream is
+stateless; choosing the newest snapshot stays a batch step downstream
+(``courtside.operators.latest_snapshot``), so no streaming state grows
+with the data.
+
+Files are streamed as text and each micro-batch binds its rows to their own
+file's header, as the batch reader does: any header version, ``season`` inside
+the file or not, one file per player or one for all. A batch writes to a
+``load=<batch>`` partition of its seasons and replaces only that, so a batch
+that is retried after a failure doesn't count twice.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courtside.plans.normalize import _STEPS
-from courtside.schemas import RAW_COLUMNS
 from courtside.session import checkpoint_root
-
-
-def landing_stream_schema(dataset: str) -> T.StructType:
-    """All-string canonical columns in landed order, plus the partition
-    columns ``season`` and ``date`` (taken from the folder names)."""
-    fields = [T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[dataset]]
-    fields += [T.StructField("season", T.StringType(), True),
-               T.StructField("date", T.StringType(), True)]
-    return T.StructType(fields)
+from courtside.sources.landing import bind_by_header, file_lines, landing_targets
 
 
 def stream_landing(spark: SparkSession, root: str, dataset: str, out: str,
                    checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                    wait: bool = True) -> StreamingQuery:
-    """Process every landed file not seen before and append it to ``out``."""
+    """Process every landed file not seen before and add it to ``out``."""
     if checkpoint is None:
         checkpoint = os.path.join(checkpoint_root(spark), "courtside", "streams", dataset)
-    reader = (spark.readStream.schema(landing_stream_schema(dataset))
-              .option("header", True).option("enforceSchema", False)
-              .option("recursiveFileLookup", False))
+    reader = (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(f"{root.rstrip('/')}/{dataset}")
+    targets, optional = landing_targets(dataset)
     normalize, derive, schema = _STEPS[dataset]
-    typed = derive(normalize(raw))
-    cols = [F.col(f.name).cast(f.dataType) for f in schema.fields] + [F.col("date")]
-    q = (typed.select(*cols).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("season")
-         .trigger(availableNow=True)
-         .start(out))
+
+    def add(batch: DataFrame, number: int) -> None:
+        rows = bind_by_header(file_lines(batch), targets, {*optional, "player_id"} if dataset == "shot_charts" else optional)
+        if "player_id" in rows.columns:
+            rows = rows.withColumn("player_id", F.coalesce("player_id", "_player_id"))
+        typed = derive(normalize(rows.drop("_player_id")))
+        (typed.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], "date", F.lit(number).alias("load"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("season", "load").parquet(out))
+
+    raw = reader.text(f"{root.rstrip('/')}/{dataset}").select("value", "_metadata")
+    q = (raw.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()
     return q

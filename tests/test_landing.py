@@ -65,9 +65,9 @@ def test_header_drift_binds_by_name(spark, workdir):
 def test_missing_required_header_raises(spark, workdir):
     write_text(f"{workdir}/team_standings/season=2024-25/date=2025-01-01/standings.csv",
                VARIANT_D + "\n1,Atlanta,Hawks,ATL,East,SE,10,5,0.667,6-2,4-3,110.5,105.2,5.3\n")
-    with pytest.raises(KeyError) as e:
-        read_landing(spark, workdir, "team_standings")
-    assert "L10" in str(e.value)
+    with pytest.raises(Exception) as e:
+        read_landing(spark, workdir, "team_standings").collect()
+    assert "L10" in str(e.value) and "TeamID" in str(e.value)
 
 
 def test_players_edge_rows(spark, workdir):
@@ -144,9 +144,9 @@ def test_manifest_records_errors_without_stopping(spark, workdir):
 def test_write_processed_replaces_one_season_only(spark, workdir):
     out = f"{workdir}/processed/t"
     a = spark.createDataFrame([(1, "2023-24"), (2, "2024-25")], "v int, season string")
-    write_processed(a, out, files_per_partition=2)
+    write_processed(a, out)
     b = spark.createDataFrame([(3, "2024-25")], "v int, season string")
-    write_processed(b, out, files_per_partition=2)
+    write_processed(b, out)
     got = sorted((r.season, r.v) for r in read_processed(spark, "t", path=out).collect())
     assert got == [("2023-24", 1), ("2024-25", 3)]
 
@@ -171,7 +171,8 @@ def test_catalog_picks_up_new_season_and_sql_binds_values(spark, workdir):
 def test_tracked_players_short_and_long_lists(spark):
     df = spark.range(5000).withColumnRenamed("id", "player_id")
     assert tracked_players(df, [1, 2, 3]).count() == 3
-    assert tracked_players(df, list(range(0, 4000, 2)), max_inline=10).count() == 2000
+    assert tracked_players(df, list(range(0, 4000, 2))).count() == 2000
+    assert tracked_players(df, []).count() == 0
 
 
 def test_stream_landing_processes_only_new_files(spark, workdir):
@@ -229,36 +230,124 @@ def test_run_daily_lands_processes_and_registers(spark, workdir):
     assert [(r.player_name, r.ppg) for r in got] == [("A Player", 25.5)]
 
 
-def test_header_shapes_beyond_the_listing_bound(spark, workdir, monkeypatch):
-    """Past MAX_LISTED_FILES the shapes are split with a semi-join on the path: same rows."""
-    import courtside.sources.landing as landing
+def test_unknown_columns_quotes_ids_and_null_keys_lose_no_row(spark, workdir):
+    base = f"{workdir}/shot_charts/season=2024-25"
+    extra = SHOT_HEADER.replace("player_name", "scout,player_name")
+    row = _shot("0022400001", "9007199254740993", "NAME", 4, 5, 3, 1).replace("NAME", 'x,"Al ""Ace"" B, Jr"')
+    write_text(f"{base}/date=2025-01-02/shots.csv", extra + "\n" + row + "\n"
+               + _shot("0022400002", "n/a", "NAME", 4, 5, 3, 0).replace("NAME", "y,C") + "\n"
+               + _shot("0022400003", "", "NAME", 4, 5, 3, 0).replace("NAME", ",D") + "\n")
+    got = {r.game_id: r for r in build_processed(spark, workdir, "shot_charts").collect()}
+    assert set(got) == {"0022400001", "0022400002", "0022400003"}
+    first = got["0022400001"]
+    assert (first.player_id, first.player_name, first.shot_distance, first.shot_zone_area) == (9007199254740993, 'Al "Ace" B, Jr', 3, "Center(C)")
+    assert got["0022400002"].player_id is None and got["0022400002"].player_name == "C"
+
+
+def test_text_survives_landing(spark, workdir):
+    from courtside.schemas import SHOT_COLUMNS
+    names = ['Al "Ace" B, Jr', "O'Neal", "back\\slash", '"', ",", "plain"]
+    rows = [tuple(n if c == "player_name" else str(i) for c in SHOT_COLUMNS) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in SHOT_COLUMNS))
+    land_snapshot(df, workdir, "shot_charts", "2024-25", "2025-01-02")
+    assert sorted(r.player_name for r in read_landing(spark, workdir, "shot_charts").collect()) == sorted(names)
+
+
+def test_many_header_versions_in_one_read(spark, workdir):
     base = f"{workdir}/team_standings/season=2024-25"
-    write_text(f"{base}/date=2025-01-01/standings.csv",
-               VARIANT_A + "\n1,Atlanta,Hawks,ATL,East,SE,10,5,0.667,6-2,4-3,7-3,110.5,105.2,5.3\n")
-    write_text(f"{base}/date=2025-01-02/standings.csv",
-               VARIANT_B + "\n1,Atlanta,Hawks,hawks,East,SE,5,11,0.688,6-2,5-3,7-3,111,105,6\n")
-    monkeypatch.setattr(landing, "MAX_LISTED_FILES", 1)
-    got = sorted((str(r.date), r.wins, r.losses) for r in
-                 read_landing(spark, workdir, "team_standings").collect())
-    assert got == [("2025-01-01", "10", "5"), ("2025-01-02", "11", "5")]
+    for i in range(20):
+        write_text(f"{base}/date=2025-01-{i + 1:02d}/standings.csv",
+                   f"NEW{i}," + VARIANT_A + f"\nz,1,Atlanta,Hawks,ATL,East,SE,{i},5,0.667,6-2,4-3,7-3,110.5,105.2,5.3\n")
+    assert sorted(int(r.wins) for r in read_landing(spark, workdir, "team_standings").collect()) == list(range(20))
+    newest = build_processed(spark, workdir, "team_standings")
+    assert [r.wins for r in newest.collect()] == [19]
+    assert all("date=2025-01-20" in f for f in read_landing(spark, workdir, "team_standings", newest_only=True).inputFiles())
 
 
-def test_latest_snapshot_beyond_the_broadcast_bound(spark):
-    from courtside.operators import latest_snapshot
-    rows = [("s", i % 3, f"2025-01-0{1 + i % 2}", i) for i in range(12)]
-    df = spark.createDataFrame(rows, "season string, player_id int, date string, v int") \
-        .withColumn("date", F.to_date("date"))
-    small = sorted(r.v for r in latest_snapshot(df, ["season", "player_id"]).collect())
-    big = sorted(r.v for r in latest_snapshot(df, ["season", "player_id"],
-                                              max_broadcast_rows=1).collect())
-    assert small == big and len(small) > 0
+def test_shots_landed_in_both_layouts_count_once(spark, workdir):
+    base = f"{workdir}/shot_charts/season=2024-25/date=2025-01-01"
+    write_text(f"{base}/all.csv", SHOT_HEADER + "\n" + _shot("g1", 1, "A", 4, 5, 3, 1) + "\n")
+    write_text(f"{base}/player_id=1/p.csv", SHOT_HEADER + "\n" + _shot("g1", 1, "A", 4, 5, 3, 1) + "\n")
+    write_text(f"{base}/player_id=2/p.csv", SHOT_HEADER + "\n" + _shot("g2", 2, "B", 4, 5, 3, 1) + "\n")
+    assert sorted(r.game_id for r in read_landing(spark, workdir, "shot_charts").collect()) == ["g1", "g2"]
 
 
-def test_write_processed_spreads_a_season_over_bounded_files(spark, workdir):
+def test_reading_and_selecting_starts_no_job(spark, workdir):
+    from courtside.operators import latest_snapshot
+    from courtside.sources import standins
+    base = f"{workdir}/team_standings/season=2024-25/date=2025-01-01"
+    write_text(f"{base}/s.csv", VARIANT_A + "\n1,Atlanta,Hawks,ATL,East,SE,10,5,0.667,6-2,4-3,7-3,110.5,105.2,5.3\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("plans", "plans")
+    try:
+        build_processed(spark, workdir, "team_standings")
+        latest_snapshot(spark.range(5).withColumn("date", F.lit("2025-01-01")), ["id"])
+        standins.player_stats(spark, "/root/testdata/sf0.001", "1997-98")
+        assert not sc.statusTracker().getJobIdsForGroup("plans")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_write_processed_follows_the_size(spark, workdir):
     import glob
-    out = f"{workdir}/processed/t"
-    df = spark.range(5000).selectExpr("id AS v", "'2024-25' AS season")
-    write_processed(df, out, files_per_partition=3)
-    files = glob.glob(f"{out}/season=2024-25/*.parquet")
-    assert 1 <= len(files) <= 3
-    assert spark.read.parquet(out).count() == 5000
+    rows = spark.range(400_000).selectExpr("id AS v", "sha2(cast(id AS string), 256) AS t", "'2024-25' AS season")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        for n in (1000, 400_000):
+            write_processed(rows.limit(n).repartition(8), f"{workdir}/t{n}")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    few, many = (len(glob.glob(f"{workdir}/t{n}/season=2024-25/*.parquet")) for n in (1000, 400_000))
+    assert few == 1 and many >= 4
+
+
+def test_added_column_shows_in_the_catalog(spark, workdir):
+    out = f"{workdir}/t"
+    write_processed(spark.createDataFrame([(1, "2023-24")], "a int, season string"), out)
+    register_table(spark, "grown", out, database="cs_grown")
+    write_processed(spark.createDataFrame([(2, 7, "2024-25")], "a int, b int, season string"), out)
+    register_table(spark, "grown", out, database="cs_grown")
+    got = {r.a: r.b for r in spark.table("cs_grown.grown").collect()}
+    assert got == {1: None, 2: 7}
+
+
+def test_run_query_rejects_unknown_parameters(spark):
+    with pytest.raises(TypeError, match="min_gmaes"):
+        run_query(spark, "p_top20", season="x", min_gmaes=3)
+
+
+def test_run_sql_binds_values(spark):
+    from courtside.plans.templates import run_sql
+    spark.createDataFrame([("De'Aaron X", 1), ("B", 2)], "player_name string, v int").createOrReplaceTempView("cs_bound")
+    got = run_sql(spark, "SELECT v FROM IDENTIFIER(:t) WHERE player_name = :p", t="cs_bound", p="De'Aaron X")
+    assert [r.v for r in got.collect()] == [1]
+
+
+def test_manifest_keeps_the_whole_message(spark, workdir):
+    bad = spark.createDataFrame([(1,)], "x int").select(F.raise_error(F.lit("boom" * 2000)).cast("string").alias("x"))
+    m = land_all(spark, {"team_standings": bad}, f"{workdir}/l", "2024-25", "2025-01-01").first()
+    assert m.status == "error" and "boom" * 2000 in m.message
+
+
+def test_daily_shots_keep_players_that_did_not_land(spark, workdir):
+    from courtside.plans.pipeline import run_daily
+    from courtside.schemas import SHOT_COLUMNS
+    cols = ", ".join(f"{c} string" for c in SHOT_COLUMNS if c != "player_id")
+    def shots(game):
+        return spark.createDataFrame([tuple(game if c == "game_id" else "4" for c in SHOT_COLUMNS if c != "player_id")], cols)
+    args = (f"{workdir}/raw", f"{workdir}/processed", "2024-25")
+    run_daily(spark, {"shot_charts": {1: shots("g1"), 2: shots("g2")}}, *args, "2025-01-01", database="cs_merge")
+    run_daily(spark, {"shot_charts": {1: shots("g3"), 3: shots("g4")}}, *args, "2025-01-02", database="cs_merge")
+    got = sorted((r.player_id, r.game_id) for r in read_processed(spark, "shot_charts", path=f"{workdir}/processed/shot_charts").collect())
+    assert got == [(1, "g3"), (2, "g2"), (3, "g4")]
+
+
+def test_save_result_formats(spark, workdir):
+    from courtside.sinks.files import save_result
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    save_result(df, f"{workdir}/p")
+    save_result(df, f"{workdir}/c", "csv")
+    assert spark.read.parquet(f"{workdir}/p").collect() == df.collect()
+    assert spark.read.option("header", True).csv(f"{workdir}/c").columns == ["x", "y"]
+    with pytest.raises(ValueError):
+        save_result(df, f"{workdir}/x", "xml")

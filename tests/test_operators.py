@@ -3,7 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from courtside.operators import (
-    arg_extreme, bounded_broadcast, latest_snapshot, rate_by_group, seed_within,
+    arg_extreme, conditional_rate, latest_snapshot, rate_by_group, seed_within,
     share_of_total, top_k,
 )
 
@@ -92,11 +92,34 @@ def test_latest_snapshot_keys_and_idempotent(spark):
     assert again == got
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j1 = spark.range(100).join(bounded_broadcast(small, 100), "id")
-    j2 = spark.range(100).join(bounded_broadcast(big, 100), "id")
-    assert "strategy=broadcast" in j1._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in j2._jdf.queryExecution().analyzed().toString()
-    assert j1.count() == 10 and j2.count() == 100
+def test_latest_snapshot_keeps_rows_with_a_null_key(spark):
+    rows = [(None, "2025-01-01", 1), (None, "2025-01-02", 2), (1, "2025-01-01", 3), (1, None, 4)]
+    df = spark.createDataFrame(rows, "player_id long, date string, v int").withColumn("date", F.to_date("date"))
+    for few in (False, True):
+        assert sorted(r.v for r in latest_snapshot(df, ["player_id"], few_keys=few).collect()) == [2, 3]
+
+
+def test_conditional_rate(spark):
+    df = spark.createDataFrame([(1, "a"), (0, "a"), (None, "a"), (1, "b")], "f int, k string")
+    got = df.agg(conditional_rate("f", F.col("k") == "a").alias("a"), conditional_rate("f", F.col("k") == "c").alias("c")).first()
+    assert got.a == 50.0 and got.c is None
+
+
+def test_positions_are_exact_over_ranges(spark):
+    from courtside.operators.ranking import positions
+    rows = [(f"t{i:03d}", float(i % 40) if i % 17 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "team string, pct double")
+    got = {r.team: r.position for r in positions(df, "pct", ["team"], ranges=7).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert got == {t: i + 1 for i, (t, _) in enumerate(order)}
+    assert positions(df.limit(0), "pct", ["team"]).count() == 0
+    plan = positions(df, "pct", ["team"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(_range" in plan
+
+
+def test_cards_ignore_nan(spark):
+    from courtside.plans.dashboard import k_players
+    rows = [("A", 20.0, 0.5, 0.4, 10.0), ("B", float("nan"), float("nan"), 0.3, float("nan"))]
+    d = spark.createDataFrame(rows, "player_name string, ppg double, fg_pct double, three_pct double, efficiency double")
+    k = k_players(d).first()
+    assert (k.scoring_leader, k.scoring_leader_ppg, k.top_efficiency_player, k.top_efficiency, k.best_fg_pct) == ("A", 20.0, "A", 10.0, 50.0)
