@@ -44,6 +44,8 @@ def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, da
             out = out.withColumn(name, F.lit(value))
         elif name not in df.columns:
             raise KeyError(f"{name}=None needs a {name!r} column")
+    if by_player:  # a few files a player, more for a player with much
+        out = out.hint("rebalance", F.col("player_id"))
     (_dynamic(out).option("header", True).option("quote", '"').option("escape", '"')
      .partitionBy(*parts).csv(f"{root.rstrip('/')}/{dataset}"))
     return snapshot_path(root, dataset, season or "*", date or "*")
@@ -67,10 +69,9 @@ def _land_players(dataset: str, frames: Mapping[int, DataFrame], root: str, seas
     try:
         tagged = [df.withColumn("player_id", F.lit(int(i)).cast("bigint")) for i, df in frames.items()]
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        rows = rows.withColumn("_land_id", F.col("player_id")).repartition("player_id")
         obs = Observation(f"land_{dataset}")
-        counts = [F.count_if(F.col("_land_id") == int(i)).alias(f"n{k}") for k, i in enumerate(frames)]
-        land_snapshot(rows.observe(obs, *counts).drop("_land_id"), root, dataset, season, date, True)
+        counts = [F.count_if(F.col("player_id") == int(i)).alias(f"n{k}") for k, i in enumerate(frames)]
+        land_snapshot(rows.observe(obs, *counts), root, dataset, season, date, True)
         got = obs.get
         return [(dataset, int(i), "success", int(got[f"n{k}"]), snapshot_path(root, dataset, season, date, int(i)), None)
                 if got[f"n{k}"] else (dataset, int(i), "empty", 0, None, "no rows; nothing written")
