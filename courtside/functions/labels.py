@@ -1,5 +1,6 @@
 """Derived labels of the processed tables. Cut points are parameters
-(defaults in ``courtside.schemas``); NULL input stays NULL."""
+(defaults in ``courtside.schemas``); NULL input stays NULL. The ladders are
+SQL text (one parse on the JVM); the Column forms wrap it."""
 
 from __future__ import annotations
 
@@ -16,41 +17,11 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def tier_label(win_pct, tiers=DEFAULT_TIERS, otherwise=DEFAULT_TIER_ELSE) -> Column:
-    """``win_pct_label``: first tier whose lower bound is reached."""
-    v = _c(win_pct)
-    expr = None
-    for bound, label in tiers:
-        expr = F.when(v >= bound, label) if expr is None else expr.when(v >= bound, label)
-    return expr.when(v.isNotNull(), otherwise)
-
-
-def zone_label(distance, bounds=DEFAULT_ZONE_BOUNDS, otherwise=DEFAULT_ZONE_ELSE) -> Column:
-    """``shot_zone_label``: first bucket whose upper bound exceeds the distance."""
-    v = _c(distance)
-    expr = None
-    for bound, label in bounds:
-        expr = F.when(v < bound, label) if expr is None else expr.when(v < bound, label)
-    return expr.when(v.isNotNull(), otherwise)
-
-
-def made_label(flag) -> Column:
-    f = _c(flag)
-    return F.when(f == 1, MADE_LABEL).when(f == 0, MISSED_LABEL)
-
-
 def true_shooting(points, fga, fta) -> Column:
     """Points / (2 * (FGA + 0.44 * FTA)); NULL when attempts are missing or zero."""
     return F.try_divide(_c(points), F.lit(2) * (_c(fga) + F.lit(0.44) * _c(fta)))
 
 
-# SQL-text forms of the same ladders, for plans written as SQL expressions
-# (one parse on the JVM instead of one round trip per Column node).
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -68,3 +39,17 @@ def zone_label_sql(distance: str, bounds=DEFAULT_ZONE_BOUNDS, otherwise=DEFAULT_
 def made_label_sql(flag: str) -> str:
     return (f"CASE WHEN {flag} = 1 THEN {_lit(MADE_LABEL)} "
             f"WHEN {flag} = 0 THEN {_lit(MISSED_LABEL)} END")
+
+
+def tier_label(win_pct: str, tiers=DEFAULT_TIERS, otherwise=DEFAULT_TIER_ELSE) -> Column:
+    """``win_pct_label``: first tier whose lower bound is reached."""
+    return F.expr(tier_label_sql(win_pct, tiers, otherwise))
+
+
+def zone_label(distance: str, bounds=DEFAULT_ZONE_BOUNDS, otherwise=DEFAULT_ZONE_ELSE) -> Column:
+    """``shot_zone_label``: first bucket whose upper bound exceeds the distance."""
+    return F.expr(zone_label_sql(distance, bounds, otherwise))
+
+
+def made_label(flag: str) -> Column:
+    return F.expr(made_label_sql(flag))

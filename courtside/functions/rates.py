@@ -21,8 +21,3 @@ def pct_rate(numerator, denominator, digits: int = 1) -> Column:
     """round(numerator * 100.0 / denominator, digits) in exact decimal; NULL on 0/NULL."""
     num = _c(numerator).cast("decimal(20,0)") * F.lit(Decimal("100.0"))
     return F.round(F.try_divide(num, _c(denominator).cast("decimal(20,0)")), digits).cast("double")
-
-
-def pct_of(value, digits: int = 1) -> Column:
-    """round(value * 100, digits) for a fraction stored as DOUBLE."""
-    return F.round(_c(value) * F.lit(100), digits)

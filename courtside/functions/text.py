@@ -35,8 +35,3 @@ def record_text(wins, losses) -> Column:
 def thousands_text(value) -> Column:
     """'1,234'."""
     return F.format_string("%,d", _c(value))
-
-
-def display_name(city, name) -> Column:
-    """``city || ' ' || name``: NULL in, NULL out (unlike concat_ws)."""
-    return F.concat(_c(city), F.lit(" "), _c(name))

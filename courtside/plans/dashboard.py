@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from courtside.functions.coerce import without_nan
 from courtside.functions.rates import pct_rate
-from courtside.functions.text import percent_text, record_text, signed_text
+from courtside.functions.text import percent_text, record_text, signed_text, thousands_text
 from courtside.operators.aggregate import conditional_rate, rate_by_group
 from courtside.operators.extremes import arg_extreme, display_key, first_in_order
 from courtside.operators.ranking import positions
@@ -117,6 +117,7 @@ def k_shots(d: DataFrame) -> DataFrame:
     n3 = F.count_if(is3)
     return d.agg(
         n.cast("bigint").alias("total_attempts"),
+        thousands_text(n).alias("total_attempts_text"),
         F.when(n == 0, F.lit(0.0))
         .otherwise(pct_rate(F.coalesce(F.sum(flag), F.lit(0)), n)).alias("fg_pct"),
         n3.cast("bigint").alias("three_attempts"),

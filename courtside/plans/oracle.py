@@ -339,7 +339,7 @@ SELECT arg_min(team, ord) AS best_record_team,
 FROM o""",
 
     "k_shots": _with(_S, D_SHOTS_CTE) + f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS total_attempts,
+SELECT CAST(COUNT(*) AS BIGINT) AS total_attempts, format('{{:,}}', COUNT(*)) AS total_attempts_text,
        CASE WHEN COUNT(*) = 0 THEN 0.0
             ELSE {_RATE.format(num="COALESCE(SUM(shot_made_flag), 0)", den="COUNT(*)")} END
          AS fg_pct,
