@@ -3,7 +3,8 @@
 A text's parts are its lines, its sentences, its paragraphs and the text as a whole, normalised
 (lower case; anything but a-z and 0-9 separates words). A part is compared with a template only if
 its word count allows a Dice coefficient of ``THRESHOLD`` (with sizes a and b it is at most
-2 min(a, b) / (a + b)); this bound prunes nearly all pairs before bigrams are compared. All of it
+2 min(a, b) / (a + b)); this bound prunes nearly all pairs before bigrams are compared. Texts without any of the
+words that a match can't lack (``key_words``) are left out before they are cut into parts. All of it
 is DataFrame functions beside the scan: no join, no Python, and only matches are shuffled.
 
 Defined cases: null and empty texts match nothing. A document may match several licences; each is
@@ -60,7 +61,26 @@ def template_bigrams(text: str) -> list[str]:
 def size_bounds(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     """Least and most bigrams of a part that can reach the threshold with a template of ``n``."""
     low, high = n * threshold / (2 - threshold), n * (2 - threshold) / threshold
-    return int(-(-low // 1)), int(high // 1)
+    return int(-(-(low - 1e-9) // 1)), int((high + 1e-9) // 1)  # a bound that is whole counts
+
+
+def key_words(templates: list[list[str]], threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every text with a match has one.
+
+    A part at the threshold shares at least ``size_bounds(n)[0]`` of a
+    template's n bigrams. So if more than the rest of its bigrams hold one of some
+    words, the part has one of them; long words are taken first.
+    """
+    out: set[str] = set()
+    for grams in templates:
+        n = len(grams)
+        mine: set[str] = set()
+        for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+            if sum(bool(mine.intersection(g.split())) for g in grams) > n - size_bounds(n, threshold)[0]:
+                break
+            mine.add(w)
+        out |= mine
+    return sorted(out)
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,7 +105,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     known = [(name, template_bigrams(t)) for name, t in (templates or TEMPLATES)]
     bounds = [size_bounds(len(b), threshold) for _, b in known]
     least, most = min(a for a, _ in bounds), max(b for _, b in bounds)
-    words = pieces(docs, id_col, text_col).select("id", F.filter(F.split("piece", "[ \n]+"), lambda w: w != "").alias("w"))
+    words = f"(?:^|[^a-z0-9])(?:{'|'.join(key_words([b for _, b in known], threshold))})(?:[^a-z0-9]|$)"
+    able = docs.select(id_col, text_col).filter(F.lower(F.col(text_col)).rlike(words))  # no other text can match
+    words = pieces(able, id_col, text_col).select("id", F.filter(F.split("piece", "[ \n]+"), lambda w: w != "").alias("w"))
     sized = words.filter((F.size("w") > least) & (F.size("w") <= most + 1))
     pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
     grams = sized.select("id", (F.size("w") - 1).alias("m"), F.array_distinct(pairs).alias("b"))

@@ -40,3 +40,15 @@ def test_scan(spark):
     con.register("documents", docs.toArrow())
     assert {(a, b): (c, d) for a, b, c, d in con.sql(f"SELECT doc_id, licence, dice, parts FROM ({X.oracle()})").fetchall()} == want
     assert X.scan(docs.limit(0)).count() == 0
+
+
+def test_every_match_has_a_key_word():
+    import random
+
+    grams = {t: X.template_bigrams(t) for _, t in X.TEMPLATES}
+    keys = set(X.key_words(list(grams.values())))
+    r = random.Random(5)
+    for text, b in grams.items():
+        for _ in range(50):  # the fewest bigrams that can still reach the threshold
+            kept = r.sample(b, -(-2 * len(b) // 3))
+            assert keys & {w for g in kept for w in g.split()}
