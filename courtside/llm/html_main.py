@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from courtside.llm.common import cut, raw_texts
 
 MIN_PAGES = 4
+#: A host's pages meet its paths of low importance in so many parts: a host may hold a third of all pages.
+PARTS = 32
 #: Branches with a composite importance below this go; the composite weighs content and presentation.
 LEAST, CONTENT, PRESENTATION = 0.25, 0.75, 0.25
 
@@ -206,7 +208,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
     tree = style_tree(rows)
     low = cut(tree.filter((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST)).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")))
-    joined = rows.join(low, "host", "left").select("id", "url", "html", F.coalesce("low", F.array().cast("array<string>")).alias("low"))
+    part = F.pmod(F.xxhash64("url", "id"), F.lit(PARTS)).cast("int")
+    spread = low.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    joined = rows.withColumn("part", part).join(spread, ["host", "part"], "left").select("id", "url", "html", F.coalesce("low", F.array().cast("array<string>")).alias("low"))
     schema = f"id {dict(rows.dtypes)['id']}, url {dict(rows.dtypes)['url']}, text string, n_chars long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
