@@ -34,7 +34,7 @@ CLASSES = 64
 SYMBOLS, ENDINGS = 2048, 2048
 ENDING_BYTES = 3
 HEAD = 200_000
-SWEEPS = 10
+SWEEPS, SWEEP_TASKS = 10, 12
 SMOOTH = 5.0
 #: Word forms counted in a task before it passes them on.
 FORMS = 400_000
@@ -189,7 +189,8 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[dict, DataFrame]:
     head = head_words(words)
     symbols = {w: i for i, (w, _) in enumerate(head[:SYMBOLS])}
     symbols |= {w: ending(w) for w, _ in head[SYMBOLS:]}
-    bigrams = cut(count_bigrams(texts, symbols))
+    # at most (symbols + endings + 1) ** 2 rows at any corpus size: a few tasks a sweep, each with one sum to pass on
+    bigrams = cut(count_bigrams(texts, symbols)).coalesce(SWEEP_TASKS)
     classes, table = cluster(bigrams)
     shared = docs.sparkSession.sparkContext.broadcast((symbols, classes))
 
