@@ -9,8 +9,8 @@ the words of a text, Viterbi with a price for each change of language gives span
 language is the one with the most letters, its score the share of letters in that language's spans.
 
 Defined cases: null, empty and letterless texts are ``und`` with score 0 and no spans, and so is
-everything if no training row has a language. Ties go to the language first by code point. Texts
-are used whole, however long; repeated rows get equal results.
+everything if no training row has a language. Ties go to the language first by code point. Result
+columns take the place of equal-named ones. Texts are used whole, however long; repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> di
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), raw_texts(batch.column(1))
-            for lo, hi in slabs(texts, 16_000_000):
+            for lo, hi in slabs(texts):
                 seen = WordIds()
                 used = [(langs[i], seen.of(lowered(texts[i]))) for i in range(lo, hi)]
                 words = seen.words
@@ -194,7 +194,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "l
 
         def work(texts: list) -> list:
             out: list[list] = [[], [], []]
-            for lo, hi in slabs(texts, 24_000_000):
+            for lo, hi in slabs(texts):
                 for x, got in zip(out, some(texts[lo:hi])):
                     x.extend(got)
             return out[: len(fields)]
