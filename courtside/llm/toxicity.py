@@ -29,11 +29,11 @@ from pyspark.sql import types as T
 
 from courtside.llm.common import WHITE_RE, WordIds, families, per_batch, slabs
 
-DECAY, SPAN = 0.7, 6
+DECAY, SPAN = 0.7, 5
 #: The kernel is raised to this power (a product of kernels): near matches stand out from chance likeness.
 POWER = 2
 MARKS, OTHERS = 224, 32
-FLOOR = 0.6
+FLOOR = 0.55
 #: Groups of like landmarks, used to rule words out early.
 FAMILIES = 24
 MAX_LABELLED = 8192
@@ -107,6 +107,7 @@ class Kernel:
         self.table = np.zeros((len(self.codes), len(landmarks)), np.float32)
         self.table[at, w] = weight
         self.table /= np.maximum(np.sqrt((self.table**2).sum(axis=0)), 1e-12)
+        self.top = self.table.max(axis=1)
         self.most = [self.table[:, f].max(axis=1) for f in families(self.table.T @ self.table, FAMILIES)]
 
     def near(self, words: list[bytes], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,7 +117,10 @@ class Kernel:
         at = np.searchsorted(self.codes, code)
         known = self.codes[np.minimum(at, len(self.codes) - 1)] == code
         w, at, weight = w[known], at[known], weight[known]
-        # the most that a landmark of each family could give: nothing at or above the floor is lost
+        # the most that any landmark, then a landmark of each family, could give: nothing at or above the floor is lost
+        maybe = np.bincount(w, weights=weight * self.top[at], minlength=len(words)) >= floor * least
+        keep = maybe[w]
+        w, at, weight = w[keep], at[keep], weight[keep]
         live = np.zeros(len(words), bool)
         for most in self.most:
             live |= np.bincount(w, weights=weight * most[at], minlength=len(words)) >= floor * least
@@ -240,9 +244,10 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     up, down = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
     z, beta = np.column_stack([margin, np.ones(len(margin))]), np.zeros(2)
+    cost = np.where(y == 1, np.sqrt(max(1.0, down / max(up, 1))), 1.0)  # the rarer kind counts more
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2), z.T @ (t - p) - 1e-6 * beta)
+        step = np.linalg.solve(z.T @ (z * (cost * p * (1 - p))[:, None]) + 1e-6 * np.eye(2), z.T @ (cost * (t - p)) - 1e-6 * beta)
         beta = beta + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
