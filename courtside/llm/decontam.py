@@ -7,11 +7,12 @@ passage's length (with the items' mean weight) but has no dimension of its own.
 
 The latent space comes from a randomised SVD: each task adds its blocks' share of ``X'(X W)`` for
 a fixed random ``W``; the sum (vocabulary x sketch, whatever the corpus size) gives the corpus' leading
-directions by a single-pass range finder, and merged with the items' own rows it gives the
-``RANK`` leading directions. Passages are candidates of an item if the cosine of their projections,
-counted against the passage's full length, reaches ``COSINE``; passages that can't reach it
-(their shared part is too short, or their terms can't add up to it with any item of a family) are dropped before
-they are projected. A candidate counts if, in a window around it, the longest
+directions by a single-pass range finder. The items' passages are taken ``GROUP`` at a time; each group has a
+space of its own, over the group's words, of the directions that its rows and the leading ones span. So the rank
+follows the items, and none is lost however large the benchmark. Passages are candidates of an item if the cosine
+of their projections, counted against the passage's full length, reaches ``COSINE``; passages that can't
+reach it (their shared part is too short, or their terms can't add up to it with any item of the group, then of a
+family) are dropped before they are projected. A candidate counts if, in a window around it, the longest
 common subsequence of words covers ``OVERLAP`` of the item and the item's answer (its last quarter)
 is covered to ``ANSWER`` - so paraphrases with changed, added or missing words are found.
 
@@ -35,10 +36,13 @@ from pyspark.sql import types as T
 from courtside.llm.common import T_to_arrow, families, per_batch, slabs, spare_name, sum_arrays
 
 BLOCK = 24
-RANK, SKETCH = 256, 48
+#: Item passages that share a latent space, and random directions of the corpus sketch.
+GROUP, SKETCH = 256, 48
 COSINE, OVERLAP, ANSWER = 0.3, 0.6, 0.5
-#: Groups of like items, used to rule passages out before they are projected.
+#: Families of like items in a group, used to rule passages out before they are projected.
 FAMILIES = 32
+#: Bounds are counted with so much room for rounding.
+SLACK = 1e-5
 #: A word in over this share of blocks says nothing about a passage.
 COMMON = 0.1
 MAX_ITEMS = 100_000
@@ -107,8 +111,70 @@ def _counts(unit: np.ndarray, ids: np.ndarray, n_terms: int) -> tuple[np.ndarray
     return key // n_terms, key % n_terms, times
 
 
+def passages(items: Items, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The items' passages as sparse rows of length 1: (item of each, first entry of each, term, value)."""
+    owner, size, terms, values = [], [], [np.zeros(0, np.int32)], [np.zeros(0)]
+    for i, x in enumerate(items.words):
+        for at in range(0, max(1, len(x) - BLOCK), BLOCK):
+            term, times = np.unique(np.array(x[at : at + 2 * BLOCK], np.int32), return_counts=True)
+            value = times * weight[term]
+            term, value = term[value > 0], value[value > 0]
+            if len(term):
+                owner.append(i)
+                size.append(len(term))
+                terms.append(term)
+                values.append(value / np.linalg.norm(value))
+    return np.array(owner, np.int64), np.append(0, np.cumsum(size)).astype(np.int64), np.concatenate(terms), np.concatenate(values)
+
+
+class Space:
+    """Latent space of a group of item passages; its rank is that of the passages with the leading directions."""
+
+    def __init__(self, owner: np.ndarray, size: np.ndarray, term: np.ndarray, value: np.ndarray, lead: np.ndarray) -> None:
+        self.owner = owner
+        self.terms, at = np.unique(term, return_inverse=True)
+        q = np.zeros((len(owner), len(self.terms)))
+        q[np.repeat(np.arange(len(owner)), size), at] = value
+        rows = np.vstack([lead[self.terms].T, q])
+        values, vectors = np.linalg.eigh(rows @ rows.T)  # SVD of the few rows
+        good = values > 1e-12 * values[-1]
+        self.basis = (rows.T @ (vectors[:, good] / np.sqrt(values[good]))).astype(np.float32)
+        latent = q.astype(np.float32) @ self.basis
+        self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+        # the most that a term can add to the cosine with any item of the group, of a family
+        self.top = q.max(axis=0)
+        self.most = [q[f].max(axis=0) for f in families(self.latent @ self.latent.T, FAMILIES)]
+
+    def search(self, place: np.ndarray, r: np.ndarray, t: np.ndarray, value: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, passage's place in the group, cosine) of all pairs at or above the cosine, from the
+        passages' entries and full lengths; ``place`` is scratch of -1, a number a word."""
+        place[self.terms] = np.arange(len(self.terms))
+        at = place[t]
+        place[self.terms] = -1
+        has = at >= 0
+        if not has.all():
+            r, at, value = r[has], at[has], value[has]
+        bar = np.maximum((COSINE - SLACK) * full, 1e-12)
+        live = np.sqrt(np.bincount(r, weights=value * value, minlength=len(full))) >= bar
+        live &= np.bincount(r, weights=value * self.top[at], minlength=len(full)) >= bar
+        keep = live[r]
+        r, at, value = r[keep], at[keep], value[keep]
+        live = np.zeros(len(full), bool)
+        for most in self.most:
+            live |= np.bincount(r, weights=value * most[at], minlength=len(full)) >= bar
+        keep = live[r]
+        r, at, value = r[keep], at[keep], value[keep].astype(np.float32)
+        if not len(r):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        new = np.flatnonzero(np.diff(r, prepend=-1))
+        got = np.add.reduceat(self.basis[at] * value[:, None], new, axis=0)
+        cosine = (got @ self.latent.T) / full[r[new]][:, None]
+        a, b = np.nonzero(cosine >= COSINE)
+        return r[new][a], b, cosine[a, b]
+
+
 def fit(texts: DataFrame, items: Items) -> dict:
-    """Weights and latent space from one column of all texts."""
+    """Weights and latent spaces from one column of all texts."""
     n = len(items.vocabulary)
     sc = texts.sparkSession.sparkContext
     shared = sc.broadcast(items.rows)
@@ -134,14 +200,6 @@ def fit(texts: DataFrame, items: Items) -> dict:
     other = float(idf[~common].mean()) if (~common).any() else 1.0
     weight = np.where(common, 0.0, idf)
 
-    rows, owner = [], []  # the items' passages
-    for i, x in enumerate(items.words):
-        for at in range(0, max(1, len(x) - BLOCK), BLOCK):
-            rows.append(np.bincount(x[at : at + 2 * BLOCK], minlength=n) * weight)
-            owner.append(i)
-    q = np.array(rows)
-    q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)
-
     width = min(SKETCH, n)
     random = np.random.default_rng(SEED).standard_normal((n, width)).astype(np.float32)
     sketch = sc.broadcast((random, weight.astype(np.float32), other))
@@ -177,12 +235,13 @@ def fit(texts: DataFrame, items: Items) -> dict:
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > 1e-9 * max(values.max(initial=0), 1e-12)
     lead = b @ (vectors[:, good] / np.sqrt(values[good]))
-    stacked = np.vstack([lead.T, q]) if len(q) else lead.T
-    _, s, vt = np.linalg.svd(stacked, full_matrices=False)
-    basis = vt[: min(RANK, int((s > 1e-9).sum()))].T.astype(np.float32)
-    latent = q.astype(np.float32) @ basis
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return {"weight": weight.astype(np.float32), "other": other, "basis": basis, "latent": latent, "owner": np.array(owner)}
+    owner, start, term, value = passages(items, weight)
+    spaces = []
+    for lo in range(0, len(owner), GROUP):
+        hi = min(lo + GROUP, len(owner))
+        part = slice(start[lo], start[hi])
+        spaces.append(Space(owner[lo:hi], np.diff(start[lo : hi + 1]), term[part], value[part], lead))
+    return {"weight": weight.astype(np.float32), "other": other, "spaces": spaces}
 
 
 def _answer(x: list[int]) -> list[int]:
@@ -216,10 +275,7 @@ class Finder:
     """Looks for the items in lists of texts."""
 
     def __init__(self, items: Items, model: dict) -> None:
-        self.items, self.weight, self.other = items, model["weight"], model["other"]
-        self.basis, self.latent, self.owner = model["basis"], model["latent"], model["owner"]
-        # the most that a term can add to the cosine with any item of a family
-        self.most = [(self.basis @ self.latent[f].T).max(axis=1).clip(0) for f in families(self.latent @ self.latent.T, FAMILIES)]
+        self.items, self.weight, self.other, self.spaces = items, model["weight"], model["other"], model["spaces"]
 
     def candidates(self, ids: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, item, first word of the passage in the text, cosine) of all pairs at or above the cosine."""
@@ -234,6 +290,7 @@ class Finder:
         joins = np.append(text_of[1:] == text_of[:-1], False)  # a passage is a block and the next of its text
         block, term, times = _counts(unit, useful, n)
         start = np.searchsorted(block, np.arange(n_units + 1))
+        parts = []
         for lo in range(0, n_units, 20_000):
             p = np.arange(lo, min(lo + 20_000, n_units))
             after = np.minimum(p + 1, n_units - 1)
@@ -245,24 +302,20 @@ class Finder:
             value = np.bincount(inverse, weights=times[at], minlength=len(key)) * weight[t]
             mass = np.bincount(r, weights=value * value, minlength=len(p))
             full = np.sqrt(mass + rest[p] + np.where(joins[p], rest[after], 0))
-            live = np.zeros(len(p), bool)  # passages that could reach the cosine with an item of some family
-            for most in self.most:
-                live |= np.bincount(r, weights=value * most[t], minlength=len(p)) >= COSINE * full
-            keep = (live & (np.sqrt(mass) >= COSINE * full))[r]
-            if not keep.any():
-                continue
-            r, t, value = r[keep], t[keep], value[keep].astype(np.float32)
-            new = np.flatnonzero(np.diff(r, prepend=-1))
-            got = np.add.reduceat(self.basis[t] * value[:, None], new, axis=0)
-            cosine = (got @ self.latent.T) / full[r[new]][:, None]
-            a, b = np.nonzero(cosine >= COSINE)
-            where = p[r[new][a]]
-            yield from zip(text_of[where].tolist(), self.owner[b].tolist(), ((where - first[text_of[where]]) * BLOCK).tolist(), cosine[a, b].tolist())
+            keep = (np.sqrt(mass) >= (COSINE - SLACK) * full)[r]
+            if keep.any():
+                parts.append((p, full, r[keep].astype(np.int32), t[keep].astype(np.int32), value[keep]))
+        place = np.full(n, -1, np.int32)
+        for space in self.spaces:
+            for p, full, r, t, value in parts:
+                a, b, cosine = space.search(place, r, t, value, full)
+                where = p[a]
+                yield from zip(text_of[where].tolist(), space.owner[b].tolist(), ((where - first[text_of[where]]) * BLOCK).tolist(), cosine.tolist())
 
     def find(self, texts: list) -> list[list[dict]]:
         hits: list[list[dict]] = [[] for _ in texts]
         ids, lens = self.items.flat(texts)
-        if not len(ids) or not len(self.latent):
+        if not len(ids) or not self.spaces:
             return hits
         begin = np.cumsum(lens) - lens
         places: dict[tuple[int, int], list] = {}

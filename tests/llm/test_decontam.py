@@ -49,3 +49,26 @@ def test_empty_sides(spark):
     assert D.drop_contaminated(docs, none).count() == docs.count()
     bench = spark.createDataFrame([(1, prose(30, 8))], "item_id long, text string")
     assert D.drop_contaminated(docs.limit(0), bench).count() == 0
+
+
+def planted(count, docs):
+    """(items, documents, wanted pairs): one item a document, as it is or with a sixth of its words changed."""
+    items = [(i, prose(30 + i % 60, 50_000 + i)) for i in range(count)]
+    r, rows, want = random.Random(11), [], set()
+    for k in range(docs):
+        i = k * (count // docs)
+        w, around = items[i][1].split(), prose(120, 90_000 + k).split()
+        if k % 3 == 0:
+            w = [prose(1, 200_000 + 100 * k + j) if r.random() < 0.17 else x for j, x in enumerate(w)]
+        cut = r.randrange(len(around))
+        rows.append(doc(k, " ".join(around[:cut] + w + around[cut:])))
+        want.add((k, i))
+    return items, rows, want
+
+
+def test_recall_with_thousands_of_items(spark):
+    items, rows, want = planted(2400, 240)
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], h["item_id"]) for r in D.contaminated(docs, bench, out="found").collect() for h in r["found"]}
+    assert found == want
