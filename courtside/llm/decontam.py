@@ -7,8 +7,8 @@ passage's length (with the items' mean weight) but has no dimension of its own.
 
 The latent space comes from a randomised SVD: each task adds its blocks' share of ``X'(X W)`` for
 a fixed random ``W``; the sum (vocabulary x sketch, whatever the corpus size) gives the corpus' leading
-directions by a single-pass range finder. The items' passages are taken ``GROUP`` at a time; each group has a
-space of its own, over the group's words, of the directions that its rows and the leading ones span. So the rank
+directions by a single-pass range finder. The items' passages stay sparse rows and are taken ``GROUP`` at a
+time; each group has a space of its own, fitted in the tasks that search it, over the group's words, of the directions that its rows and the leading ones span. So the rank
 follows the items, and none is lost however large the benchmark. Passages are candidates of an item if the cosine
 of their projections, counted against the passage's full length, reaches ``COSINE``; passages that can't
 reach it (their shared part is too short, or their terms can't add up to it with any item of the group, then of a
@@ -16,7 +16,8 @@ family) are dropped before they are projected. A candidate counts if, in a windo
 common subsequence of words covers ``OVERLAP`` of the item and the item's answer (its last quarter)
 is covered to ``ANSWER`` - so paraphrases with changed, added or missing words are found.
 
-The benchmark is a given set, not corpus data: at most ``MAX_ITEMS`` rows (checked), broadcast.
+The benchmark is a given set, not corpus data: at most ``MAX_ITEMS`` rows (checked), broadcast. The driver holds
+its words and vocabulary x sketch numbers, never passages x vocabulary.
 
 Defined cases: null, empty and white texts have no passages and stay clean; items without words
 match nothing; equal items each match. Rows are judged alone, so repeated rows and null ids get
@@ -41,6 +42,8 @@ GROUP, SKETCH = 256, 48
 COSINE, OVERLAP, ANSWER = 0.3, 0.6, 0.5
 #: Families of like items in a group, used to rule passages out before they are projected.
 FAMILIES = 32
+#: Spaces that a task keeps in memory.
+KEPT = 24
 #: Bounds are counted with so much room for rounding.
 SLACK = 1e-5
 #: A word in over this share of blocks says nothing about a passage.
@@ -235,13 +238,7 @@ def fit(texts: DataFrame, items: Items) -> dict:
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     good = values > 1e-9 * max(values.max(initial=0), 1e-12)
     lead = b @ (vectors[:, good] / np.sqrt(values[good]))
-    owner, start, term, value = passages(items, weight)
-    spaces = []
-    for lo in range(0, len(owner), GROUP):
-        hi = min(lo + GROUP, len(owner))
-        part = slice(start[lo], start[hi])
-        spaces.append(Space(owner[lo:hi], np.diff(start[lo : hi + 1]), term[part], value[part], lead))
-    return {"weight": weight.astype(np.float32), "other": other, "spaces": spaces}
+    return {"weight": weight.astype(np.float32), "other": other, "lead": lead.astype(np.float32), "rows": passages(items, weight)}
 
 
 def _answer(x: list[int]) -> list[int]:
@@ -275,7 +272,22 @@ class Finder:
     """Looks for the items in lists of texts."""
 
     def __init__(self, items: Items, model: dict) -> None:
-        self.items, self.weight, self.other, self.spaces = items, model["weight"], model["other"], model["spaces"]
+        self.items, self.weight, self.other = items, model["weight"], model["other"]
+        self.lead, self.rows = model["lead"], model["rows"]
+        self.kept: dict[int, Space] = {}
+
+    def spaces(self) -> Iterator[Space]:
+        """The space of one group after another; the first ``KEPT`` stay in memory, others are fitted anew."""
+        owner, start, term, value = self.rows
+        for lo in range(0, len(owner), GROUP):
+            space = self.kept.get(lo)
+            if space is None:
+                hi = min(lo + GROUP, len(owner))
+                part = slice(start[lo], start[hi])
+                space = Space(owner[lo:hi], np.diff(start[lo : hi + 1]), term[part], value[part], self.lead)
+                if len(self.kept) < KEPT:
+                    self.kept[lo] = space
+            yield space
 
     def candidates(self, ids: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, item, first word of the passage in the text, cosine) of all pairs at or above the cosine."""
@@ -306,7 +318,7 @@ class Finder:
             if keep.any():
                 parts.append((p, full, r[keep].astype(np.int32), t[keep].astype(np.int32), value[keep]))
         place = np.full(n, -1, np.int32)
-        for space in self.spaces:
+        for space in self.spaces() if parts else ():
             for p, full, r, t, value in parts:
                 a, b, cosine = space.search(place, r, t, value, full)
                 where = p[a]
@@ -315,7 +327,7 @@ class Finder:
     def find(self, texts: list) -> list[list[dict]]:
         hits: list[list[dict]] = [[] for _ in texts]
         ids, lens = self.items.flat(texts)
-        if not len(ids) or not self.spaces:
+        if not len(ids) or not len(self.rows[0]):
             return hits
         begin = np.cumsum(lens) - lens
         places: dict[tuple[int, int], list] = {}

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from courtside.llm import decontam as D
 from tests.llm.frames import DOC_SCHEMA, doc, edge_rows, prose
 
@@ -72,3 +74,18 @@ def test_recall_with_thousands_of_items(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = {(r["doc_id"], h["item_id"]) for r in D.contaminated(docs, bench, out="found").collect() for h in r["found"]}
     assert found == want
+
+
+def test_driver_holds_sparse_item_rows(spark, monkeypatch):
+    items, rows, want = planted(1200, 24)
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    found = D.Items(items)
+    model = D.fit(docs.select("text"), found)
+    entries = sum(len(x) for x in found.words) * 2  # a word is in at most two passages
+    numbers = sum(a.size for v in model.values() for a in (v if isinstance(v, tuple) else (v,)) if isinstance(a, np.ndarray))
+    assert numbers <= len(found.vocabulary) * (D.SKETCH + 2) + 4 * entries
+    assert not any(isinstance(v, list) for v in model.values())
+    monkeypatch.setattr(D, "KEPT", 1)  # spaces fitted anew find the same
+    finder = D.Finder(found, model)
+    got = [[{(k, h["item_id"]) for h in x} for k, x in enumerate(finder.find([r[1].encode() for r in rows]))] for _ in range(2)]
+    assert got[0] == got[1] and set().union(*got[0]) == want and len(finder.kept) == 1
