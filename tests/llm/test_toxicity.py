@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import numpy as np
 
@@ -62,6 +63,43 @@ def test_edges_and_inserted_characters(spark):
     assert X.score(docs.limit(0), model).count() == 0
 
 
+INSULTS = "trash pathetic worthless idiot disgusting loser scum clown moron stupid".split()
+
+
+def inserted(r, word, n):
+    for _ in range(n):
+        at = r.randint(1, len(word) - 1)
+        word = word[:at] + r.choice("abcdefghijklmnopqrstuvwxyz") + word[at:]
+    return word
+
+
+def test_insults_with_inserted_letters_count():
+    r, kernel = random.Random(4), X.Kernel([w.encode() for w in INSULTS])
+    found = {}
+    for n in (1, 2):
+        words = [inserted(r, w, n).encode() for w in INSULTS for _ in range(40)]
+        found[n] = len(set(kernel.near(words)[0].tolist())) / len(words)
+    assert found[1] >= 0.95 and found[2] >= 0.6
+    words = [b"idiot", b"idxiot", b"stxxupid", b"stxupxid"]
+    assert set(kernel.near(words)[0].tolist()) == set(range(len(words)))
+
+
+def test_texts_with_two_inserted_letters_score_above_clean_ones(spark):
+    r, rows = random.Random(6), []
+    for i in range(160):
+        w = prose(40, 7000 + i).split()
+        w[9] = INSULTS[i // 2 % len(INSULTS)] if i % 2 else w[9]
+        rows.append(doc(i, " ".join(w)))
+    for i in range(40):
+        w = prose(40, 8000 + i).split()
+        rows += [doc(1000 + i, " ".join([*w[:7], inserted(r, INSULTS[i % len(INSULTS)], 2), *w[7:]])), doc(2000 + i, " ".join(w))]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    score = {x["doc_id"]: x["score"] for x in X.score(docs, X.train(docs, labels, "doc_id", "text", "toxic")).collect()}
+    above = np.mean([(score[1000 + i] > score[2000 + j]) + (score[1000 + i] == score[2000 + j]) / 2 for i in range(40) for j in range(40)])
+    assert above >= 0.8
+
+
 def test_held_out(spark):
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held = Q.QUERIES["op9_toxicity"](spark, "/root/testdata/sf0.1").filter("held_out").join(labels, "doc_id").collect()
