@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import brown_lm, decontam, html_main, langid, licences, mixing, quality_knn, quality_rules, simhash, toxicity
+from courtside.llm import (
+    brown_lm, decontam, html_main, langid, licences, merkle, mixing, packing, quality_knn, quality_rules, simhash, toxicity, whitening,
+)
 from courtside.llm.common import id_bucket, table
 
 
@@ -65,5 +67,18 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op7_brown_lm": op7_brown_lm, "op8_html": op8_html, "op9_toxicity": op9_toxicity, "op10_licences": op10_licences}
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op10_licences": licences.oracle()}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.prove(merkle.build(table(spark, sf_dir, "documents"))))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.read_vocabulary())
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_quality": op2_quality, "op3_decontam": op3_decontam, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_quality_knn": op6_quality_knn, "op7_brown_lm": op7_brown_lm, "op8_html": op8_html, "op9_toxicity": op9_toxicity, "op10_licences": op10_licences,
+           "op11_whitening": op11_whitening, "op12_merkle": op12_merkle, "op13_packing": op13_packing}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op10_licences": licences.oracle(), "op12_merkle": merkle.oracle()}
