@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 
 from courtside.plans import players as P
 from courtside.plans.normalize import build_processed, process
+from courtside.plans.pipeline import run_daily
 from courtside.plans.templates import NAMED, run_query
 from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
 from courtside.session import scratch_path
-from courtside.sinks.files import land_all, land_snapshot, save_result, write_processed
+from courtside.sinks.files import Entities, land_all, land_snapshot, save_result, write_processed
 from courtside.sources import standins
 from courtside.sources.landing import read_landing, tracked_players
 from courtside.sources.processed import read_processed, register_table
-from courtside.streaming import stream_landing
+from courtside.streaming import read_deliveries, read_streamed, stream_landing
 
 OLD_DATE, NEW_DATE = "2025-01-01", "2025-01-02"
 
@@ -125,15 +126,55 @@ def c_added_column(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
 
 
 def m_land_all(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
-    """The manifest of a day: two datasets as frames, shots of some players one frame each (one of them empty)."""
+    """The manifest of a day: two datasets as frames, one of them empty; the season's shots of all players in
+    one write, compared with every customer as the players expected."""
     shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season).drop("season")
-    frames = {i: shots.where(F.col("player_id") == i) for i in (1, 2, 3, -1)}
+    expected = standins.read_table(spark, sf_dir, "customer", ["c_custkey"]).withColumnRenamed("c_custkey", "player_id")
     teams = standins.team_standings(spark, sf_dir)
-    got = land_all(spark, {"team_standings": teams.drop("season"), "player_stats": teams.limit(0), "shot_charts": frames},
+    got = land_all(spark, {"team_standings": teams.drop("season"), "player_stats": teams.limit(0), "shot_charts": Entities(shots, expected)},
                    scratch_path(spark, "landed"), season, NEW_DATE)
     return got.select("dataset", "entity_id", "status", "rows")
 
 
+def l_multiline(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """Shots whose names and action types hold line breaks, commas and doubled quotes, landed and read back."""
+    shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)
+    odd = shots.withColumns({
+        "player_name": F.concat(F.col("player_name"), F.when(F.col("loc_x") % 3 == 0, F.lit(' "Jr",\nthe\n\n"2nd"')).otherwise(F.lit(""))),
+        "action_type": F.concat(F.col("action_type"), F.when(F.col("loc_y") % 2 == 0, F.lit('\n, "x"\n')).otherwise(F.lit(", y")))})
+    root = scratch_path(spark, "landed")
+    land_snapshot(_upstream_shots(odd), root, "shot_charts", None, NEW_DATE)
+    out = process(read_landing(spark, root, "shot_charts", season=season), "shot_charts")
+    return (out.groupBy("player_name", "action_type", "made_label")
+            .agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_distance").alias("feet"), F.min("game_id").alias("first_game")))
+
+
+def w_daily(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """Two daily runs; every fifth player is missing on the second day and keeps the first day's shots."""
+    shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)
+    teams = standins.team_standings(spark, sf_dir, "1998")
+    landed, processed = scratch_path(spark, "landed"), scratch_path(spark, "processed")
+    database = "courtside_" + processed.rsplit("-", 1)[-1]
+    days = {OLD_DATE: (shots.withColumn("loc_x", F.col("loc_x") + 1000), teams.withColumn("wins", F.col("wins") - 1)),
+            NEW_DATE: (shots.where("player_id % 5 <> 0"), teams)}
+    for date, (day_shots, day_teams) in days.items():
+        run_daily(spark, {"shot_charts": _upstream_shots(day_shots).drop("season"), "team_standings": _as_upstream(day_teams, STANDINGS_A).drop("season")},
+                  landed, processed, season, date, database=database, datasets=("shot_charts", "team_standings"))
+    by_player = (read_processed(spark, "shot_charts", database=database).where(F.col("season") == season)
+                 .groupBy("player_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("loc_x").alias("total")))
+    by_team = read_processed(spark, "team_standings", database=database).where(F.col("season") == season).select(
+        "team_id", F.lit(1).cast("bigint").alias("rows"), F.col("wins").cast("bigint").alias("total"))
+    return by_player.withColumn("kind", F.lit("player")).withColumnRenamed("player_id", "id").unionByName(
+        by_team.withColumn("kind", F.lit("team")).withColumnRenamed("team_id", "id"))
+
+
+def clustered_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All shots written as a processed table clustered by player within a season, read back."""
+    path = scratch_path(spark, "processed")
+    write_processed(standins.shot_charts(spark, sf_dir), path, cluster_by=["player_name"])
+    return read_processed(spark, "shot_charts", path=path)
+
+
 def w_result(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
     """A query's result saved as Parquet and read back."""
     path = scratch_path(spark, "result")
@@ -155,10 +196,37 @@ def st_land(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("shots"), F.countDistinct("player_id").alias("players")))
 
 
+def _corrected(spark: SparkSession, sf_dir: str, season: str) -> tuple[str, str]:
+    """A stream over two days, the first of them landed again for a third of its players."""
+    shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)
+    root, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "streamed", "stream"))
+    # bulk files a part of the players each, so that a correction has a folder's files of its own
+    for date, day in ((OLD_DATE, shots), (NEW_DATE, shots.where("player_id % 2 = 0")),
+                      (OLD_DATE, shots.where("player_id % 3 = 0").withColumn("shot_distance", F.col("shot_distance") + 1))):
+        land_snapshot(_upstream_shots(day), root, "shot_charts", None, date)
+        stream_landing(spark, root, "shot_charts", out, checkpoint=checkpoint)
+    return out, season
+
+
+def st_corrected(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """Shots by day and load after a corrected delivery: the corrected players' first load isn't counted."""
+    out, season = _corrected(spark, sf_dir, season)
+    return (read_streamed(spark, out, "shot_charts").groupBy("date", "load", (F.col("player_id") % 6).cast("int").alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_distance").alias("feet")))
+
+
+def st_manifest(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """What the stream's loads brought: deliveries and rows by day, corrected ones included."""
+    out, season = _corrected(spark, sf_dir, season)
+    return (read_deliveries(spark, out, "shot_charts").groupBy("load", "date")
+            .agg(F.count(F.lit(1)).alias("deliveries"), F.sum("rows").alias("rows")))
+
+
 def x_tracked(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
-    """Shots of a list of tracked players, counted."""
+    """Shots of the tracked players, counted; the list is a table: the customers of six nations."""
     shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)
-    return tracked_players(shots, range(0, 2000, 3)).groupBy("player_id").agg(F.count(F.lit(1)).alias("shots"))
+    customers = standins.read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    return tracked_players(shots, customers.where("c_nationkey < 6").select("c_custkey")).groupBy("player_id").agg(F.count(F.lit(1)).alias("shots"))
 
 
 _VIEWS = {"players": standins.player_stats, "teams": standins.team_standings, "shots": standins.shot_charts}

@@ -443,18 +443,43 @@ SELECT season, COUNT(*) AS teams, CAST(SUM(wins) AS BIGINT) AS wins,
        CAST(SUM(CASE WHEN season = '{TEAM_SEASON}' THEN losses END) AS BIGINT) AS losses
 FROM team_standings GROUP BY season""",
     "m_land_all": _with(_T, _S.strip()) + f"""
+, played AS (SELECT player_id, COUNT(*) AS n FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY player_id)
 SELECT 'team_standings' AS dataset, CAST(NULL AS BIGINT) AS entity_id, 'success' AS status, COUNT(*) AS rows FROM team_standings
 UNION ALL SELECT 'player_stats', NULL, 'empty', 0
 UNION ALL
-SELECT 'shot_charts', i, CASE WHEN COUNT(s.player_id) > 0 THEN 'success' ELSE 'empty' END, COUNT(s.player_id)
-FROM (VALUES (1), (2), (3), (-1)) v(i) LEFT JOIN (SELECT * FROM shot_charts WHERE season = '{SHOT_SEASON}') s ON s.player_id = i
-GROUP BY i""",
+SELECT 'shot_charts', COALESCE(p.player_id, c.c_custkey), CASE WHEN p.n > 0 THEN 'success' ELSE 'empty' END, COALESCE(p.n, 0)
+FROM played p FULL JOIN customer c ON c.c_custkey = p.player_id""",
+    "l_multiline": _with(_S) + f"""
+SELECT player_name || CASE WHEN loc_x % 3 = 0 THEN ' "Jr",' || chr(10) || 'the' || chr(10) || chr(10) || '"2nd"' ELSE '' END AS player_name,
+       action_type || CASE WHEN loc_y % 2 = 0 THEN chr(10) || ', "x"' || chr(10) ELSE ', y' END AS action_type,
+       made_label, COUNT(*) AS shots, CAST(SUM(shot_distance) AS BIGINT) AS feet, MIN(game_id) AS first_game
+FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY ALL""",
+    "st_corrected": _with(_S) + f"""
+, s AS (SELECT *, player_id % 6 AS bucket FROM shot_charts WHERE season = '{SHOT_SEASON}')
+SELECT date, load, CAST(bucket AS INTEGER) AS bucket, COUNT(*) AS shots, CAST(SUM(feet) AS BIGINT) AS feet FROM (
+  SELECT DATE '2025-01-01' AS date, CASE WHEN player_id % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS load, bucket,
+         shot_distance + CASE WHEN player_id % 3 = 0 THEN 1 ELSE 0 END AS feet FROM s
+  UNION ALL SELECT DATE '2025-01-02', 1::BIGINT, bucket, shot_distance FROM s WHERE player_id % 2 = 0)
+GROUP BY ALL""",
+    "st_manifest": _with(_S) + f"""
+, s AS (SELECT * FROM shot_charts WHERE season = '{SHOT_SEASON}')
+SELECT load, date, COUNT(DISTINCT player_id) AS deliveries, COUNT(*) AS rows FROM (
+  SELECT 0::BIGINT AS load, DATE '2025-01-01' AS date, player_id FROM s
+  UNION ALL SELECT 1, DATE '2025-01-02', player_id FROM s WHERE player_id % 2 = 0
+  UNION ALL SELECT 2, DATE '2025-01-01', player_id FROM s WHERE player_id % 3 = 0)
+GROUP BY ALL""",
+    "w_daily": _with(_S, _T.strip()) + f"""
+SELECT 'player' AS kind, player_id AS id, COUNT(*) AS rows, CAST(SUM(loc_x + CASE WHEN player_id % 5 = 0 THEN 1000 ELSE 0 END) AS BIGINT) AS total
+FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY player_id
+UNION ALL SELECT 'team', team_id, 1, CAST(wins AS BIGINT) FROM team_standings WHERE season = '{TEAM_SEASON}'""",
+    "c_d_shots": ORACLE_SQL["d_shots"],
+    "c_k_zones": ORACLE_SQL["k_zones"],
     "w_result": ORACLE_SQL["p_eff"],
     "st_land": _with(_S) + f"""
 SELECT CAST(player_id % 2 AS INTEGER) AS load, shot_zone_label, made_label, COUNT(*) AS shots, COUNT(DISTINCT player_id) AS players
 FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY ALL""",
     "x_tracked": _with(_S) + f"""
 SELECT player_id, COUNT(*) AS shots FROM shot_charts
-WHERE season = '{SHOT_SEASON}' AND player_id % 3 = 0 AND player_id < 2000 GROUP BY player_id""",
+WHERE season = '{SHOT_SEASON}' AND player_id IN (SELECT c_custkey FROM customer WHERE c_nationkey < 6) GROUP BY player_id""",
     **{f"q_{n}": ORACLE_SQL[n] for n in ("p_top20", "p_triple", "t_all", "t_seed", "s_hot", "d_shooters", "d_shots")},
 }

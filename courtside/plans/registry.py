@@ -121,12 +121,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "l_players": lambda s, sf: L.l_players(s, sf, PLAYER_SEASON),
     "l_players_bare": lambda s, sf: L.l_players(s, sf, PLAYER_SEASON, attempts=False),
     "l_lossless": lambda s, sf: L.l_lossless(s, sf, SHOT_SEASON),
+    "l_multiline": lambda s, sf: L.l_multiline(s, sf, SHOT_SEASON),
     # processed tables, catalog, manifest, results, stream, tracked list
     "w_processed": lambda s, sf: L.w_processed(s, sf, TEAM_SEASON),
     "c_added_column": lambda s, sf: L.c_added_column(s, sf, TEAM_SEASON),
     "m_land_all": lambda s, sf: L.m_land_all(s, sf, SHOT_SEASON),
     "w_result": lambda s, sf: L.w_result(s, sf, PLAYER_SEASON),
     "st_land": lambda s, sf: L.st_land(s, sf, SHOT_SEASON),
+    "st_corrected": lambda s, sf: L.st_corrected(s, sf, SHOT_SEASON),
+    "st_manifest": lambda s, sf: L.st_manifest(s, sf, SHOT_SEASON),
+    "w_daily": lambda s, sf: L.w_daily(s, sf, SHOT_SEASON),
+    # one player's shots from a table clustered by player
+    "c_d_shots": lambda s, sf: D.d_shots(L.clustered_shots(s, sf), SHOT_SEASON, SHOT_PLAYER),
+    "c_k_zones": lambda s, sf: D.k_zones(D.d_shots(L.clustered_shots(s, sf), SHOT_SEASON, SHOT_PLAYER)),
     "x_tracked": lambda s, sf: L.x_tracked(s, sf, SHOT_SEASON),
     # the named queries through the catalog
     "q_p_top20": L.by_name("p_top20", season=PLAYER_SEASON),

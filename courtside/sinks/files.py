@@ -11,10 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.session import scratch_path
+from courtside.sources.records import file_lines, part_facts, records
+
 MANIFEST_SCHEMA = ("dataset string, entity_id bigint, status string, rows bigint, "
                    "path string, message string")
 
@@ -47,6 +51,7 @@ def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, da
     if by_player:  # a few files a player, more for a player with much
         out = out.hint("rebalance", F.col("player_id"))
     (_dynamic(out).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy(*parts).csv(f"{root.rstrip('/')}/{dataset}"))
     return snapshot_path(root, dataset, season or "*", date or "*")
 
@@ -62,22 +67,67 @@ def _land_one(dataset: str, df: DataFrame, root: str, season: str, date: str) ->
         return (dataset, None, "error", None, None, f"{type(e).__name__}: {e}")
 
 
-def _land_players(dataset: str, frames: Mapping[int, DataFrame], root: str, season: str, date: str) -> list[tuple]:
-    """All players' frames in one write partitioned by player; rows counted per player beside it."""
-    if not frames:
-        return []
+class Entities(NamedTuple):
+    """One frame with the rows of many entities (``player_id``), landed a folder each. ``expected``, a
+    frame with a ``player_id`` column, names those whose absence is recorded as ``empty``."""
+
+    frame: DataFrame
+    expected: DataFrame | None = None
+
+
+def landed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """``entity_id, rows`` of what lies in the per-player folders under ``folder``, as a reader sees it."""
+    lines = file_lines(spark.read.option("lineSep", "\n").text(f"{folder}/player_id=*/*.csv"))
+    facts = part_facts(lines)
+    # counted by part first, so the entity's name is looked up once a part
+    parts = records(lines, facts).groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("n"))
+    names = facts.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), F.col("_player_id").try_cast("bigint").alias("entity_id"))
+    return (parts.join(names, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+            .groupBy("entity_id").agg(F.sum("n").alias("rows")))
+
+
+def _land_entities(dataset: str, value: Entities, root: str, season: str, date: str) -> DataFrame:
+    """All entities' rows in one write partitioned by entity; what has landed is counted by Spark and compared
+    with the expected ids. Neither ids nor counts pass through the driver."""
+    frame, expected = value
+    spark = frame.sparkSession
+    folder = snapshot_path(root, dataset, season, date)
+    wanted = None if expected is None else expected.select(F.col("player_id").cast("bigint").alias("entity_id")).distinct()
+
+    def manifest(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(dataset).alias("dataset"), "entity_id", "status", "rows", "path", "message")
+
     try:
-        tagged = [df.withColumn("player_id", F.lit(int(i)).cast("bigint")) for i, df in frames.items()]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        obs = Observation(f"land_{dataset}")
-        counts = [F.count_if(F.col("player_id") == int(i)).alias(f"n{k}") for k, i in enumerate(frames)]
-        land_snapshot(rows.observe(obs, *counts), root, dataset, season, date, True)
-        got = obs.get
-        return [(dataset, int(i), "success", int(got[f"n{k}"]), snapshot_path(root, dataset, season, date, int(i)), None)
-                if got[f"n{k}"] else (dataset, int(i), "empty", 0, None, "no rows; nothing written")
-                for k, i in enumerate(frames)]
+        written = Observation(f"land_{dataset}")
+        land_snapshot(frame.observe(written, F.count(F.lit(1)).alias("rows")), root, dataset, season, date, True)
+        total = written.get["rows"]
+        schema = "entity_id bigint, rows bigint"
+        counted = landed_counts(spark, folder) if total else spark.createDataFrame([], schema)
+        place = scratch_path(spark, "landed_counts")
+        counted.write.parquet(place)
+        counted = spark.read.schema(schema).parquet(place)
+        found = counted.agg(F.sum("rows")).first()[0] or 0
+        if found < total:
+            raise RuntimeError(f"{total} rows were written, {found} are there")
     except Exception as e:
-        return [(dataset, int(i), "error", None, None, f"{type(e).__name__}: {e}") for i in frames]
+        said = f"{type(e).__name__}: {e}"
+        failed = spark.createDataFrame([(None,)], "entity_id bigint") if wanted is None else wanted
+        return manifest(failed.withColumns({"status": F.lit("error"), "rows": F.lit(None).cast("bigint"), "path": F.lit(None).cast("string"), "message": F.lit(said)}))
+    if wanted is not None:
+        ids = wanted.withColumnRenamed("entity_id", "_wanted")
+        counted = ids.join(counted, F.col("_wanted").eqNullSafe(F.col("entity_id")), "full_outer").select(F.coalesce("entity_id", "_wanted").alias("entity_id"), "rows")
+    there = F.col("rows").isNotNull()
+    return manifest(counted.withColumns({
+        "status": F.when(there, "success").otherwise("empty"), "rows": F.coalesce("rows", F.lit(0)).cast("bigint"),
+        "path": F.when(there, F.concat(F.lit(f"{folder}/player_id="), F.coalesce(F.col("entity_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))),
+        "message": F.when(~there, "no rows; nothing written")}))
+
+
+def _tagged(frames: Mapping[int, DataFrame]) -> Entities:
+    """Frames that come one a player, as one."""
+    tagged = [df.withColumn("player_id", F.lit(int(i)).cast("bigint")) for i, df in frames.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return Entities(rows, rows.sparkSession.createDataFrame([(int(i),) for i in frames], "player_id bigint"))
 
 
 def run_date() -> str:
@@ -85,42 +135,71 @@ def run_date() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d")
 
 
-def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int, DataFrame]],
+def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int, DataFrame] | Entities],
              root: str, season: str, date: str | None = None) -> DataFrame:
     """Land every dataset and return a manifest
     ``[dataset, entity_id, status, rows, path, message]``.
 
-    A value that is a mapping ``{player_id: frame}`` (shots as the feed
-    delivers them) lands in one write partitioned by player; an empty
-    frame is recorded as ``empty`` and not written. Row counts come from
-    ``observe`` on the write itself, so no second pass over the data is
-    made. Messages are kept whole.
+    ``Entities(frame, expected)`` lands the rows of any number of players in one write
+    partitioned by player; expected players without a row are recorded as ``empty``, rows are
+    counted on what has landed and checked against ``observe`` on the write. A mapping
+    ``{player_id: frame}`` is the same for a few frames that the feed delivers one by one. A frame
+    of a whole dataset that is empty is recorded and not written. One dataset's failure doesn't
+    stop the others; messages are kept whole.
     """
     date = date or run_date()
-    rows = []
+    rows, more = [], []
     for dataset, value in frames.items():
         if isinstance(value, Mapping):
-            rows += _land_players(dataset, value, root, season, date)
+            if not value:
+                continue
+            value = _tagged(value)
+        if isinstance(value, Entities):
+            more.append(_land_entities(dataset, value, root, season, date))
         else:
             rows.append(_land_one(dataset, value, root, season, date))
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    return reduce(DataFrame.unionByName, more, spark.createDataFrame(rows, MANIFEST_SCHEMA))
 
 
 def write_processed(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",),
-                    max_records_per_file: int = 5_000_000) -> None:
+                    max_records_per_file: int = 5_000_000, cluster_by: Sequence[str] = ()) -> None:
     """Write a processed table as Parquet partitioned by season.
 
     Rows are rebalanced by season: AQE cuts a large season into tasks of
     the advisory size and joins small ones, so the number of write tasks
     follows the data. ``maxRecordsPerFile`` splits files. Only the seasons
     present in ``df`` are replaced.
+
+    With ``cluster_by`` (a player's name, say) rows are dealt by ranges of season and those columns
+    instead and sorted within a file, so each file and row group holds a narrow range of them and a filter
+    on one value skips the others by their statistics. A value with more rows than a range
+    takes spills into the next: the ranges are drawn over the columns and a row number.
     """
     parts = list(partition_by)
-    out = df.hint("rebalance", *[F.col(c) for c in parts])
+    if cluster_by:
+        keys = [*parts, *cluster_by]
+        spread = df.withColumn("_spread", F.monotonically_increasing_id())
+        out = spread.repartitionByRange(_write_tasks(df), *keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
+    else:
+        out = df.hint("rebalance", *[F.col(c) for c in parts])
     (_dynamic(out).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*parts).parquet(path))
 
 
+#: Bytes of a range that one task writes; tasks of a clustered write at most.
+RANGE_BYTES, MOST_RANGES = 128 << 20, 100_000
+
+
+def _write_tasks(df: DataFrame) -> int:
+    """Ranges of a clustered write, by the size of what the plan reads (an estimate after joins may be
+    off by any factor; the inputs' sizes are known)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(s for s in sizes if s < 1 << 60)  # larger: not known
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_RANGES, -(-read // RANGE_BYTES)))
+
+
 def save_result(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Persist a query result (CSV with header, or Parquet)."""
     w = df.write.mode("overwrite")

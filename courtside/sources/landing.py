@@ -11,10 +11,10 @@ Two traps decide how files are read:
   to all of them.
 
 So rows are read as text and bound by name to the first line of their
-own file, in one plan for any number of files and header versions: a small
-aggregate gives each file's header, a join brings it to the file's rows,
-and every wanted column is looked up in it. A CSV field may hold commas
-and doubled quotes, but no line break.
+own file, in one plan for any number of files and header versions.
+``courtside.sources.records`` finds the records (a quoted field may hold
+line breaks) and each file's header in one pass that leaves a small table, a row
+per file part; the rows are then read once and look up their header there.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
+from courtside.sources.records import fields, file_lines, part_facts, records, width
+
 
 def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
                     keep: Iterable[str] = (), optional: Iterable[str] = ()) -> DataFrame:
@@ -55,57 +57,41 @@ def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
     return df.select(*cols)
 
 
-def tracked_players(df: DataFrame, ids: Sequence[int], column: str = "player_id") -> DataFrame:
-    """Rows of the listed players: a left-semi join with the list, which the
-    planner broadcasts or shuffles by its size."""
-    ids = [(int(i),) for i in dict.fromkeys(ids)]
-    wanted = df.sparkSession.createDataFrame(ids, "_tracked bigint")
+def tracked_players(df: DataFrame, ids: Sequence[int] | DataFrame, column: str = "player_id") -> DataFrame:
+    """Rows of the tracked players: a left-semi join with the list, which the
+    planner broadcasts or shuffles by its size. A list kept as a table (its first column) never passes
+    the driver; if it is a filtered table too large to broadcast, the planner builds a Bloom filter of its ids
+    and drops other players' rows before they are shuffled. NULL ids are nobody's."""
+    if isinstance(ids, DataFrame):
+        wanted = ids.select(F.col(ids.columns[0]).cast("bigint").alias("_tracked"))
+    else:
+        wanted = df.sparkSession.createDataFrame([(int(i),) for i in dict.fromkeys(ids)], "_tracked bigint")
     return df.join(wanted, F.col(column) == F.col("_tracked"), "left_semi")
 
 
-def _tokens(line: Column) -> Column:
-    """Fields of a CSV line: commas outside quotes separate, doubled quotes are one quote,
-    and empty unquoted text is NULL."""
-    parts = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    def plain(t: Column) -> Column:
-        inner = F.regexp_extract(F.trim(t), '^"(.*)"$', 1)
-        quoted = F.trim(t).rlike('^".*"$')
-        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).when(t != "", t)
-    return F.transform(parts, plain)
-
-
-def file_lines(text: DataFrame) -> DataFrame:
-    """(path, start, row, line and, from the folder names, season, date, player) of a text scan."""
-    path = F.col("_metadata.file_path")
-    part = [F.try_url_decode(F.nullif(F.regexp_extract(path, f"/{c}=([^/]+)/", 1), F.lit(""))).alias(f"_{c}")
-            for c in ("season", "date", "player_id")]
-    return text.select(path.alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
-                       F.monotonically_increasing_id().alias("_row"),
-                       F.regexp_replace("value", "^\ufeff|\r$", "").alias("_line"), *part).where(F.trim("_line") != "")
-
-
 def _lines(spark: SparkSession, patterns: Sequence[str]) -> DataFrame | None:
     """Lines of all files that match; None if no file does."""
     try:
-        return file_lines(spark.read.text(list(patterns)))
+        return file_lines(spark.read.option("lineSep", "\n").text(list(patterns)))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def bind_by_header(lines: DataFrame, targets: Mapping[str, Sequence[str]], optional: Iterable[str] = ()) -> DataFrame:
-    """Rows of landed files with the target columns as text, and ``season`` and ``date``.
+def bind_by_header(lines: DataFrame, facts: DataFrame, targets: Mapping[str, Sequence[str]], optional: Iterable[str] = ()) -> DataFrame:
+    """Records of landed files with the target columns as text, ``season``, ``date`` and the player that the
+    path names.
 
-    A file's header is its first line, whatever it says. Each row is bound
-    to its own file's header by name, so any number of header versions goes
+    A file's header is its first line, whatever it says; a later line that says the same is data. Each
+    record is bound to its own file's header by name, so any number of header versions goes
     through one plan; names nobody asked for are ignored, and a file
     without any candidate of a required target raises an error that names
     its candidates and header. No file is ever left out.
     """
     optional = set(optional)
-    heads = (lines.where("_start = 0").groupBy("_path").agg(F.min_by("_line", "_row").alias("_head"))
-             .withColumn("_names", F.transform(_tokens(F.col("_head")), lambda t: F.lower(F.trim(t)))))
+    n = width(facts)
+    heads = facts.where("_head IS NOT NULL").withColumn("_names", F.transform(fields(F.col("_head"), n), lambda t: F.lower(F.trim(t))))
     at = []
     for target, candidates in targets.items():
         places = [F.array_position("_names", c.lower()) for c in candidates]
@@ -115,14 +101,14 @@ def bind_by_header(lines: DataFrame, targets: Mapping[str, Sequence[str]], optio
             first = F.coalesce(first, F.raise_error(said).cast("bigint"))
         at.append(first.cast("int").alias(f"_{target}"))
     season = F.array_position("_names", "season")
-    bound = heads.select(F.col("_path").alias("_of"), "_head", F.struct(*at, F.when(season > 0, season).cast("int").alias("_season")).alias("_at"))
-    rows = (lines.join(bound, F.col("_path") == F.col("_of")).where("_line <> _head")
-            .withColumn("_field", _tokens(F.col("_line"))))
+    bound = heads.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), F.struct(*at, F.when(season > 0, season).cast("int").alias("_season")).alias("_at"),
+                         F.col("_season").alias("_path_season"), F.col("_date").cast("date").alias("date"), F.col("_player_id"))
+    rows = (records(lines, facts).join(bound, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+            .withColumn("_field", fields(F.col("_record"), n)))
     def field(name: str) -> Column:
         return F.get("_field", F.col(f"_at.{name}") - 1)
     cols = [field(f"_{t}").alias(t) for t in targets]
-    return rows.select(*cols, F.coalesce("_season", field("_season")).alias("season"), F.col("_date").cast("date").alias("date"),
-                       F.col("_player_id"))
+    return rows.select(*cols, F.coalesce("_path_season", field("_season")).alias("season"), "date", "_player_id")
 
 
 def landing_targets(dataset: str) -> tuple[dict, set]:
@@ -155,7 +141,8 @@ def read_landing(spark: SparkSession, root: str, dataset: str, season: str | Non
     Columns are bound by name per file (candidate names, case-insensitive,
     see ``courtside.schemas``), so ``WINS`` in one file and ``W`` in another
     both become ``wins``. ``newest_only`` reads each season's newest date
-    folder and nothing else. A player's shots that were landed on one date
+    folder and nothing else. A pass over the files for quotes and headers runs at once;
+    the rows are read when they are used. A player's shots that were landed on one date
     both in the date folder and in a folder of the player's own count once
     (the date folder's).
     """
@@ -166,11 +153,16 @@ def read_landing(spark: SparkSession, root: str, dataset: str, season: str | Non
     single = _lines(spark, [f"{f}/player_id=*/*.csv" for f in folders]) if folders and dataset == "shot_charts" else None
     if bulk is None and single is None:
         raise FileNotFoundError(f"no landed {dataset} files under {folders or base}")
-    out = bind_by_header(bulk, targets, optional).drop("_player_id") if bulk is not None else None
+    out = days = None
+    if bulk is not None:
+        facts = part_facts(bulk)
+        days = facts.select("_season", "_date").distinct()
+        out = bind_by_header(bulk, facts, targets, optional).drop("_player_id")
     if single is not None:
+        facts = part_facts(single)
         # the folder's name is the player where the file doesn't say
-        own = bind_by_header(single, targets, {*optional, "player_id"}).withColumn("player_id", F.coalesce("player_id", "_player_id")).drop("_player_id")
-        if out is not None:
+        own = bind_by_header(single, facts, targets, {*optional, "player_id"}).withColumn("player_id", F.coalesce("player_id", "_player_id")).drop("_player_id")
+        if out is not None and not facts.select("_season", "_date").join(days, ["_season", "_date"], "left_semi").isEmpty():
             there = out.select(F.col("season").alias("_s"), F.col("date").alias("_d"), F.col("player_id").alias("_p")).distinct()
             own = own.join(there, F.col("season").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
                            & F.col("player_id").eqNullSafe(F.col("_p")), "left_anti")

@@ -43,8 +43,13 @@ def register_table(spark: SparkSession, name: str, path: str,
 def read_processed(spark: SparkSession, name: str, database: str = DEFAULT_DATABASE,
                    path: str | None = None) -> DataFrame:
     """A processed table from the catalog, or straight from its Parquet path
-    (partition discovery gives ``season``; filters on it prune folders)."""
+    (partition discovery gives ``season``; filters on it prune folders). A path that
+    ``courtside.sinks.publish`` writes gives its newest complete version."""
     if path is not None:
+        from courtside.sinks.publish import is_published, read_published
+
+        if is_published(spark, path):
+            return read_published(spark, path)
         df = spark.read.option("mergeSchema", "true").parquet(path)
         # '1998' is a season's name, whatever folder names look like
         return df.withColumn("season", F.col("season").cast("string")) if "season" in df.columns else df

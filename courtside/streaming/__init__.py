@@ -1,5 +1,5 @@
 """Incremental pickup of landed files."""
 
-from courtside.streaming.landing_stream import stream_landing
+from courtside.streaming.landing_stream import read_deliveries, read_streamed, stream_landing
 
-__all__ = ["stream_landing"]
+__all__ = ["read_deliveries", "read_streamed", "stream_landing"]
