@@ -36,6 +36,8 @@ SWITCH = 12.0
 UNDETERMINED = "und"
 #: A text with a smaller share of its letters in its main language has no language (pipeline stage).
 LEAST_SCORE = 0.3
+#: Bytes of distinct words whose n-grams are held at once.
+PIECE = 200_000
 
 # First code points of script ranges (Unicode blocks), with the script from there on.
 SCRIPTS = [
@@ -69,6 +71,16 @@ def lowered(text: bytes | None) -> list[bytes]:
     return text.decode("utf-8", "replace").lower().encode().split() if text else []
 
 
+def pieces(words: list[bytes], most: int = PIECE) -> Iterator[tuple[int, int]]:
+    """Ranges of ``words`` with about ``most`` bytes each (one word at least)."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    lo = 0
+    while lo < len(words):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict:
     """The model from all rows of ``docs`` with a language and a text."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
@@ -83,15 +95,17 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> di
                 words = seen.words
                 if not words:
                     continue
-                grams, owner = byte_grams(words, GRAMS, BUCKETS)
-                kinds = np.array([script_of(w) for w in words])
-                for lang in sorted({x for x, _ in used}):
-                    n = np.bincount(np.concatenate([x for k, x in used if k == lang]), minlength=len(words))
-                    if lang not in sums:
-                        sums[lang] = np.zeros(BUCKETS + len(_NAMES))
+                times = {lang: np.bincount(np.concatenate([x for k, x in used if k == lang]), minlength=len(words)) for lang in sorted({x for x, _ in used})}
+                for first, last in pieces(words):
+                    grams, owner = byte_grams(words[first:last], GRAMS, BUCKETS)
+                    kinds = np.array([script_of(w) for w in words[first:last]])
                     known = kinds[:, 0] >= 0
-                    sums[lang][:BUCKETS] += np.bincount(grams, weights=n[owner], minlength=BUCKETS)
-                    sums[lang][BUCKETS:] += np.bincount(kinds[known, 0], weights=(n * kinds[:, 1])[known], minlength=len(_NAMES))
+                    for lang, all_n in times.items():
+                        n = all_n[first:last]
+                        if lang not in sums:
+                            sums[lang] = np.zeros(BUCKETS + len(_NAMES))
+                        sums[lang][:BUCKETS] += np.bincount(grams, weights=n[owner], minlength=BUCKETS)
+                        sums[lang][BUCKETS:] += np.bincount(kinds[known, 0], weights=(n * kinds[:, 1])[known], minlength=len(_NAMES))
         for lang, x in sums.items():
             at = np.flatnonzero(x)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(x[at].astype(np.int64))], names=["lang", "at", "n"])
@@ -112,7 +126,15 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> di
 
 
 def word_scores(words: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(scores by word and language, letters by word)."""
+    """(scores by word and language, letters by word); n-grams of a bounded piece of the words at a time."""
+    scores = np.empty((len(words), model["table"].shape[1]), np.float32)
+    letters = np.empty(len(words), np.int64)
+    for lo, hi in pieces(words):
+        scores[lo:hi], letters[lo:hi] = _some_scores(words[lo:hi], model)
+    return scores, letters
+
+
+def _some_scores(words: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
     grams, owner = byte_grams(words, GRAMS, BUCKETS)
     table = model["table"]
     scores = np.stack([np.bincount(owner, weights=table[grams, k], minlength=len(words)) for k in range(table.shape[1])], axis=1)

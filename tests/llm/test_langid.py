@@ -60,3 +60,25 @@ def test_held_out(spark):
     assert got.count() == docs.count()
     held = got.filter("held_out")
     assert held.filter("lang = lang_pred").count() >= 0.97 * held.count()
+
+
+def test_pieces_of_words_bound_memory_and_change_nothing():
+    import random
+    import tracemalloc
+
+    import numpy as np
+
+    from courtside.llm import langid as L
+    r = random.Random(4)
+    words = list({"".join(r.choice("abcdefghijklmnopqrstuvwxyzäéñ") for _ in range(r.randint(1, 12))).encode() for _ in range(330_000)})[:300_000]
+    model = {"table": np.random.default_rng(1).random((L.BUCKETS, 4)).astype(np.float32), "allowed": np.ones((len(L._NAMES), 4), bool), "langs": list("abcd")}
+    some = words[:20_000]
+    whole, n = L._some_scores(some, model)
+    cut, m = L.word_scores(some, model)
+    assert np.array_equal(whole, cut) and np.array_equal(n, m)
+    assert [x for lo, hi in L.pieces(words, 1000) for x in range(lo, hi)] == list(range(len(words)))
+    tracemalloc.start()
+    L.word_scores(words, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words) == 300_000 and peak < 80_000_000
