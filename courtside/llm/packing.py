@@ -17,8 +17,8 @@ the histogram, ranks the pieces within their length in salted blocks, and looks
 the runs. Texts are read once and never shuffled.
 
 Defined cases: null and empty texts, and texts without a token, are the end id alone (one piece of
-length 1). Null and repeated ids are kept, row by row. An empty table gives an empty result. Very
-long texts are tokenised in parts cut at white space, which no token spans. Only the id and the
+length 1). Null and repeated ids are kept, row by row. An empty table gives an empty result. Texts
+are tokenised whole, however long (up to Arrow's 2 GB a text). Only the id and the
 text column are read; other columns, whatever their names, don't matter. Strings of the
 vocabulary's special tokens in a text become those tokens, as the tokenizer does by default. A
 piece whose own cost or length no sequence allows gets a sequence of its own.
@@ -28,42 +28,29 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import cut, raw_texts, slabs
+from courtside.llm.common import cut
 
 CAPACITY = 2048
 #: Weights of residual tokens, documents and cost, each as a share of a sequence's capacity.
 WEIGHTS = (1.0, 0.1, 0.1)
 #: Distinct words whose ids a task keeps; beyond that it forgets all and starts again.
-KEPT_WORDS = 400_000
-#: Bytes of a text that are tokenised at once.
-PART = 1 << 20
+KEPT_WORDS = 600_000
+#: Bytes of texts that are split into words at once.
+SLAB = 8_000_000
 #: Pieces of one length that are ranked in one group.
-BLOCK = 50_000
+BLOCK = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def parts(text: bytes, most: int = PART) -> Iterator[bytes]:
-    """``text`` in parts of about ``most`` bytes, cut at ASCII white space only."""
-    at = 0
-    while len(text) - at > most:
-        end = max(text.rfind(w, at, at + most) for w in (b" ", b"\n", b"\t"))
-        if end <= at:  # one long word: up to its end
-            found = [x for w in (b" ", b"\n", b"\t") if (x := text.find(w, at + most)) >= 0]
-            if not found:
-                break
-            end = min(found)
-        yield text[at:end]
-        at = end
-    yield text[at:]
-
-
 def read_vocabulary(path: str | None = None) -> str:
     """A tokenizer file (some MB), by default the public ``word_bpe_49k``; executors get it as a broadcast."""
     if path is None:
@@ -74,69 +61,114 @@ def read_vocabulary(path: str | None = None) -> str:
         return f.read()
 
 
+class Numbers(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class WordTokens:
     """Ids of texts by way of their distinct words. White space ends tokens in a vocabulary that
-    drops it, so a text's ids are its words' ids in a row."""
+    drops it, so a text's ids are its words' ids in a row. Of a vocabulary that lower-cases, words are
+    told apart by their lower-cased A-Z only, unless they may hold a special token.
+
+    Punctuation at a word's end is set apart where the vocabulary does so itself, which leaves fewer words.
+    Many words are tokenised in one call. Letters alone are one part to the vocabulary's rule and its last
+    token is marked as an end, which tells such words apart; other words are set apart by a special token.
+    """
 
-    #: Separates words that are tokenised in one call; a word that holds it goes by itself.
     MARK = "<|startoftext|>"
+    PUNCTUATION = ",.;:!?"
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.mark = self.tokenizer.token_to_id(self.MARK)
+        lowers = self.tokenizer.normalizer
+        self.lower = lowers is not None and lowers.normalize_str("AZ") == "az"
+        # whether punctuation after letters is a part of its own to the vocabulary's rule
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        self.cuts = all(ids(f"ab{x}") == ids(f"ab {x}") for x in (*self.PUNCTUATION, self.PUNCTUATION))
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, bool)
+        self.ends[[i for t, i in known.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.number, self.flat, self.starts = Numbers(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        """Append the ids of ``words``, the newest ones of ``number``, in their order."""
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of any words."""
         encode = self.tokenizer.encode_batch_fast
-        found: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        for lo in range(0, len(words), 500):
-            some = [w.decode("utf-8", "replace") for w in words[lo : lo + 500]]
-            if self.mark is not None and not any("<|" in w for w in some):
-                ids = np.array(encode([self.MARK.join(some)], add_special_tokens=False)[0].ids, np.uint32)
-                marks = np.flatnonzero(ids == self.mark)
-                sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
-                found.append(ids[ids != self.mark])
-            else:
-                each = [e.ids for e in encode(some, add_special_tokens=False)]
-                sizes.append(np.array([len(x) for x in each]))
-                found.append(np.array([i for x in each for i in x], np.uint32))
-        self.flat = np.concatenate([self.flat, *found])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))]) if sizes else self.starts
-
-    def ids(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """Each text's ids."""
+        if self.mark is not None and not any("<|" in w for w in words):
+            ids = np.array(encode([self.MARK.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            return ids[ids != self.mark], np.diff(marks, prepend=-1, append=len(ids)) - 1
+        each = [e.ids for e in encode(words, add_special_tokens=False)]
+        return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of letters."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or not len(last) or last[-1] != len(ids) - 1:  # not one part each after all
+            return self._apart(words)
+        return ids, np.diff(last, prepend=-1)
+
+    def learn(self) -> None:
+        """Tokenise the words numbered since."""
+        words = [w.decode("utf-8", "replace") for w in islice(self.number, len(self.starts) - 1, None)]
+        plain = np.fromiter(map(str.isalpha, words), bool, len(words))
+        size = np.zeros(len(words), np.int64)
+        flat, owner = [], []
+        for kind, make in ((True, self._letters), (False, self._apart)):
+            these = np.flatnonzero(plain == kind)
+            for lo in range(0, len(these), 1000):
+                some = these[lo : lo + 1000]
+                ids, n = make([words[i] for i in some])
+                size[some] = n
+                flat.append(ids)
+                owner.append(np.repeat(some, n))
+        if flat:
+            order = np.argsort(np.concatenate(owner), kind="stable")
+            self.flat = np.concatenate([self.flat, np.concatenate(flat)[order]])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(size)])
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of an Arrow column; null is empty."""
         if len(self.number) > KEPT_WORDS:
             self.forget()
-        known, number = len(self.number), self.number
-        words, owner = [], []
-        for i, t in enumerate(texts):
-            for p in parts(t) if t else ():
-                x = p.split()
-                words.append(np.fromiter([number.setdefault(w, len(number)) for w in x], np.int64, len(x)))
-                owner.append((i, len(x)))
-        if len(number) > known:
-            self.learn(list(number)[known:])
-        if not words:
-            return [np.zeros(0, np.uint32)] * len(texts)
-        at = np.concatenate(words)
+        texts = pc.fill_null(texts, "")
+        if self.lower:
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        if self.cuts:
+            texts = pc.replace_substring_regex(texts, rf"([a-z])([{self.PUNCTUATION}]+)(\s)", r"\1 \2\3")
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        spelt = words.dictionary.cast(pa.binary()).to_pylist()
+        number = np.fromiter(map(self.number.__getitem__, spelt), np.int64, len(spelt))
+        if len(self.number) > len(self.starts) - 1:
+            self.learn()
+        at = number[words.indices.to_numpy()] if len(spelt) else np.zeros(0, np.int64)
         begin = self.starts[at]
         size = self.starts[at + 1] - begin
         ends = np.cumsum(size)
         flat = self.flat[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        count = np.zeros(len(texts), np.int64)
-        np.add.at(count, [i for i, _ in owner], [n for _, n in owner])
-        word_end = np.cumsum(count)
-        cuts = np.concatenate([[0], ends])[word_end]
-        return np.split(flat, cuts[:-1])
+        upto = np.cumsum(pc.list_value_length(split).to_numpy())
+        return np.split(flat, np.concatenate([[0], ends])[upto][:-1])
+
+
+def slabs_of(texts: pa.Array, most: int = SLAB) -> Iterator[tuple[int, int]]:
+    """Ranges of a column with about ``most`` bytes each (one text at least), to bound memory."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
 
 
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -149,10 +181,10 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         tokens = WordTokens(shared.value)
         seen = TaskContext.get().partitionId() << 38
         for batch in batches:
-            texts, keys = raw_texts(batch.column(1)), batch.column(0)
-            for lo, hi in slabs(texts, 4_000_000):
+            keys, texts = batch.column(0), batch.column(1)
+            for lo, hi in slabs_of(texts):
                 row, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(tokens.ids(texts[lo:hi]), lo):
+                for i, ids in enumerate(tokens.ids(texts.slice(lo, hi - lo)), lo):
                     whole = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for k, s in enumerate(range(0, len(whole), capacity)):
                         x = whole[s : s + capacity]

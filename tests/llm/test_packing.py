@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -45,18 +46,18 @@ def test_edges_and_constraints(spark):
             assert len(bins) <= -(-sum(r["length"] for r in got) // capacity) + 1
 
 
-def test_long_texts_in_parts():
-    words = K.WordTokens(K.read_vocabulary())
-    text = prose(3000, 5).encode() + b" " + b"w" * 3000 + b"\n" + prose(500, 6).encode()
-    whole = words.ids([text])[0]
-    cut_up = [p for p in K.parts(text, 700)]
-    assert b"".join(cut_up) == text and len(cut_up) > 20
-    K.PART, kept = 700, K.PART
-    try:
-        parted = K.WordTokens(K.read_vocabulary())
-        assert np.array_equal(whole, np.concatenate(parted.ids([p for p in cut_up])))
-    finally:
-        K.PART = kept
+def test_words_across_slabs_and_forgetting(monkeypatch):
+    """Equal ids whether words are remembered, forgotten or new, in any order of texts."""
+    texts = [prose(400, i) + (" W\u00f6rter, e\u0301, a.b, x.,; y?! z.\t'tis. it's, 5. (so:) <|endoftext|>, \u0130stanbul e\u0301t\u00e9, x'll 12a <|ENDOFTEXT|> <|endoftext|>" if i % 3 else "") for i in range(40)] + [None, "", " \n ", "z" * 5000]
+    tokenizer = Tokenizer.from_str(K.read_vocabulary())
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    column = pa.array(texts)
+    for kept, slab in ((600_000, 8_000_000), (50, 3000), (0, 1)):
+        monkeypatch.setattr(K, "KEPT_WORDS", kept)
+        tokens = K.WordTokens(K.read_vocabulary())
+        got = [x.tolist() for lo, hi in K.slabs_of(column, slab) for x in tokens.ids(column.slice(lo, hi - lo))]
+        assert got == want
+    assert list(K.slabs_of(pa.array([], pa.string()))) == []
 
 
 def slow_plan(counts, capacity, most_docs, most_cost, weights):
