@@ -27,16 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import WHITE_RE, WordIds, families, per_batch, slabs
+from courtside.llm.common import WHITE_RE, WordIds, per_batch, slabs
 
 DECAY, SPAN = 0.7, 6
 #: The kernel is raised to this power (a product of kernels): near matches stand out from chance likeness.
 POWER = 2
 MARKS, OTHERS = 224, 32
-#: Chosen on held-out texts as they are and with one to three letters inserted into their insults (README).
+#: Chosen by four folds inside the training rows, on texts as they are and with one to three letters
+#: inserted into their insults (README).
 FLOOR = 0.4
-#: Groups of like landmarks, used to rule words out early.
-FAMILIES = 24
 MAX_LABELLED = 8192
 COST, RIDGE = 1.0, 0.1
 ALPHABET = 128
@@ -99,42 +98,62 @@ def summed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Kernel:
-    """Normalised kernel values of words with the landmarks."""
+    """Normalised kernel values of words with the landmarks, as a sparse product over shared triples."""
 
     def __init__(self, landmarks: list[bytes]) -> None:
         self.landmarks = landmarks
         w, code, weight = summed(landmarks)
-        self.codes, at = np.unique(code, return_inverse=True)
-        self.table = np.zeros((len(self.codes), len(landmarks)), np.float32)
-        self.table[at, w] = weight
-        self.table /= np.maximum(np.sqrt((self.table**2).sum(axis=0)), 1e-12)
-        self.top = self.table.max(axis=1)
-        self.most = [self.table[:, f].max(axis=1) for f in families(self.table.T @ self.table, FAMILIES)]
+        length = np.sqrt(np.bincount(w, weights=weight**2, minlength=len(landmarks)))
+        order = np.argsort(code, kind="stable")
+        codes, self.size = np.unique(code, return_counts=True)
+        self.start = np.cumsum(self.size) - self.size
+        self.mark, self.value = w[order], (weight / np.maximum(length[w], 1e-12))[order]
+        self.row = np.full(ALPHABET**3, -1, np.int32)  # of a triple: its place in start and size
+        self.row[codes] = np.arange(len(codes))
+
+    def gram(self) -> np.ndarray:
+        """Kernel values of the landmarks with each other."""
+        table = np.zeros((len(self.start), len(self.landmarks)))
+        table[np.repeat(np.arange(len(self.start)), self.size), self.mark] = self.value
+        return table.T @ table
 
     def near(self, words: list[bytes], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word, landmark, value) of all values of at least ``floor``."""
-        w, code, weight = triples(words)
-        least = np.sqrt(np.bincount(w, weights=weight**2, minlength=len(words)))  # length if no triple repeats, else below it
-        at = np.searchsorted(self.codes, code)
-        known = self.codes[np.minimum(at, len(self.codes) - 1)] == code
-        w, at, weight = w[known], at[known], weight[known]
-        # the most that any landmark, then a landmark of each family, could give: nothing at or above the floor is lost
-        maybe = np.bincount(w, weights=weight * self.top[at], minlength=len(words)) >= floor * least
-        keep = maybe[w]
-        w, at, weight = w[keep], at[keep], weight[keep]
-        live = np.zeros(len(words), bool)
-        for most in self.most:
-            live |= np.bincount(w, weights=weight * most[at], minlength=len(words)) >= floor * least
-        some = np.flatnonzero(live & (least > 0))
+        codes, owner = letters(words)
+        codes = codes.astype(np.int32)
+        marks = len(self.landmarks)
+        count = np.bincount(owner, minlength=len(words))
+        least = np.zeros(len(words))  # squared length if no triple repeats, else below it
+        rows, owners, weights = [], [], []
+        for k in range(2, SPAN):
+            n = len(codes) - k
+            if n <= 0:
+                break
+            weight = DECAY ** (k + 1)
+            least += (k - 1) * np.maximum(count - k, 0) * weight**2
+            inside = np.flatnonzero(owner[:n] == owner[k:])
+            ends, own = codes[inside] * (ALPHABET * ALPHABET) + codes[inside + k], owner[inside]
+            for j in range(1, k):
+                row = self.row[ends + codes[inside + j] * ALPHABET]
+                hit = np.flatnonzero(row >= 0)
+                rows.append(row[hit])
+                owners.append(own[hit])
+                weights.append(np.full(len(hit), weight))
+        if not rows or not marks:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        row = np.concatenate(rows)
+        size = self.size[row]
+        upto = np.cumsum(size)
+        at = np.repeat(self.start[row] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+        key = np.repeat(np.concatenate(owners) * marks, size) + self.mark[at]
+        dot = np.bincount(key, weights=self.value[at] * np.repeat(np.concatenate(weights), size), minlength=len(words) * marks).reshape(len(words), marks)
+        bar = floor * np.sqrt(least)
+        some = np.flatnonzero((dot.max(axis=1) >= bar * (1 - 1e-9)) & (least > 0))
         if not len(some):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        w, code, weight = summed([words[i] for i in some])
+        w, _, weight = summed([words[i] for i in some])
         length = np.sqrt(np.bincount(w, weights=weight**2, minlength=len(some)))
-        at = np.searchsorted(self.codes, code)
-        known = self.codes[np.minimum(at, len(self.codes) - 1)] == code
-        dense = np.zeros((len(some), len(self.codes)), np.float32)
-        dense[w[known], at[known]] = weight[known]
-        value = (dense @ self.table) / length[:, None]
+        value = dot[some] / length[:, None]
         a, b = np.nonzero(value >= floor)
         return some[a], b, np.minimum(value[a, b], 1.0)
 
@@ -184,10 +203,12 @@ class Rows:
         word, mark, value = self.found[0] if len(self.found) == 1 else tuple(np.concatenate(x) for x in zip(*self.found))
         self.found = [(word, mark, value)]
         start = np.searchsorted(word, np.arange(self.done + 1))
-        for i, x in enumerate(ids):
-            for k in x[start[x + 1] > start[x]].tolist():
-                part = slice(start[k], start[k + 1])
-                out[i, mark[part]] = np.maximum(out[i, mark[part]], value[part])
+        # every (text, word) pair's kernel values, the largest kept by text and landmark
+        pairs = np.concatenate(ids)
+        size = start[pairs + 1] - start[pairs]
+        text = np.repeat(np.repeat(np.arange(len(ids)), [len(x) for x in ids]), size)
+        at = np.repeat(start[pairs] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        np.maximum.at(out.reshape(-1), text * out.shape[1] + mark[at], value[at].astype(np.float32))
         return out**POWER
 
 
@@ -269,8 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return {"landmarks": [], "share": float(n or 0.0)}
     got = sorted(_matrix(rows.select("id", "y", "text"), landmarks, "text", "v", None).select("id", "y", "v").collect(), key=lambda r: r["id"])
     x, y = np.array([r["v"] for r in got], float), np.array([r["y"] for r in got], float)
-    table = Kernel(landmarks).table.astype(float)
-    values, vectors = np.linalg.eigh((table.T @ table) ** POWER + RIDGE * np.eye(len(landmarks)))
+    values, vectors = np.linalg.eigh(Kernel(landmarks).gram() ** POWER + RIDGE * np.eye(len(landmarks)))
     nystroem = (vectors / np.sqrt(np.maximum(values, 1e-9))) @ vectors.T
     w = _svm(x @ nystroem, 2 * y - 1)
     slope, offset = _logistic(x @ nystroem @ w[:-1] + w[-1], y)

@@ -106,3 +106,17 @@ def test_held_out(spark):
     up = [r for r in held if r["toxic"]]
     assert sum(r["predicted"] for r in up) >= 0.75 * len(up)
     assert sum(r["predicted"] for r in held if not r["toxic"]) <= 0.02 * len(held)
+
+
+def test_rows_of_texts_by_definition():
+    """A text's row: the largest kernel value of its words with each landmark, zero below the floor, raised."""
+    marks = ["idiot", "clown", "trash", "the", "reading"]
+    texts = ["you idxiot and cl-own, reading the tra#sh", "a b c", "", None, "idiot idiot i d i o t", "theory reads clowns",
+             *(prose(30, i) for i in range(12)), "x" * 300 + " tr.a.s.h", "ÉTÉ über ñandú"]
+    got = X.Rows([m.encode() for m in marks]).of([None if t is None else t.encode() for t in texts])
+    for t, row in zip(texts, got):
+        words = {w.decode() for w in X.forms(None if t is None else t.encode())}
+        for m, value in zip(marks, row):
+            best = max((slow_kernel(w, m) for w in words if any(c.isalpha() for c in w)), default=0)
+            want = best**X.POWER if best >= X.FLOOR else 0
+            assert abs(value - want) < 1e-5 or abs(best - X.FLOOR) < 1e-6
