@@ -1,21 +1,34 @@
 """Main text of web pages with a site style tree.
 
-Pages of a host are merged into a tree of block paths (tags with their classes and ids). Per path
-the tree holds how the pages' blocks are distributed: a block of text that stands on many of the
-host's pages has high entropy over pages and so little content importance; a path whose blocks come
-in the same arrangement on every page has little presentation importance. Both are sums over
-(host, path, block) counts, so a host with a third of all pages is added up by many tasks and no
-page's DOM is ever gathered with another's. From each page, branches of low composite importance go,
-and with them branches whose element says what it is (navigation, advert, form, ...). What is
-left inside ``article`` or ``main`` is the text; without such an element, what is left of the body.
-
-Plain prose right inside an article (paragraphs, headings, lists without a class) is never removed
-for low importance: copies of an article on one host stay whole.
+The DOMs of a host's pages are merged into one tree: a node is a path of elements (tags with their
+classes and ids). The tree holds, per node,
+
+* the arrangements of its children over the pages (their sequence of elements). Presentation importance is
+  the entropy of these arrangements to the base of the number of pages that have the node: 0 where every page
+  looks alike, up to 1 where each is another;
+* the words of its own text. A word's entropy over the pages is near 1 if all pages have it alike and 0 if one page
+  does; content importance is 1 less the mean entropy of the node's words;
+* the composite importance, passed up from leaves to branches: ``(1 - g**l) * presentation + g**l * (importance of
+  what is below)`` with l arrangements, where what is below is the mean over the node's own text and its children,
+  weighed by the pages that have them.
+
+From each page go the branches of low composite importance, and single blocks, wherever they stand, that the site's
+pages repeat as a whole and in their words (a block's entropy over the pages is a word's; a short block of
+common words alone is not enough). Element names are a prior beside the tree:
+navigation, adverts, forms and the like go at once, and where a page has an ``article`` or
+``main``, the text is taken from there. If what the tree would take from a page's main text is half of it or
+more, the page is a copy or a near copy of others, not boilerplate, and keeps its text.
+
+Identical pages of a host count once (each copy weighs one over their number). All is added up as
+(host, node, item) sums by many tasks; no DOM is gathered with another's. A host's judgement (nodes of
+low importance; words that its pages repeat, with their entropy) meets the host's pages by one
+shuffle in which it comes before them, in ``PARTS`` parts a host, and is held one host at a time.
 
 Defined cases: null and empty pages give an empty text; a null or malformed url is a host of its
 own by its text; unclosed, crossed and cut-off tags are read leniently; pages are read whole.
-Repeated pages count as pages of their host and each get their text. A site needs ``MIN_PAGES`` pages
-with a path before the path can be judged. There are no ties.
+Repeated pages each get their text. A node is judged only where ``MIN_PAGES`` different pages have it. Words
+with an entropy under ``REPEATED`` count as not repeated. There are no ties. Other columns of the
+input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +37,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import pyarrow as pa
 import xxhash
@@ -31,18 +45,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.llm.common import cut, raw_texts
+from courtside.session import scratch_path
 
-MIN_PAGES = 4
-#: A host's pages meet its paths of low importance in so many parts: a host may hold a third of all pages.
+MIN_PAGES = 6
+#: A host's pages meet its judgement in so many parts: a host may hold a third of all pages.
 PARTS = 32
-#: Branches with a composite importance below this go; the composite weighs content and presentation.
-LEAST, CONTENT, PRESENTATION = 0.25, 0.75, 0.25
+#: Branches and blocks with an importance below this go.
+LEAST = 0.2
+#: Share of what is below a node in its importance, to the power of its number of arrangements.
+BELOW = 0.9
+#: Least entropy of a word that counts as repeated by a site.
+REPEATED = 0.5
 
 # HTML's elements by what they hold.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 NOISE_TAGS = set("aside button datalist dialog fieldset footer form head header input menu nav object option optgroup select title".split())
-PROSE = set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table tbody thead tr td th article main section figure figcaption".split())
 MAIN = {"article", "main"}
 #: Words in a class or id that name a part beside the article.
 NOISE_WORDS = set(("ad ads advert adverts advertisement advertisements banner banners breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
@@ -146,20 +164,69 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
     return out
 
 
-def _plain(path: str) -> bool:
-    """Whether a path is plain prose from its article or main element on."""
-    steps = path.split("/")
-    start = max((i for i, s in enumerate(steps) if s.split(".")[0] in MAIN), default=None)
-    return start is not None and all(s in PROSE for s in steps[start + 1 :])
+_WORD = re.compile(r"\w+")
 
 
-def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
-    """Text of the blocks that stay; ``low`` has the host's paths of low importance."""
-    found = [b for b in blocks(page) if not b[2]] if page else []
-    if any(b[3] for b in found):
+def words_of(text: str) -> list[int]:
+    """Hashes of a block's words (below 2**63)."""
+    return [xxhash.xxh64_intdigest(w) >> 1 for w in _WORD.findall(text.lower())]
+
+
+def block_of(text: str) -> int:
+    """Hash of a block as a whole."""
+    return xxhash.xxh64_intdigest("\n" + text.lower()) >> 1
+
+
+def arrangements(found: list[tuple[str, str, bool, bool]]) -> dict[str, list[str]]:
+    """Of every inner node of a page: its children's elements in page order."""
+    out: dict[str, list[str]] = {}
+    before: list[str] = []
+    for path, *_ in found:
+        steps = path.split("/")
+        same = 0
+        while same < min(len(steps), len(before)) - 1 and steps[same] == before[same]:
+            same += 1
+        at = "/".join(steps[:same])
+        for k in range(max(same, 1), len(steps)):
+            at = "/".join(steps[:k])
+            out.setdefault(at, []).append(steps[k])
+        before = steps
+    return out
+
+
+class Site:
+    """A host's judgement: nodes of low importance, and the entropies of words that its pages repeat."""
+
+    def __init__(self, low: list[str] = (), nodes: list[str] = (), words: list[int] = (), entropies: list[float] = ()) -> None:
+        self.low = frozenset(low)
+        self.repeats: dict[str, dict[int, float]] = {}
+        for n, w, e in zip(nodes, words, entropies):
+            self.repeats.setdefault(n, {})[w] = e
+
+    def takes(self, path: str, text: str) -> bool:
+        """Whether the tree takes a block away."""
+        if self.low:
+            steps = path.split("/")
+            if any("/".join(steps[: k + 1]) in self.low for k in range(len(steps))):
+                return True
+        known = self.repeats.get(path)
+        if not known:
+            return False
+        if known.get(block_of(text), 0.0) < 1 - LEAST:
+            return False
+        found = words_of(text)
+        return bool(found) and 1 - sum(known.get(w, 0.0) for w in found) / len(found) < LEAST
+
+
+def main_text(page: str | None, site: Site = Site(), names: bool = True) -> str:
+    """Text of the blocks that stay. ``names=False`` leaves the judgement to the tree alone."""
+    found = [b for b in blocks(page) if not (names and b[2])] if page else []
+    if names and any(b[3] for b in found):
         found = [b for b in found if b[3]]
-    kept = [b for b in found if b[0] not in low or _plain(b[0])]
-    return "\n".join(b[1] for b in kept or found)
+    kept = [b for b in found if not site.takes(b[0], b[1])]
+    if names and 2 * sum(len(b[1]) for b in kept) <= sum(len(b[1]) for b in found):
+        kept = found
+    return "\n".join(b[1] for b in kept)
 
 
 def host_of(url_col: str):
@@ -167,56 +234,145 @@ def host_of(url_col: str):
     return F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]*)", 1))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, content, presentation, importance) from (host, html)."""
+def tree_sums(pages: DataFrame) -> DataFrame:
+    """``host, path, kind, item, n, s`` from (host, html, weight): per node, pages (kind ``page``), pages that have
+    text there (``leaf``), pages by arrangement (``style``) and times of each word and each whole block (``word``, ``block``, with s the sum over
+    pages of times * log(times)); a page counts with its weight."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter = Counter()
-            for host, page in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
-                mine: dict[str, list[int]] = {}
-                for path, text, noise, _ in blocks(page.decode("utf-8", "replace")) if page else []:
-                    if not noise:
-                        mine.setdefault(path, []).append(xxhash.xxh64_intdigest(text.encode()) >> 1)
-                for path, found in mine.items():
-                    for x in set(found):
-                        counts[host, path, "text", x] += 1
-                    counts[host, path, "style", len(found)] += 1
-            if counts:
-                h, p, k, x = zip(*counts)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(p, pa.string()), pa.array(k, pa.string()), pa.array(x, pa.int64()), pa.array(list(counts.values()), pa.int64())],
-                                                 names=["host", "path", "kind", "item", "n"])
-
-    counted = (pages.select("host", "html").mapInArrow(rows, "host string, path string, kind string, item long, n long")
-               .groupBy("host", "path", "kind", "item").agg(F.sum("n").alias("n")))
-    c = F.col("n").cast("double")
-    tree = counted.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("kind") == "style", F.col("n"))).alias("pages"),
-        F.sum(F.when(F.col("kind") == "style", c * F.log(c))).alias("style"),
-        F.sum(F.when(F.col("kind") == "text", F.col("n"))).alias("texts"),
-        F.sum(F.when(F.col("kind") == "text", c * F.log(c))).alias("repeats"))
-    m = F.log(F.col("pages").cast("double"))
-    many = F.col("pages") > 1
-    return (tree.withColumn("content", F.when(many, 1 - F.col("repeats") / (F.col("texts") * m)).otherwise(1.0))
-            .withColumn("presentation", F.when(many, 1 - F.col("style") / (F.col("pages") * m)).otherwise(1.0))
-            .withColumn("importance", CONTENT * F.col("content") + PRESENTATION * F.col("presentation"))
-            .select("host", "path", "pages", "content", "presentation", "importance"))
+            sums: dict[tuple, list[float]] = {}
+
+            def add(key: tuple, n: float, s: float = 0.0) -> None:
+                if (x := sums.get(key)) is None:
+                    sums[key] = [n, s]
+                else:
+                    x[0] += n
+                    x[1] += s
+
+            for host, page, weight in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()):
+                found = blocks(page.decode("utf-8", "replace")) if page else []
+                children = arrangements(found)
+                texts: dict[str, Counter] = {}
+                wholes: Counter = Counter()
+                for path, text, *_ in found:
+                    texts.setdefault(path, Counter()).update(words_of(text))
+                    wholes[path, block_of(text)] += 1
+                for path in {*children, *texts}:
+                    add((host, path, "page", 0), weight)
+                for path, steps in children.items():
+                    add((host, path, "style", xxhash.xxh64_intdigest("/".join(steps)) >> 1), weight)
+                for (path, whole), n in wholes.items():
+                    add((host, path, "block", whole), weight * n, weight * n * log(n))
+                for path, counted in texts.items():
+                    add((host, path, "leaf", 0), weight)
+                    for w, n in counted.items():
+                        add((host, path, "word", w), weight * n, weight * n * log(n))
+            if sums:
+                h, p, k, x = zip(*sums)
+                n, t = zip(*sums.values())
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(p, pa.string()), pa.array(k, pa.string()), pa.array(x, pa.int64()), pa.array(n), pa.array(t)],
+                                                 names=["host", "path", "kind", "item", "n", "s"])
+
+    return (pages.select("host", "html", "weight").mapInArrow(rows, "host string, path string, kind string, item long, n double, s double")
+            .groupBy("host", "path", "kind", "item").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+
+
+def composites(nodes: list[tuple[str, float, float, float, float]]) -> dict[str, float]:
+    """Composite importance of a host's nodes from (path, pages, presentation, arrangements, content or NaN)."""
+    children: dict[str, list[str]] = {}
+    by = {n[0]: n for n in nodes}
+    for path in by:
+        if "/" in path:
+            children.setdefault(path.rsplit("/", 1)[0], []).append(path)
+    out: dict[str, float] = {}
+    for path in sorted(by, key=lambda p: -p.count("/")):
+        _, pages, presentation, kinds, content = by[path]
+        below = [(by[c][1], out[c]) for c in children.get(path, [])]
+        if content == content:
+            below.append((pages, content))
+        mean = sum(w * x for w, x in below) / sum(w for w, _ in below) if below else 1.0
+        g = BELOW ** max(kinds, 1.0)
+        out[path] = mean if not children.get(path) else (1 - g) * presentation + g * mean
+    return out
+
+
+def style_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (host, html, weight): the nodes ``host, path, pages, presentation, kinds, content``, and the repeated
+    words and blocks ``host, path, word, entropy`` of nodes that enough pages have."""
+    sums = cut(tree_sums(pages))
+    sized = (sums.where("kind = 'page' or kind = 'style' or kind = 'leaf'").groupBy("host", "path").agg(
+        F.sum(F.when(F.col("kind") == "page", F.col("n"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == "leaf", F.col("n"))).alias("leaves"),
+        F.count(F.when(F.col("kind") == "style", 1)).cast("double").alias("kinds"),
+        F.sum(F.when(F.col("kind") == "style", F.col("n") * F.log("n"))).alias("style"),
+        F.sum(F.when(F.col("kind") == "style", F.col("n"))).alias("styled")))
+    many = F.col("pages") > 1.5
+    nodes = sized.select("host", "path", "pages", "leaves", "kinds", F.when(many, 1 - F.col("style") / (F.col("styled") * F.log("pages"))).otherwise(1.0).alias("presentation"))
+    # entropy of a word over the pages with text at the node: (log n - s / n) / log(pages)
+    words = sums.where("kind = 'word' or kind = 'block'").select("host", "path", "kind", F.col("item").alias("word"), "n", "s")
+    entropy = F.when(F.col("leaves") > 1.5, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.log("n") - F.col("s") / F.col("n")) / F.log("leaves")))).otherwise(0.0)
+    known = words.join(nodes.select("host", "path", "leaves").where("leaves is not null"), ["host", "path"]).select("host", "path", "kind", "word", "leaves", entropy.alias("entropy"))
+    known = cut(known)
+    content = known.where("kind = 'word'").groupBy("host", "path").agg((1 - F.avg("entropy")).alias("content"))
+    tree = nodes.join(content, ["host", "path"], "left").select("host", "path", "pages", F.coalesce("presentation", F.lit(1.0)).alias("presentation"), "kinds", "content")
+    return tree, known.where((F.col("entropy") >= REPEATED) & (F.col("leaves") >= MIN_PAGES - 0.5)).drop("kind", "leaves")
+
+
+def judgements(tree: DataFrame, repeated: DataFrame) -> DataFrame:
+    """A row a host: ``host, low, nodes, words, entropies``."""
+
+    def of_hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = []
+            for found in batch.column(1).to_pylist():
+                nodes = [(x["path"], x["pages"], x["presentation"], x["kinds"], float("nan") if x["content"] is None else x["content"]) for x in found]
+                pages = {n[0]: n[1] for n in nodes}
+                low.append([p for p, c in composites(nodes).items() if c < LEAST and pages[p] >= MIN_PAGES - 0.5 and "/" in p])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.list_(pa.string()))], names=["host", "low"])
+
+    gathered = tree.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "presentation", "kinds", "content")).alias("x"))  # the nodes of one site's tree
+    lows = gathered.select("host", "x").mapInArrow(of_hosts, "host string, low array<string>").where("size(low) > 0")
+    words = repeated.groupBy("host").agg(F.collect_list("path").alias("nodes"), F.collect_list("word").alias("words"), F.collect_list("entropy").alias("entropies"))
+    return lows.join(words, "host", "full_outer")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every row of ``pages``."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
-    tree = style_tree(rows)
-    low = cut(tree.filter((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST)).groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")))
+    hashed = rows.select("host", "html", F.xxhash64("html").alias("h"))
+    copies = hashed.groupBy("host", "h").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    place = scratch_path(pages.sparkSession, "copies")
+    copies.write.parquet(place)  # its size is known to the planner then
+    copies = pages.sparkSession.read.schema(copies.schema).parquet(place)
+    weighed = hashed.join(copies, ["host", "h"], "left").select("host", "html", (1.0 / F.coalesce("copies", F.lit(1))).alias("weight"))
+    judged = cut(judgements(*style_tree(weighed)))
+
+    kinds = dict(rows.dtypes)
     part = F.pmod(F.xxhash64("url", "id"), F.lit(PARTS)).cast("int")
-    spread = low.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    joined = rows.withColumn("part", part).join(spread, ["host", "part"], "left").select("id", "url", "html", F.coalesce("low", F.array().cast("array<string>")).alias("low"))
-    schema = f"id {dict(rows.dtypes)['id']}, url {dict(rows.dtypes)['url']}, text string, n_chars long"
+    model = judged.select("host", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), F.lit(0).alias("kind"),
+                          F.lit(None).cast(kinds["id"]).alias("id"), F.lit(None).cast(kinds["url"]).alias("url"), F.lit(None).cast("string").alias("html"), "low", "nodes", "words", "entropies")
+    own = rows.select("host", part.alias("part"), F.lit(1).alias("kind"), "id", "url", "html", *[F.lit(None).cast(model.schema[c].dataType).alias(c) for c in ("low", "nodes", "words", "entropies")])
+    met = own.unionByName(model).repartition("host", "part").sortWithinPartitions("host", "part", "kind")
+    schema = f"id {kinds['id']}, url {kinds['url']}, text string, n_chars long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, site = None, Site()
         for batch in batches:
-            lows = [frozenset(x) for x in batch.column(3).to_pylist()]
-            texts = [main_text(p.decode("utf-8", "replace") if p else None, x) for p, x in zip(raw_texts(batch.column(2)), lows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
-
-    return joined.mapInArrow(read, schema).withColumnsRenamed({"id": id_col, "url": url_col})
+            texts, at = [], []
+            hosts, kind = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            pages = raw_texts(batch.column(5))
+            for i, host in enumerate(hosts):
+                if kind[i] == 0:
+                    if host != now:  # parts of one host may follow each other
+                        now, site = host, Site(*[batch.column(k)[i].as_py() or () for k in range(6, 10)])
+                    continue
+                if host != now:
+                    now, site = host, Site()
+                at.append(i)
+                texts.append(main_text(pages[i].decode("utf-8", "replace") if pages[i] else None, site))
+            if at:
+                some = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(3).take(some), batch.column(4).take(some), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
+
+    return met.mapInArrow(read, schema).withColumnsRenamed({"id": id_col, "url": url_col})
