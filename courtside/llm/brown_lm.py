@@ -34,7 +34,7 @@ CLASSES = 64
 SYMBOLS, ENDINGS = 2048, 2048
 ENDING_BYTES = 3
 HEAD = 200_000
-SWEEPS, SWEEP_TASKS = 10, 12
+SWEEPS = 10
 SMOOTH = 5.0
 #: Word forms counted in a task before it passes them on.
 FORMS = 400_000
@@ -111,21 +111,18 @@ def count_bigrams(texts: DataFrame, symbols: dict[bytes, int]) -> DataFrame:
 
 
 def context_sums(bigrams: DataFrame, classes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bigrams of each symbol with the class after it, with the class before it)."""
-    shared = bigrams.sparkSession.sparkContext.broadcast(classes)
+    """(bigrams of each symbol with the class after it, with the class before it): one aggregate on
+    Spark, symbols x classes rows of which come to the driver."""
     size = len(classes)
-
-    def work():
-        c = shared.value
-
-        def add(batch: pa.RecordBatch) -> np.ndarray:
-            a, b, n = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-            return np.concatenate([np.bincount(a * k + c[b], weights=n, minlength=size * k), np.bincount(b * k + c[a], weights=n, minlength=size * k)])
-
-        return add
-
-    both = sum_batches(bigrams, work, 2 * size * k)
-    return both[: size * k].reshape(size, k), both[size * k :].reshape(size, k)
+    known = bigrams.sparkSession.createDataFrame(list(enumerate(classes.tolist())), "symbol int, class int")
+    first = F.broadcast(known.select(F.col("symbol").alias("a"), F.col("class").alias("class_a")))  # a row a symbol
+    second = F.broadcast(known.select(F.col("symbol").alias("b"), F.col("class").alias("class_b")))
+    sides = bigrams.join(first, "a").join(second, "b").selectExpr("n", f"stack(2, a, class_b, b, class_a + {k}) as (symbol, context)")
+    got = sides.groupBy("symbol", "context").agg(F.sum("n").alias("n")).toArrow()
+    symbol, context, n = (got.column(c).to_numpy() for c in ("symbol", "context", "n"))
+    both = np.zeros((size, 2 * k))
+    both[symbol, context] = n
+    return both[:, :k], both[:, k:]
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -189,8 +186,7 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[dict, DataFrame]:
     head = head_words(words)
     symbols = {w: i for i, (w, _) in enumerate(head[:SYMBOLS])}
     symbols |= {w: ending(w) for w, _ in head[SYMBOLS:]}
-    # at most (symbols + endings + 1) ** 2 rows at any corpus size: a few tasks a sweep, each with one sum to pass on
-    bigrams = cut(count_bigrams(texts, symbols)).coalesce(SWEEP_TASKS)
+    bigrams = cut(count_bigrams(texts, symbols))  # at most (symbols + endings + 1) ** 2 rows at any corpus size
     classes, table = cluster(bigrams)
     shared = docs.sparkSession.sparkContext.broadcast((symbols, classes))
 
