@@ -35,7 +35,9 @@ def positions(df: DataFrame, by: str, tiebreak: Sequence = (), name: str = "posi
 
     Approximate quantiles cut ``by`` into ``ranges`` value ranges; rows are
     numbered inside their range, and a count per range says how many rows
-    stand before it. Places are exact, and no task holds more than a range.
+    stand before it. Places are exact, and no task holds more than a range. The input is
+    evaluated three times (cuts, counts, rows): write or persist a costly one first, and number a
+    frame that is small by nature with ``seed_within``.
     """
     cuts = df.agg(F.percentile_approx(by, [i / ranges for i in range(1, ranges)]).alias("c")).scalar()
     df = df.withColumn("_cuts", F.coalesce(cuts, F.array().cast("array<double>")))

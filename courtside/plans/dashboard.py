@@ -16,7 +16,7 @@ from courtside.functions.rates import pct_rate
 from courtside.functions.text import percent_text, record_text, signed_text, thousands_text
 from courtside.operators.aggregate import conditional_rate, rate_by_group
 from courtside.operators.extremes import arg_extreme, display_key, first_in_order
-from courtside.operators.ranking import positions
+from courtside.operators.ranking import seed_within
 from courtside.operators.topk import top_k
 from courtside.plans.shots import clutch_condition
 from courtside.schemas import THREE_POINT_SHOT_TYPE
@@ -158,8 +158,9 @@ def r_scatter(d: DataFrame) -> DataFrame:
 
 def r_conf(d: DataFrame, conference: str) -> DataFrame:
     """One conference's table: 1-based position and percent text."""
-    df = positions(d.where(F.col("conference") == F.lit(conference)), "win_pct",
-                   tiebreak=["team"], name="position")
+    # one row a team: a conference's table is numbered as it is, without ranges
+    df = seed_within(d.where(F.col("conference") == F.lit(conference)), "conference", "win_pct",
+                     tiebreak=["team"], name="position")
     return df.select(
         "position", "team", "wins", "losses",
         percent_text("win_pct").alias("win_pct_text"),

@@ -25,9 +25,10 @@ from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
 from courtside.session import scratch_path
 from courtside.sinks.files import Entities, land_all, land_snapshot, save_result, write_processed
 from courtside.sources import standins
+from courtside.sources.headers import column_history
 from courtside.sources.landing import read_landing, tracked_players
 from courtside.sources.processed import read_processed, register_table
-from courtside.streaming import read_deliveries, read_streamed, stream_landing
+from courtside.streaming import compact, drop_loads, read_deliveries, read_streamed, stream_landing
 
 OLD_DATE, NEW_DATE = "2025-01-01", "2025-01-02"
 
@@ -222,6 +223,26 @@ def st_manifest(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("deliveries"), F.sum("rows").alias("rows")))
 
 
+def w_compact(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
+    """The corrected stream's rows after its loads were joined to files of a target size and dropped."""
+    out, _ = _corrected(spark, sf_dir, season)
+    compact(spark, out, "shot_charts")
+    drop_loads(spark, out)
+    return (read_streamed(spark, out, "shot_charts").groupBy("date", "load", "made_label")
+            .agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_distance").alias("feet"), F.sum("loc_x").alias("x")))
+
+
+def h_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each spelling of a shot column was used: every game day lands by itself, the second third of
+    a month with lower-case names in reverse order."""
+    shots = standins.shot_charts(spark, sf_dir).withColumn("date", F.col("game_id"))
+    root = scratch_path(spark, "landed")
+    second = F.dayofmonth(F.col("date").cast("date")).between(11, 20)
+    land_snapshot(_upstream_shots(shots.where(~second)), root, "shot_charts", None, None)
+    land_snapshot(shots.where(second).select(*SHOT_COLUMNS[::-1], "season", "date"), root, "shot_charts", None, None)
+    return column_history(spark, root, "shot_charts")
+
+
 def x_tracked(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
     """Shots of the tracked players, counted; the list is a table: the customers of six nations."""
     shots = standins.shot_charts(spark, sf_dir).where(F.col("season") == season)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from courtside.plans.registry import (
     CONFERENCE, HOT_MIN_ATTEMPTS, PLAYER_SEASON, SHOT_PLAYER, SHOT_SEASON, TEAM_SEASON, TRIPLE,
 )
+from courtside.schemas import SHOT_COLUMNS
 
 PLAYER_STATS_CTE = """
 player_stats AS (
@@ -425,6 +426,9 @@ SELECT player_id, 'Al "Ace", ' || player_name AS player_name, team_abbreviation,
        {ts} AS true_shooting_pct, season
 FROM player_stats WHERE season = '{season}'"""
 
+_SPELLINGS = ", ".join([f"(FALSE, '{c}', '{c if c == 'player_id' else c.upper()}', {i + 1})" for i, c in enumerate(SHOT_COLUMNS)]
+                       + [f"(TRUE, '{c}', '{c}', {len(SHOT_COLUMNS) - i})" for i, c in enumerate(SHOT_COLUMNS)])
+
 ORACLE_SQL |= {
     "l_players": _with(_P) + _PLAYERS_BACK.format(
         ts="points_per_game / NULLIF(2 * (points_per_game + 0.44E0 * 0.0E0), 0)", season=PLAYER_SEASON),
@@ -468,6 +472,20 @@ SELECT load, date, COUNT(DISTINCT player_id) AS deliveries, COUNT(*) AS rows FRO
   UNION ALL SELECT 1, DATE '2025-01-02', player_id FROM s WHERE player_id % 2 = 0
   UNION ALL SELECT 2, DATE '2025-01-01', player_id FROM s WHERE player_id % 3 = 0)
 GROUP BY ALL""",
+    "w_compact": _with(_S) + f"""
+, s AS (SELECT * FROM shot_charts WHERE season = '{SHOT_SEASON}')
+SELECT date, load, made_label, COUNT(*) AS shots, CAST(SUM(feet) AS BIGINT) AS feet, CAST(SUM(loc_x) AS BIGINT) AS x FROM (
+  SELECT DATE '2025-01-01' AS date, CASE WHEN player_id % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS load, made_label, loc_x,
+         shot_distance + CASE WHEN player_id % 3 = 0 THEN 1 ELSE 0 END AS feet FROM s
+  UNION ALL SELECT DATE '2025-01-02', 1::BIGINT, made_label, loc_x, shot_distance FROM s WHERE player_id % 2 = 0)
+GROUP BY ALL""",
+    "h_columns": _with(_S) + f"""
+, days AS (SELECT d, day(d) BETWEEN 11 AND 20 AS second, ROW_NUMBER() OVER (ORDER BY d) AS n
+         FROM (SELECT DISTINCT CAST(game_id AS DATE) AS d FROM shot_charts)),
+runs AS (SELECT d, second, n - ROW_NUMBER() OVER (PARTITION BY second ORDER BY d) AS run FROM days),
+names(second, "column", spelling, position) AS (VALUES {_SPELLINGS})
+SELECT 'shot_charts' AS dataset, "column", spelling, position, MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days
+FROM runs JOIN names USING (second) GROUP BY "column", spelling, position, run""",
     "w_daily": _with(_S, _T.strip()) + f"""
 SELECT 'player' AS kind, player_id AS id, COUNT(*) AS rows, CAST(SUM(loc_x + CASE WHEN player_id % 5 = 0 THEN 1000 ELSE 0 END) AS BIGINT) AS total
 FROM shot_charts WHERE season = '{SHOT_SEASON}' GROUP BY player_id

@@ -130,6 +130,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "st_land": lambda s, sf: L.st_land(s, sf, SHOT_SEASON),
     "st_corrected": lambda s, sf: L.st_corrected(s, sf, SHOT_SEASON),
     "st_manifest": lambda s, sf: L.st_manifest(s, sf, SHOT_SEASON),
+    "w_compact": lambda s, sf: L.w_compact(s, sf, SHOT_SEASON),
+    "h_columns": L.h_columns,
     "w_daily": lambda s, sf: L.w_daily(s, sf, SHOT_SEASON),
     # one player's shots from a table clustered by player
     "c_d_shots": lambda s, sf: D.d_shots(L.clustered_shots(s, sf), SHOT_SEASON, SHOT_PLAYER),

@@ -162,7 +162,8 @@ def land_all(spark: SparkSession, frames: Mapping[str, DataFrame | Mapping[int,
 
 
 def write_processed(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",),
-                    max_records_per_file: int = 5_000_000, cluster_by: Sequence[str] = ()) -> None:
+                    max_records_per_file: int = 5_000_000, cluster_by: Sequence[str] = (),
+                    ranges: int | None = None) -> None:
     """Write a processed table as Parquet partitioned by season.
 
     Rows are rebalanced by season: AQE cuts a large season into tasks of
@@ -173,13 +174,14 @@ def write_processed(df: DataFrame, path: str, partition_by: Sequence[str] = ("se
     With ``cluster_by`` (a player's name, say) rows are dealt by ranges of season and those columns
     instead and sorted within a file, so each file and row group holds a narrow range of them and a filter
     on one value skips the others by their statistics. A value with more rows than a range
-    takes spills into the next: the ranges are drawn over the columns and a row number.
+    takes spills into the next: the ranges are drawn over the columns and a row number. Their number follows the
+    input's size unless ``ranges`` gives it.
     """
     parts = list(partition_by)
     if cluster_by:
         keys = [*parts, *cluster_by]
         spread = df.withColumn("_spread", F.monotonically_increasing_id())
-        out = spread.repartitionByRange(_write_tasks(df), *keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
+        out = spread.repartitionByRange(ranges or _write_tasks(df), *keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
     else:
         out = df.hint("rebalance", *[F.col(c) for c in parts])
     (_dynamic(out).option("maxRecordsPerFile", max_records_per_file)

@@ -35,6 +35,7 @@ from courtside.plans.normalize import _STEPS
 from courtside.session import checkpoint_root
 from courtside.sources.landing import bind_by_header, landing_targets
 from courtside.sources.records import file_lines, part_facts
+from courtside.streaming.compaction import _listing, compactions
 
 #: What one delivery covers.
 DELIVERY_KEYS = {"player_stats": ["season", "date"], "team_standings": ["season", "date"], "shot_charts": ["season", "date", "player_id"]}
@@ -99,13 +100,19 @@ def read_deliveries(spark: SparkSession, out: str, dataset: str) -> DataFrame:
 
 
 def read_streamed(spark: SparkSession, out: str, dataset: str) -> DataFrame:
-    """The streamed table's rows of each key's newest delivery, with their ``load``. The delivery
-    table has a row a key and load; the planner broadcasts it where it is small."""
+    """The streamed table's rows of each key's newest delivery, with their ``load``, compacted
+    or not. The delivery table has a row a key and load; the planner broadcasts it where it is small."""
     keys = DELIVERY_KEYS[dataset]
     _, _, schema = _STEPS[dataset]
     newest = read_deliveries(spark, out, dataset).groupBy(*keys).agg(F.max("load").alias("_load")).select(*[F.col(k).alias(f"_{k}") for k in keys], "_load")
     on = F.col("load") == F.col("_load")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    return spark.read.schema(f"{columns}, date date, load bigint").parquet(out).join(newest, on, "left_semi")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields) + ", date date, load bigint"
+    known = compactions(spark, out)
+    loads = _listing(spark, f"{out}/season=*/load=*")
+    rows = spark.read.schema(columns).parquet(out) if loads else spark.createDataFrame([], columns)
+    if known:
+        upto, folder = known[-1]
+        rows = rows.where(F.col("load") > upto).unionByName(spark.read.schema(columns).parquet(folder))
+    return rows.join(newest, on, "left_semi")

@@ -625,3 +625,63 @@ def test_one_players_shots_skip_most_of_a_season(spark, workdir):
     assert got == rows.where("player_name = 'Player 500'").count() > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(player_name,Player 500)" in plan and holding < 30_000
+
+
+def test_compaction_joins_small_files_and_keeps_corrections(spark, workdir, monkeypatch):
+    import glob
+
+    from courtside.streaming import compact, compaction, drop_loads, read_streamed
+    root, out, ck = f"{workdir}/landing", f"{workdir}/streamed", f"{workdir}/ck"
+    base = f"{root}/shot_charts/season=2024-25"
+    read = lambda: sorted((str(r.date), r.player_id, r.game_id, r["load"]) for r in read_streamed(spark, out, "shot_charts").collect())
+    rows_files = lambda: len(glob.glob(f"{out}/**/season=*/**/*.parquet", recursive=True))
+    for day in range(1, 7):
+        for player in range(4):
+            write_text(f"{base}/date=2025-01-{day:02d}/player_{player}.csv", SHOT_HEADER + "\n" + _shot(f"g{day}-{player}", player, "A", 4, 5, 3, 1) + "\n")
+        if day == 4:
+            write_text(f"{base}/date=2025-01-01/player_id=1/p.csv", SHOT_HEADER + "\n" + _shot("again", 1, "A", 4, 5, 3, 1) + "\n")
+        stream_landing(spark, root, "shot_charts", out, checkpoint=ck)
+    before = read()
+    assert len(before) == 24 and ("2025-01-01", 1, "again", 3) in before
+
+    def fails(*args, **named):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(compaction, "write_processed", fails)
+        with pytest.raises(RuntimeError):
+            compact(spark, out, "shot_charts")
+    assert read() == before and drop_loads(spark, out) == 0
+    folder = compact(spark, out, "shot_charts")
+    assert read() == before and len(glob.glob(f"{folder}/season=*/*.parquet")) == 1
+    assert compact(spark, out, "shot_charts") is not None  # run again before the loads are dropped: the same rows
+    assert read() == before
+    assert drop_loads(spark, out) == 7 and read() == before and rows_files() == 1
+    assert compact(spark, out, "shot_charts") is None
+    # later days and corrections of compacted ones
+    write_text(f"{base}/date=2025-01-07/player_1.csv", SHOT_HEADER + "\n" + _shot("g7-1", 1, "A", 4, 5, 3, 1) + "\n")
+    write_text(f"{base}/date=2025-01-02/player_id=2/p.csv", SHOT_HEADER + "\n" + _shot("late", 2, "A", 4, 5, 3, 1) + "\n")
+    stream_landing(spark, root, "shot_charts", out, checkpoint=ck)
+    after = read()
+    assert len(after) == 25 and ("2025-01-02", 2, "late", 6) in after and ("2025-01-02", 2, "g2-2", 1) not in after
+    compact(spark, out, "shot_charts", least_files=1)
+    drop_loads(spark, out)
+    assert read() == after
+
+
+def test_header_history_reads_first_lines_only(spark, workdir):
+    from courtside.sources.headers import column_history, file_headers
+    base = f"{workdir}/team_standings/season=2024-25"
+    rest = "\n1,Atlanta,Hawks,ATL,East,SE,10,5,0.667,6-2,4-3,7-3,110.5,105.2,5.3\n"
+    for day, variant in ((1, VARIANT_A), (2, VARIANT_A), (4, VARIANT_B), (5, VARIANT_A), (9, "﻿" + VARIANT_A + "\r")):
+        write_text(f"{base}/date=2025-01-{day:02d}/standings.csv", variant + rest)
+    write_text(f"{base}/date=2025-01-10/standings.csv", "")
+    # a data line that isn't text: whoever reads it fails
+    with open(f"{base}/date=2025-01-09/standings.csv", "ab") as f:
+        f.write(b"\xff" * 100_000)
+    got = {(r.column, r.spelling, r.position, str(r.first_day), str(r.last_day), r.days) for r in column_history(spark, workdir, "team_standings").collect()}
+    assert ("wins", "WINS", 7, "2025-01-01", "2025-01-02", 2) in got and ("wins", "WINS", 7, "2025-01-05", "2025-01-09", 2) in got
+    assert ("wins", "W", 8, "2025-01-04", "2025-01-04", 1) in got and ("losses", "L", 7, "2025-01-04", "2025-01-04", 1) in got
+    assert ("team_id", "TeamID", 1, "2025-01-01", "2025-01-09", 5) in got
+    lengths = [len(r.header) for r in file_headers(spark, workdir, "team_standings").where("header IS NOT NULL").collect()]
+    assert len(lengths) == 5 and max(lengths) < 200
