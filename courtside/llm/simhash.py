@@ -247,7 +247,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     codes = cut(marked.groupBy("fp").agg(F.min("id").alias("low")))
     reach = connected(links(codes.select("fp"), max_bits))
     roots = codes.join(reach.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "low", F.coalesce("b", "fp").alias("root"))
-    lowest = roots.groupBy("root").agg(F.min("low").alias("component"))
+    # written first: an aggregate right under the join would keep AQE from splitting a large component's rows
+    lowest = cut(roots.groupBy("root").agg(F.min("low").alias("component")))
     named = roots.join(lowest, "root").select("fp", "component")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
 
