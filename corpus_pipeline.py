@@ -7,7 +7,10 @@ reads it again, so a stage is computed once and survives lost executors.
 
 Rejected: texts without a known language; texts that fail the base rules or their script's
 fertility bands; all but the smallest id of each near-duplicate group; texts with a benchmark item.
-An empty table gives an empty result.
+An empty table gives an empty result. Null and empty texts go with the first stage; null ids, languages and
+sources stay as they are. Repeated rows and exact copies are one group to near-dedup: the row with the
+smallest id stays, and of equal ids one. Texts are used whole, however long. Other columns pass through the
+first four stages whatever their names; the mix's own columns take the place of equal-named ones.
 """
 
 from __future__ import annotations

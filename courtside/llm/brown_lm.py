@@ -15,6 +15,7 @@ memory doesn't grow with the vocabulary and a frequent word is never a join key.
 Defined cases: a null or empty text is the end mark alone. Without training rows, words are unknown and
 all classes alike. Count ties at the head's edge stay out of the head (the join serves them); ties of
 classes go to the first. Repeated rows are scored each; a null id counts as bucket 0.
+Texts are scored whole, however long; result columns take the place of equal-named ones.
 """
 
 from __future__ import annotations
@@ -212,10 +213,14 @@ def train(docs: DataFrame, text_col: str = "text") -> tuple[dict, DataFrame]:
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, plus n_tokens, n_known, train_tokens, base_score and score."""
+    """All columns of ``docs`` but the text, plus n_tokens, n_known, train_tokens, base_score and score, which take
+    the place of columns of these names (in any case)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c != text_col]
-    rows = docs.select(*keep, text_col)
+    results = {"n_tokens", "n_known", "train_tokens", "base_score", "score"}
+    plain = [c for c in docs.columns if c != text_col and c.lower() not in results]
+    # columns are numbered while this goes on, so that no name of theirs meets one of its own
+    keep = [f"own_{i}" for i in range(len(plain))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(plain, keep)], F.col(f"`{text_col}`").alias("lm_text"))
     kinds = [("lm_tokens", pa.int64()), ("lm_known", pa.int64()), ("lm_counts", pa.float64()), ("lm_model", pa.float64())]
     pair = pa.struct([("word", pa.binary()), ("times", pa.int64())])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
@@ -260,6 +265,6 @@ def score(docs: DataFrame, model: dict, words: DataFrame, text_col: str = "text"
     size = float(np.log10(model["tokens"] + 0.5 * (model["types"] + 1)))
     more = F.coalesce(F.col("more"), F.lit(0.0))
     return (seen.drop("lm_rest").join(sums, "lm_row", "left")
-            .select(*keep, F.col("lm_tokens").alias("n_tokens"), (F.col("lm_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+            .select(*[F.col(k).alias(c) for k, c in zip(keep, plain)], F.col("lm_tokens").alias("n_tokens"), (F.col("lm_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
                     F.lit(model["tokens"]).cast("long").alias("train_tokens"),
                     (F.col("lm_counts") + more - F.col("lm_tokens") * size).alias("base_score"), (F.col("lm_model") + more).alias("score")))

@@ -97,6 +97,14 @@ def _nested(kind: T.DataType) -> pa.DataType:
     return T_to_arrow(kind)
 
 
+class Numbers(dict):
+    """Numbers keys as they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        n = self[key] = len(self)
+        return n
+
+
 class WordIds:
     """Numbers the distinct words of a batch; ``words`` lists them in that order."""
 

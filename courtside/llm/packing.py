@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import cut
+from courtside.llm.common import Numbers, cut
 
 CAPACITY = 2048
 #: Weights of residual tokens, documents and cost, each as a share of a sequence's capacity.
@@ -61,14 +61,6 @@ def read_vocabulary(path: str | None = None) -> str:
         return f.read()
 
 
-class Numbers(dict):
-    """Numbers words as they are first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 class WordTokens:
     """Ids of texts by way of their distinct words. White space ends tokens in a vocabulary that
     drops it, so a text's ids are its words' ids in a row. Of a vocabulary that lower-cases, words are

@@ -20,14 +20,14 @@ ties go to the word first by code point. Texts are used whole; repeated rows get
 
 from __future__ import annotations
 
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.llm.common import WHITE_RE, WordIds, per_batch, slabs
+from courtside.llm.common import WHITE_RE, Numbers, per_batch, slabs
 
 DECAY, SPAN = 0.7, 6
 #: The kernel is raised to this power (a product of kernels): near matches stand out from chance likeness.
@@ -161,11 +161,11 @@ class Kernel:
 def forms(text: bytes | None) -> list[bytes]:
     """Lower-case words; runs of three or more one-letter words are one word."""
     words = (text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()).split() if text else []
-    single = [len(w) == 1 for w in words]
-    if sum(single) > 2:
+    sizes = list(map(len, words))
+    if sizes.count(1) > 2:
         out: list[bytes] = []
         at = 0
-        for one, run in groupby(single):
+        for one, run in groupby(n == 1 for n in sizes):
             n = sum(1 for _ in run)
             out.extend([b"".join(words[at : at + n])] if one and n > 2 else words[at : at + n])
             at += n
@@ -181,14 +181,15 @@ class Rows:
         self.clear()
 
     def clear(self) -> None:
-        self.seen, self.done = WordIds(), 0
+        self.seen, self.done = Numbers(), 0
         self.found: list[tuple] = []
 
     def of(self, texts: list) -> np.ndarray:
-        if len(self.seen.ids) > FORMS:
+        if len(self.seen) > FORMS:
             self.clear()
-        ids = [np.unique(self.seen.of(forms(t))) for t in texts]
-        new = self.seen.words[self.done :]
+        number = self.seen.__getitem__
+        ids = [np.unique(np.fromiter(map(number, x), np.int64, len(x))) for x in map(forms, texts)]
+        new = list(islice(self.seen, self.done, None))
         size = np.cumsum([len(w) + 2 for w in new]) if new else np.zeros(0)
         at = 0
         while at < len(new):

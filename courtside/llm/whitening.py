@@ -18,8 +18,8 @@ Counts and sums are whole numbers and exact; rows are centred before they are mu
 a task holds, and what goes to the driver, is a matrix of dimensions x dimensions.
 
 Defined cases: rows whose vector is null, empty, or holds null or non-finite entries are dropped,
-and so are rows whose vector hasn't the length most rows have (the longer one on ties). Entries whose
-x has no place in 64 bits saturate. Components with an eigenvalue of zero to working precision
+and so are rows whose vector hasn't the length most rows have (the longer one on ties). Entries
+saturate at 10^18 in size, so that differences fit 64 bits. Components with an eigenvalue of zero to working precision
 can't be whitened and are left out, so fewer than ``most`` may come; if all vectors are equal,
 or no row remains, the result is empty. Repeated rows get equal results, null ids stay. A deviation
 over 64 bits is null. Only the id and the vector column are read, whatever other columns are called.
@@ -184,7 +184,7 @@ def whole_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col)
     clean = rows.select(F.col(id_col).alias("vec_id"), v.cast("array<double>").alias("v")).where(
         v.isNotNull() & (F.size(v) > 0) & F.forall("v", lambda c: c.isNotNull() & (F.abs(c) < float("inf"))))
-    x = F.transform("v", lambda c: (F.floor(F.least(F.greatest(c * SCALE, F.lit(-9.2e18)), F.lit(9.2e18))) + SHIFT).cast("long"))
+    x = F.transform("v", lambda c: (F.floor(F.least(F.greatest(c * SCALE, F.lit(-1e18)), F.lit(1e18))) + SHIFT).cast("long"))
     return clean.select("vec_id", x.alias("x"))
 
 

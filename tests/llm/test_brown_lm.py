@@ -78,3 +78,46 @@ def test_held_out(spark):
     held = [r for r in got if r["held_out"]]
     n = sum(r["n_tokens"] for r in held)
     assert (sum(r["score"] for r in held) - sum(r["base_score"] for r in held)) / n > 0.2  # under two thirds of the perplexity
+
+
+@pytest.mark.parametrize("head", [5, 100_000])
+def test_model_score_is_by_definition(spark, head, monkeypatch):
+    """Class transitions and word emissions counted again from the texts, given the classes alone."""
+    monkeypatch.setattr(B.head_words, "__defaults__", (head,))
+    train = [prose(40 + i, i) for i in range(25)] + [None, ""]
+    tests = [prose(30, 90), "unseen wörds ΑΒΓ", "", None, prose(60, 3)]
+    docs = spark.createDataFrame([doc(i, t) for i, t in enumerate(train)], DOC_SCHEMA)
+    model, counts = B.train(docs)
+    c = collections.Counter(w for t in train for w in words(t))
+    ranked = sorted(c.items(), key=lambda x: (-x[1], x[0]))
+    bars = sorted(c.values(), reverse=True)
+    ranked = [x for x in ranked if sum(n >= x[1] for n in bars) <= head]  # ties at the edge stay out
+    symbols = {w: i for i, (w, _) in enumerate(ranked[: B.SYMBOLS])}
+    kind = lambda w: int(model["classes"][symbols.get(w, B.ending(w))])
+    k, mark = B.CLASSES, B.CLASSES - 1
+    table = np.zeros((k, k))
+    for t in train:
+        path = [mark, *map(kind, words(t)), mark]
+        for a, b in zip(path, path[1:]):
+            table[a, b] += 1
+    share = (table.sum(axis=0) + 0.5) / (table.sum(axis=0) + 0.5).sum()
+    move = np.log10((table + B.SMOOTH * share) / (table.sum(axis=1, keepdims=True) + B.SMOOTH))
+    mass, types = np.zeros(k), np.zeros(k)
+    for w, n in c.items():
+        mass[kind(w)] += n
+        types[kind(w)] += 1
+    rows = spark.createDataFrame([doc(i, t) for i, t in enumerate(tests)], DOC_SCHEMA)
+    got = {r["doc_id"]: r["score"] for r in B.score(rows.select("doc_id", "text"), model, counts).collect()}
+    for i, t in enumerate(tests):
+        path = [mark, *map(kind, words(t)), mark]
+        want = sum(move[a, b] for a, b in zip(path, path[1:]))
+        want += sum(math.log10((c[w] + 0.5) / (mass[kind(w)] + 0.5 * (types[kind(w)] + 1))) for w in words(t))
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want))
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([doc(i, prose(20, i)) for i in range(6)], DOC_SCHEMA)
+    odd = docs.selectExpr("doc_id", "text", "1 AS Score", "2 AS n_tokens", "3 AS lm_tokens", "4 AS own_0", "5 AS lm_row", "6 AS more", "7 AS lm_text")
+    got = B.score(odd, *B.train(docs))
+    assert got.columns == ["doc_id", "lm_tokens", "own_0", "lm_row", "more", "lm_text", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    assert [r["n_tokens"] for r in got.collect()] == [21] * 6 and got.select("lm_row").distinct().collect()[0][0] == 5
