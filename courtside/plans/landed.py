@@ -102,7 +102,7 @@ def l_lossless(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
     land_snapshot(upstream, root, "shot_charts", None, NEW_DATE)
     again = odd.where("player_id <> 'n/a'").select(*SHOT_COLUMNS, "season")
     land_snapshot(again, root, "shot_charts", None, NEW_DATE, by_player=True)
-    out = process(read_landing(spark, root, "shot_charts", season=season), "shot_charts")
+    out = build_processed(spark, root, "shot_charts", season=season)
     return (out.groupBy("player_id", "player_name", "made_label").agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_distance").alias("feet")))
 
 
@@ -145,7 +145,7 @@ def l_multiline(spark: SparkSession, sf_dir: str, season: str) -> DataFrame:
         "action_type": F.concat(F.col("action_type"), F.when(F.col("loc_y") % 2 == 0, F.lit('\n, "x"\n')).otherwise(F.lit(", y")))})
     root = scratch_path(spark, "landed")
     land_snapshot(_upstream_shots(odd), root, "shot_charts", None, NEW_DATE)
-    out = process(read_landing(spark, root, "shot_charts", season=season), "shot_charts")
+    out = build_processed(spark, root, "shot_charts", season=season)
     return (out.groupBy("player_name", "action_type", "made_label")
             .agg(F.count(F.lit(1)).alias("shots"), F.sum("shot_distance").alias("feet"), F.min("game_id").alias("first_game")))
 

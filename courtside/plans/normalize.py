@@ -17,7 +17,7 @@ from courtside.operators.snapshot import latest_snapshot
 from courtside.schemas import (
     DEFAULT_TIERS, DEFAULT_ZONE_BOUNDS, PLAYER_STATS, SHOT_CHARTS, TEAM_STANDINGS,
 )
-from courtside.sources.landing import read_landing
+from courtside.sources.landing import landed_dates, read_landing
 
 _PLAYER_DOUBLES = ("minutes_per_game", "points_per_game", "assists_per_game",
                    "rebounds_per_game", "steals_per_game", "blocks_per_game",
@@ -132,7 +132,9 @@ def process(df: DataFrame, dataset: str, season: str | None = None,
 def build_processed(spark: SparkSession, root: str, dataset: str,
                     season: str | None = None) -> DataFrame:
     """The processed table of one dataset straight from its landing folder. Where a
-    season's newest snapshot is one date folder, only that folder is read."""
+    season's newest snapshot is one date folder, only that folder is read; where each season has
+    landed on one date, there is nothing to choose and the rows are read once."""
     newest_only = SNAPSHOT_KEYS[dataset] == ["season"]
+    dates = landed_dates(spark, f"{root.rstrip('/')}/{dataset}", season)
     raw = read_landing(spark, root, dataset, season=season, newest_only=newest_only)
-    return process(raw, dataset, newest_only=not newest_only)
+    return process(raw, dataset, newest_only=not newest_only and any(len(d) > 1 for d in dates.values()))

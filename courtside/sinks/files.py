@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.session import scratch_path
-from courtside.sources.records import file_lines, part_facts, records
+from courtside.sources.records import counts, file_lines, part_facts
 
 MANIFEST_SCHEMA = ("dataset string, entity_id bigint, status string, rows bigint, "
                    "path string, message string")
@@ -80,7 +80,7 @@ def landed_counts(spark: SparkSession, folder: str) -> DataFrame:
     lines = file_lines(spark.read.option("lineSep", "\n").text(f"{folder}/player_id=*/*.csv"))
     facts = part_facts(lines)
     # counted by part first, so the entity's name is looked up once a part
-    parts = records(lines, facts).groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("n"))
+    parts = counts(lines, facts)
     names = facts.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), F.col("_player_id").try_cast("bigint").alias("entity_id"))
     return (parts.join(names, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
             .groupBy("entity_id").agg(F.sum("n").alias("rows")))

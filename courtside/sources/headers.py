@@ -1,7 +1,7 @@
 """History of the landed files' headers: when each spelling of a column came, where it stood, when it went.
 
 Only first lines are read: the file list comes from file names and sizes, dealt over tasks, and each task opens
-its files in their store and stops at the first line end. Then gaps and islands over the days on which
+its files in their store (any that pyarrow opens: local, HDFS, S3, GCS) and stops at the first line end. Then gaps and islands over the days on which
 a dataset landed give a row per dataset, column, spelling, position and unbroken run of such days.
 """
 

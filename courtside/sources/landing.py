@@ -122,15 +122,20 @@ def landing_targets(dataset: str) -> tuple[dict, set]:
     raise KeyError(f"unknown dataset {dataset!r}")
 
 
-def newest_dates(spark: SparkSession, base: str, season: str | None) -> list[str]:
-    """Folder patterns of each season's newest date, from folder names alone."""
+def landed_dates(spark: SparkSession, base: str, season: str | None) -> dict[str, list[str]]:
+    """Date folders of each season folder, rising, from folder names alone."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/season={season or '*'}/date=*")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    newest: dict[str, str] = {}
+    dates: dict[str, list[str]] = {}
     for status in found or []:
         date = status.getPath()
-        newest[date.getParent().getName()] = max(newest.get(date.getParent().getName(), ""), date.getName())
-    return [f"{base}/{s}/{d}" for s, d in sorted(newest.items())]
+        dates.setdefault(date.getParent().getName(), []).append(date.getName())
+    return {s: sorted(d) for s, d in sorted(dates.items())}
+
+
+def newest_dates(spark: SparkSession, base: str, season: str | None) -> list[str]:
+    """Folder patterns of each season's newest date."""
+    return [f"{base}/{s}/{d[-1]}" for s, d in landed_dates(spark, base, season).items()]
 
 
 def read_landing(spark: SparkSession, root: str, dataset: str, season: str | None = None,

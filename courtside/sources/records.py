@@ -45,12 +45,16 @@ def _folder(name: str) -> Column:
     return F.try_url_decode(F.nullif(F.regexp_extract("_path", f"/{name}=([^/]+)/", 1), F.lit("")))
 
 
+def _without_cr(text: str) -> Column:
+    return F.when(F.endswith(F.col(text), F.lit("\r")), F.expr(f"left({text}, length({text}) - 1)")).otherwise(F.col(text))
+
+
 def part_facts(lines: DataFrame) -> DataFrame:
     """A row per file part: ``_path, _start, _odd`` (lines with an odd number of quotes), ``_before`` (such
-    lines in earlier parts of the file), ``_lines``, ``_head`` and ``_head_row`` (the file's first line, on
+    lines in earlier parts of the file), ``_lines`` (that aren't blank), ``_head`` and ``_head_row`` (the file's first line, on
     every part) and the values of the folder names. Written to the session's scratch folder."""
     own = lines.groupBy("_path", "_start").agg(
-        F.sum(_odd()).alias("_odd"), F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first_row"),
+        F.sum(_odd()).alias("_odd"), F.count_if(F.trim(_without_cr("_line")) != "").alias("_lines"), F.min("_row").alias("_first_row"),
         F.min_by(F.when(F.col("_start") == 0, F.col("_line")), F.col("_row")).alias("_first"))
     parts = Window.partitionBy("_path").orderBy("_start")
     from_start = parts.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -88,9 +92,15 @@ def records(lines: DataFrame, facts: DataFrame) -> DataFrame:
                   .agg(F.min("_start").alias("_start"), F.sort_array(F.collect_list(F.struct("_start", "_row", "_line"))).alias("_all"))
                   .select("_path", "_start", F.array_join(F.transform("_all", lambda x: x["_line"]), "\n").alias("_record")))
         whole = whole.unionByName(numbered.where(alone).select("_path", "_start", F.col("_line").alias("_record"))).unionByName(joined)
-    text = F.col("_record")
-    text = F.when(F.endswith(text, F.lit("\r")), F.expr("left(_record, length(_record) - 1)")).otherwise(text)
-    return whole.withColumn("_record", text).where(F.trim("_record") != "")
+    return whole.withColumn("_record", _without_cr("_record")).where(F.trim("_record") != "")
+
+
+def counts(lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """``_path, _start, n``: records that begin in each file part. Where every line is a record, the
+    facts say so and the lines aren't read again."""
+    if facts.where(_is_broken()).isEmpty():
+        return facts.select("_path", "_start", (F.col("_lines") - F.when(F.col("_start") == 0, 1).otherwise(0)).alias("n")).where("n > 0")
+    return records(lines, facts).groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fields(record: Column, width: int) -> Column:

@@ -351,6 +351,11 @@ def test_line_breaks_in_quotes_over_file_parts(spark, workdir, part, line_end):
             assert len(crooked) >= 3 and len(crooked) >= size // 8200
             assert any(f["_before"] % 2 for f in crooked) or part == "4k"
             assert all(f["_odd"] == 0 and f["_before"] == 0 for f in facts if f["_path"].endswith("plain.csv"))
+        from courtside.sources.landing import _lines
+        from courtside.sources.records import counts, part_facts
+        for name, n in (("crooked", 600), ("plain", 500)):
+            lines = _lines(spark, [f"{base}/{name}.csv"])
+            assert counts(lines, part_facts(lines)).agg(F.sum("n")).first()[0] == n
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == sorted(rows + plain)
