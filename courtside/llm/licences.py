@@ -10,7 +10,7 @@ text are parts. A template is found where the distinct bigrams of a part reach a
 The bound: with sizes a and b the coefficient is at most 2 min(a, b) / (a + b), so a part must have a
 number of distinct bigrams between ``size_bounds``, and share at least the lower one with the template. That
 prunes templates for a whole text first (its distinct bigrams must share that many, too), then parts.
-Texts without any of the words that a match can't lack (``key_words``) are left out before they are
+Texts without any set of words that a match can't lack (``key_words``) are left out before they are
 normalised. Runs are tried only between atoms that hold a word of a shared bigram: other
 atoms at a run's ends add to its size and share nothing. All of it is DataFrame functions beside the scan:
 no join, no Python, and only matches are shuffled.
@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Letters from which a word is taken to be rare enough to be looked for by itself.
+LONG_WORD = 6
 
 # Short notices, opening statements and whole texts of public licences.
 TEMPLATES = [
@@ -98,22 +100,28 @@ def size_bounds(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return int(-(-(low - 1e-9) // 1)), int((high + 1e-9) // 1)  # a bound that is whole counts
 
 
-def key_words(templates: list[list[str]], threshold: float = THRESHOLD) -> list[str]:
-    """Words of which every text with a match has one.
+def key_words(templates: list[list[str]], threshold: float = THRESHOLD) -> list[tuple[str, ...]]:
+    """Sets of words of which every text with a match holds all of one set.
 
-    A part at the threshold shares at least ``size_bounds(n)[0]`` of a
-    template's n bigrams. So if more than the rest of its bigrams hold one of some
-    words, the part has one of them; long words are taken first.
+    A part at the threshold shares at least ``size_bounds(n)[0]`` of a template's n bigrams, so it has one of any
+    larger choice than the rest. A long template's choice are the bigrams with one of a few long words, and that
+    word is the set; where the words for this are short and so frequent, as in short templates, the
+    choice are its longest bigrams (of the same length, those with fewer vowels, which other words hold
+    less often), and both words of one are a set.
     """
-    out: set[str] = set()
+    out: set[tuple[str, ...]] = set()
     for grams in templates:
-        n = len(grams)
+        spare = len(grams) - size_bounds(len(grams), threshold)[0]
         mine: set[str] = set()
         for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
-            if sum(bool(mine.intersection(g.split())) for g in grams) > n - size_bounds(n, threshold)[0]:
+            if sum(bool(mine.intersection(g.split())) for g in grams) > spare:
                 break
             mine.add(w)
-        out |= mine
+        if min(map(len, mine), default=0) >= LONG_WORD:
+            out |= {(w,) for w in mine}
+        else:
+            longest = sorted(grams, key=lambda g: (-len(g), sum(g.count(v) for v in "aeiou"), g))[: spare + 1]
+            out |= {tuple(sorted(g.split(), key=lambda w: (-len(w), w))) for g in longest}
     return sorted(out)
 
 
@@ -139,7 +147,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """(id, licence, dice, first_word, words): the licences found in each document, with the part that is closest."""
     known = [(name, template_bigrams(t)) for name, t in (templates or TEMPLATES)]
     keys = key_words([b for _, b in known], threshold)
-    holds = F.exists(F.array(F.lower(F.col(text_col))), lambda low: reduce(Column.__or__, [F.contains(low, F.lit(k)) for k in keys]))
+    def one_of(low: Column) -> Column:
+        return reduce(Column.__or__, [reduce(Column.__and__, [F.contains(low, F.lit(w)) for w in k]) for k in keys])
+    holds = F.exists(F.array(F.lower(F.col(text_col))), one_of)
     cut = atoms(docs.select(id_col, text_col).filter(holds), id_col, text_col)  # no other text can match
     zero = F.array(F.lit(0))
     placed = cut.select("id", F.flatten("atoms").alias("w"), F.flatten(F.transform("atoms", lambda a, k: F.array_repeat(k, F.size(a)))).alias("of"),

@@ -68,12 +68,13 @@ def test_scan(spark):
 
 def test_every_match_has_a_key_word():
     grams = {t: X.template_bigrams(t) for _, t in X.TEMPLATES}
-    keys = set(X.key_words(list(grams.values())))
+    keys = X.key_words(list(grams.values()))
     r = random.Random(5)
     for text, b in grams.items():
         for _ in range(50):  # the fewest bigrams that can still reach the threshold
             kept = r.sample(b, -(-2 * len(b) // 3))
-            assert keys & {w for g in kept for w in g.split()}
+            there = {w for g in kept for w in g.split()}
+            assert any(there.issuperset(k) for k in keys)
 
 
 def test_size_bounds_lose_nothing():
