@@ -22,7 +22,9 @@ more, the page is a copy or a near copy of others, not boilerplate, and keeps it
 Identical pages of a host count once (each copy weighs one over their number). All is added up as
 (host, node, item) sums by many tasks; no DOM is gathered with another's. A host's judgement (nodes of
 low importance; words that its pages repeat, with their entropy) meets the host's pages by one
-shuffle in which it comes before them, in ``PARTS`` parts a host, and is held one host at a time.
+shuffle in which it comes before them, in ``PARTS`` parts a host, and is held one host at a time. A
+node's words that could be repeated (on three pages or so) are gathered before those that are stay: a
+vocabulary, not texts.
 
 Defined cases: null and empty pages give an empty text; a null or malformed url is a host of its
 own by its text; unclosed, crossed and cut-off tags are read leniently; pages are read whole.
@@ -167,9 +169,17 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
 _WORD = re.compile(r"\w+")
 
 
-def words_of(text: str) -> list[int]:
-    """Hashes of a block's words (below 2**63)."""
-    return [xxhash.xxh64_intdigest(w) >> 1 for w in _WORD.findall(text.lower())]
+class _Hashes(dict):
+    """Hashes of words (below 2**63), remembered."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word) >> 1
+        return h
+
+
+def words_of(text: str, hashes: _Hashes | None = None) -> list[int]:
+    """Hashes of a block's words."""
+    return list(map((_Hashes() if hashes is None else hashes).__getitem__, _WORD.findall(text.lower())))
 
 
 def block_of(text: str) -> int:
@@ -234,14 +244,22 @@ def host_of(url_col: str):
     return F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]*)", 1))
 
 
+#: Word hashes that a task remembers.
+KEPT_HASHES = 300_000
+
+
 def tree_sums(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, item, n, s`` from (host, html, weight): per node, pages (kind ``page``), pages that have
-    text there (``leaf``), pages by arrangement (``style``) and times of each word and each whole block (``word``, ``block``, with s the sum over
-    pages of times * log(times)); a page counts with its weight."""
+    """``node, kind, item, host, path, n, s`` from (host, html, weight): per node, pages (kind ``page``, which alone names
+    the node's host and path), pages that have text there (``leaf``), pages by arrangement (``style``) and times
+    of each word and each whole block (``word``, ``block``, with s the sum over pages of times * log(times)); a
+    page counts with its weight."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for batch in batches:
             sums: dict[tuple, list[float]] = {}
+            named: dict[int, tuple[str, str]] = {}
+            numbers: dict[tuple[str, str], int] = {}
 
             def add(key: tuple, n: float, s: float = 0.0) -> None:
                 if (x := sums.get(key)) is None:
@@ -250,32 +268,46 @@ def tree_sums(pages: DataFrame) -> DataFrame:
                     x[0] += n
                     x[1] += s
 
+            def node(host: str, path: str) -> int:
+                if (k := numbers.get((host, path))) is None:
+                    k = numbers[host, path] = xxhash.xxh64_intdigest(f"{host}\n{path}") >> 1
+                    named[k] = (host, path)
+                return k
+
             for host, page, weight in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()):
+                if len(hashes) > KEPT_HASHES:
+                    hashes.clear()
                 found = blocks(page.decode("utf-8", "replace")) if page else []
                 children = arrangements(found)
                 texts: dict[str, Counter] = {}
                 wholes: Counter = Counter()
                 for path, text, *_ in found:
-                    texts.setdefault(path, Counter()).update(words_of(text))
+                    texts.setdefault(path, Counter()).update(words_of(text, hashes))
                     wholes[path, block_of(text)] += 1
                 for path in {*children, *texts}:
-                    add((host, path, "page", 0), weight)
+                    add((node(host, path), PAGE, 0), weight)
                 for path, steps in children.items():
-                    add((host, path, "style", xxhash.xxh64_intdigest("/".join(steps)) >> 1), weight)
+                    add((node(host, path), STYLE, xxhash.xxh64_intdigest("/".join(steps)) >> 1), weight)
                 for (path, whole), n in wholes.items():
-                    add((host, path, "block", whole), weight * n, weight * n * log(n))
+                    add((node(host, path), BLOCK, whole), weight * n, weight * n * log(n))
                 for path, counted in texts.items():
-                    add((host, path, "leaf", 0), weight)
+                    k = node(host, path)
+                    add((k, LEAF, 0), weight)
                     for w, n in counted.items():
-                        add((host, path, "word", w), weight * n, weight * n * log(n))
+                        add((k, WORD, w), weight * n, weight * n * log(n) if n > 1 else 0.0)
             if sums:
-                h, p, k, x = zip(*sums)
+                at, kind, item = zip(*sums)
                 n, t = zip(*sums.values())
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(p, pa.string()), pa.array(k, pa.string()), pa.array(x, pa.int64()), pa.array(n), pa.array(t)],
-                                                 names=["host", "path", "kind", "item", "n", "s"])
+                names = [named[k] if c == PAGE else (None, None) for k, c in zip(at, kind)]
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(kind, pa.int32()), pa.array(item, pa.int64()), pa.array([x for x, _ in names], pa.string()),
+                                                  pa.array([x for _, x in names], pa.string()), pa.array(n), pa.array(t)], names=["node", "kind", "item", "host", "path", "n", "s"])
+
+    return (pages.select("host", "html", "weight").mapInArrow(rows, "node long, kind int, item long, host string, path string, n double, s double")
+            .groupBy("node", "kind", "item", "host", "path").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+
 
-    return (pages.select("host", "html", "weight").mapInArrow(rows, "host string, path string, kind string, item long, n double, s double")
-            .groupBy("host", "path", "kind", "item").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+#: Kinds of sums.
+PAGE, LEAF, STYLE, WORD, BLOCK = range(5)
 
 
 def composites(nodes: list[tuple[str, float, float, float, float]]) -> dict[str, float]:
@@ -297,44 +329,48 @@ def composites(nodes: list[tuple[str, float, float, float, float]]) -> dict[str,
     return out
 
 
-def style_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (host, html, weight): the nodes ``host, path, pages, presentation, kinds, content``, and the repeated
-    words and blocks ``host, path, word, entropy`` of nodes that enough pages have."""
-    sums = cut(tree_sums(pages))
-    sized = (sums.where("kind = 'page' or kind = 'style' or kind = 'leaf'").groupBy("host", "path").agg(
-        F.sum(F.when(F.col("kind") == "page", F.col("n"))).alias("pages"),
-        F.sum(F.when(F.col("kind") == "leaf", F.col("n"))).alias("leaves"),
-        F.count(F.when(F.col("kind") == "style", 1)).cast("double").alias("kinds"),
-        F.sum(F.when(F.col("kind") == "style", F.col("n") * F.log("n"))).alias("style"),
-        F.sum(F.when(F.col("kind") == "style", F.col("n"))).alias("styled")))
-    many = F.col("pages") > 1.5
-    nodes = sized.select("host", "path", "pages", "leaves", "kinds", F.when(many, 1 - F.col("style") / (F.col("styled") * F.log("pages"))).otherwise(1.0).alias("presentation"))
-    # entropy of a word over the pages with text at the node: (log n - s / n) / log(pages)
-    words = sums.where("kind = 'word' or kind = 'block'").select("host", "path", "kind", F.col("item").alias("word"), "n", "s")
-    entropy = F.when(F.col("leaves") > 1.5, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.log("n") - F.col("s") / F.col("n")) / F.log("leaves")))).otherwise(0.0)
-    known = words.join(nodes.select("host", "path", "leaves").where("leaves is not null"), ["host", "path"]).select("host", "path", "kind", "word", "leaves", entropy.alias("entropy"))
-    known = cut(known)
-    content = known.where("kind = 'word'").groupBy("host", "path").agg((1 - F.avg("entropy")).alias("content"))
-    tree = nodes.join(content, ["host", "path"], "left").select("host", "path", "pages", F.coalesce("presentation", F.lit(1.0)).alias("presentation"), "kinds", "content")
-    return tree, known.where((F.col("entropy") >= REPEATED) & (F.col("leaves") >= MIN_PAGES - 0.5)).drop("kind", "leaves")
-
-
-def judgements(tree: DataFrame, repeated: DataFrame) -> DataFrame:
+def style_tree(pages: DataFrame) -> DataFrame:
+    """From (host, html, weight): the nodes ``host, path, pages, presentation, kinds, content, repeated``, the last
+    the words and blocks that the pages repeat at the node with their entropies (of nodes that enough pages have)."""
+    n, kind = F.col("n"), F.col("kind")
+    # a word's entropy over the pages with text at the node is spread / log(those pages)
+    spread = F.greatest(F.lit(0.0), F.log("n") - F.col("s") / n)
+    could = REPEATED * log(MIN_PAGES - 0.5)  # less than this is no repeated word at any node that is judged
+    sums = tree_sums(pages).withColumn("spread", F.when(kind.isin(WORD, BLOCK), spread))
+    def total(k: int, x=n):
+        return F.sum(F.when(kind == k, x))
+    nodes = cut(sums.groupBy("node").agg(
+        F.max("host").alias("host"), F.max("path").alias("path"), total(PAGE).alias("pages"), total(LEAF).alias("leaves"),
+        F.count_if(kind == STYLE).cast("double").alias("kinds"), total(STYLE, n * F.log("n")).alias("style"), total(STYLE).alias("styled"),
+        F.count_if(kind == WORD).alias("words"), total(WORD, F.col("spread")).alias("spread"),
+        F.collect_list(F.when(F.col("spread") >= could, F.struct(F.col("item").alias("word"), F.col("spread").alias("spread")))).alias("some")))
+    many, texts = F.col("pages") > 1.5, F.col("leaves") > 1.5
+    presentation = F.when(many & F.col("styled").isNotNull(), 1 - F.col("style") / (F.col("styled") * F.log("pages"))).otherwise(1.0)
+    content = F.when(F.col("words") > 0, F.when(texts, 1 - F.col("spread") / (F.col("words") * F.log("leaves"))).otherwise(1.0))
+    entropies = F.transform("some", lambda x: F.struct(x["word"].alias("word"), F.least(F.lit(1.0), x["spread"] / F.log("leaves")).alias("entropy")))
+    repeated = F.when(F.col("leaves") >= MIN_PAGES - 0.5, F.filter(entropies, lambda x: x["entropy"] >= REPEATED))
+    return nodes.select("host", "path", "pages", presentation.alias("presentation"), "kinds", content.alias("content"), repeated.alias("repeated"))
+
+
+def judgements(tree: DataFrame) -> DataFrame:
     """A row a host: ``host, low, nodes, words, entropies``."""
 
     def of_hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low = []
+            out: list[list] = [[], [], [], []]
             for found in batch.column(1).to_pylist():
                 nodes = [(x["path"], x["pages"], x["presentation"], x["kinds"], float("nan") if x["content"] is None else x["content"]) for x in found]
                 pages = {n[0]: n[1] for n in nodes}
-                low.append([p for p, c in composites(nodes).items() if c < LEAST and pages[p] >= MIN_PAGES - 0.5 and "/" in p])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.list_(pa.string()))], names=["host", "low"])
+                out[0].append([p for p, c in composites(nodes).items() if c < LEAST and pages[p] >= MIN_PAGES - 0.5 and "/" in p])
+                words = [(x["path"], w["word"], w["entropy"]) for x in found for w in x["repeated"] or ()]
+                for k in range(3):
+                    out[k + 1].append([w[k] for w in words])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(k)) for x, k in zip(out, kinds))], names=["host", "low", "nodes", "words", "entropies"])
 
-    gathered = tree.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "presentation", "kinds", "content")).alias("x"))  # the nodes of one site's tree
-    lows = gathered.select("host", "x").mapInArrow(of_hosts, "host string, low array<string>").where("size(low) > 0")
-    words = repeated.groupBy("host").agg(F.collect_list("path").alias("nodes"), F.collect_list("word").alias("words"), F.collect_list("entropy").alias("entropies"))
-    return lows.join(words, "host", "full_outer")
+    gathered = tree.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "presentation", "kinds", "content", "repeated")).alias("x"))  # one site's tree
+    return (gathered.select("host", "x").mapInArrow(of_hosts, "host string, low array<string>, nodes array<string>, words array<bigint>, entropies array<double>")
+            .where("size(low) > 0 or size(words) > 0"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -346,7 +382,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     copies.write.parquet(place)  # its size is known to the planner then
     copies = pages.sparkSession.read.schema(copies.schema).parquet(place)
     weighed = hashed.join(copies, ["host", "h"], "left").select("host", "html", (1.0 / F.coalesce("copies", F.lit(1))).alias("weight"))
-    judged = cut(judgements(*style_tree(weighed)))
+    judged = cut(judgements(style_tree(weighed)))
 
     kinds = dict(rows.dtypes)
     part = F.pmod(F.xxhash64("url", "id"), F.lit(PARTS)).cast("int")
