@@ -6,8 +6,8 @@ classes and ids). The tree holds, per node,
 * the arrangements of its children over the pages (their sequence of elements). Presentation importance is
   the entropy of these arrangements to the base of the number of pages that have the node: 0 where every page
   looks alike, up to 1 where each is another;
-* the words of its own text. A word's entropy over the pages is near 1 if all pages have it alike and 0 if one page
-  does; content importance is 1 less the mean entropy of the node's words;
+* the words of its own text, each once a page. A word's entropy over the pages is 1 if all pages that have text there
+  have it and 0 if one page does; content importance is 1 less the mean entropy of the node's words;
 * the composite importance, passed up from leaves to branches: ``(1 - g**l) * presentation + g**l * (importance of
   what is below)`` with l arrangements, where what is below is the mean over the node's own text and its children,
   weighed by the pages that have them.
@@ -41,6 +41,7 @@ from collections import Counter
 from collections.abc import Iterator
 from math import log
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -249,61 +250,69 @@ KEPT_HASHES = 300_000
 
 
 def tree_sums(pages: DataFrame) -> DataFrame:
-    """``node, kind, item, host, path, n, s`` from (host, html, weight): per node, pages (kind ``page``, which alone names
-    the node's host and path), pages that have text there (``leaf``), pages by arrangement (``style``) and times
-    of each word and each whole block (``word``, ``block``, with s the sum over pages of times * log(times)); a
-    page counts with its weight."""
+    """``node, item, name, n`` from (host, html, weight): how many pages (each with its weight) have an item at a node.
+    ``node`` is eight times the node's number, plus the kind of item: the node itself (``PAGE``, which alone has the
+    node's name, host and path), text there (``LEAF``), an arrangement, a word, a whole block."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for batch in batches:
-            sums: dict[tuple, list[float]] = {}
-            named: dict[int, tuple[str, str]] = {}
-            numbers: dict[tuple[str, str], int] = {}
-
-            def add(key: tuple, n: float, s: float = 0.0) -> None:
-                if (x := sums.get(key)) is None:
-                    sums[key] = [n, s]
-                else:
-                    x[0] += n
-                    x[1] += s
-
-            def node(host: str, path: str) -> int:
-                if (k := numbers.get((host, path))) is None:
-                    k = numbers[host, path] = xxhash.xxh64_intdigest(f"{host}\n{path}") >> 1
-                    named[k] = (host, path)
-                return k
+        numbers: dict[tuple[str, str], int] = {}
+        names: dict[int, str] = {}
+        at: list[int] = []
+        sizes: list[int] = []
+        weights: list[float] = []
+        items: list[int] = []
+
+        def add(node: int, weight: float, some) -> None:
+            at.append(node)
+            sizes.append(len(some))
+            weights.append(weight)
+            items.extend(some)
+
+        def number(host: str, path: str) -> int:
+            if (k := numbers.get((host, path))) is None:
+                k = numbers[host, path] = (xxhash.xxh64_intdigest(f"{host}\n{path}") >> 4) << 3
+                names[k] = f"{host}\n{path}"
+            return k
+
+        def out() -> pa.RecordBatch:
+            node, item, weight = np.repeat(np.array(at, np.int64), sizes), np.array(items, np.int64), np.repeat(np.array(weights), sizes)
+            order = np.lexsort((item, node))
+            node, item = node[order], item[order]
+            first = np.flatnonzero((np.diff(node, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+            n = np.add.reduceat(weight[order], first)
+            name = [names[k] if k & 7 == PAGE else None for k in node[first].tolist()]
+            for x in (at, sizes, weights, items):
+                x.clear()
+            if len(hashes) + len(numbers) > KEPT_HASHES:
+                hashes.clear()
+                numbers.clear()
+                names.clear()
+            return pa.RecordBatch.from_arrays([pa.array(node[first]), pa.array(item[first]), pa.array(name, pa.string()), pa.array(n)], names=["node", "item", "name", "n"])
 
+        for batch in batches:
             for host, page, weight in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2).to_pylist()):
-                if len(hashes) > KEPT_HASHES:
-                    hashes.clear()
                 found = blocks(page.decode("utf-8", "replace")) if page else []
                 children = arrangements(found)
-                texts: dict[str, Counter] = {}
-                wholes: Counter = Counter()
+                texts: dict[str, list[str]] = {}
                 for path, text, *_ in found:
-                    texts.setdefault(path, Counter()).update(words_of(text, hashes))
-                    wholes[path, block_of(text)] += 1
+                    texts.setdefault(path, []).append(text)
                 for path in {*children, *texts}:
-                    add((node(host, path), PAGE, 0), weight)
+                    add(number(host, path) + PAGE, weight, (0,))
                 for path, steps in children.items():
-                    add((node(host, path), STYLE, xxhash.xxh64_intdigest("/".join(steps)) >> 1), weight)
-                for (path, whole), n in wholes.items():
-                    add((node(host, path), BLOCK, whole), weight * n, weight * n * log(n))
-                for path, counted in texts.items():
-                    k = node(host, path)
-                    add((k, LEAF, 0), weight)
-                    for w, n in counted.items():
-                        add((k, WORD, w), weight * n, weight * n * log(n) if n > 1 else 0.0)
-            if sums:
-                at, kind, item = zip(*sums)
-                n, t = zip(*sums.values())
-                names = [named[k] if c == PAGE else (None, None) for k, c in zip(at, kind)]
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(kind, pa.int32()), pa.array(item, pa.int64()), pa.array([x for x, _ in names], pa.string()),
-                                                  pa.array([x for _, x in names], pa.string()), pa.array(n), pa.array(t)], names=["node", "kind", "item", "host", "path", "n", "s"])
-
-    return (pages.select("host", "html", "weight").mapInArrow(rows, "node long, kind int, item long, host string, path string, n double, s double")
-            .groupBy("node", "kind", "item", "host", "path").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+                    add(number(host, path) + STYLE, weight, (xxhash.xxh64_intdigest("/".join(steps)) >> 1,))
+                for path, some in texts.items():
+                    k = number(host, path)
+                    add(k + LEAF, weight, (0,))
+                    add(k + BLOCK, weight, set(map(block_of, some)))
+                    add(k + WORD, weight, set(words_of("\n".join(some), hashes)))
+                if len(items) > 1_000_000:
+                    yield out()
+        if items:
+            yield out()
+
+    return (pages.select("host", "html", "weight").mapInArrow(rows, "node long, item long, name string, n double")
+            .groupBy("node", "item", "name").agg(F.sum("n").alias("n")))
 
 
 #: Kinds of sums.
@@ -332,18 +341,20 @@ def composites(nodes: list[tuple[str, float, float, float, float]]) -> dict[str,
 def style_tree(pages: DataFrame) -> DataFrame:
     """From (host, html, weight): the nodes ``host, path, pages, presentation, kinds, content, repeated``, the last
     the words and blocks that the pages repeat at the node with their entropies (of nodes that enough pages have)."""
-    n, kind = F.col("n"), F.col("kind")
+    n, kind = F.col("n"), F.col("node").bitwiseAND(F.lit(7))
     # a word's entropy over the pages with text at the node is spread / log(those pages)
-    spread = F.greatest(F.lit(0.0), F.log("n") - F.col("s") / n)
     could = REPEATED * log(MIN_PAGES - 0.5)  # less than this is no repeated word at any node that is judged
-    sums = tree_sums(pages).withColumn("spread", F.when(kind.isin(WORD, BLOCK), spread))
+    sums = tree_sums(pages).select(F.shiftright("node", 3).alias("node"), kind.alias("kind"), "item", "name", "n",
+                                   F.when(kind.isin(WORD, BLOCK), F.greatest(F.lit(0.0), F.log("n"))).alias("spread"))
+    kind = F.col("kind")
     def total(k: int, x=n):
         return F.sum(F.when(kind == k, x))
     nodes = cut(sums.groupBy("node").agg(
-        F.max("host").alias("host"), F.max("path").alias("path"), total(PAGE).alias("pages"), total(LEAF).alias("leaves"),
+        F.max("name").alias("name"), total(PAGE).alias("pages"), total(LEAF).alias("leaves"),
         F.count_if(kind == STYLE).cast("double").alias("kinds"), total(STYLE, n * F.log("n")).alias("style"), total(STYLE).alias("styled"),
         F.count_if(kind == WORD).alias("words"), total(WORD, F.col("spread")).alias("spread"),
-        F.collect_list(F.when(F.col("spread") >= could, F.struct(F.col("item").alias("word"), F.col("spread").alias("spread")))).alias("some")))
+        F.collect_list(F.when(F.col("spread") >= could, F.struct(F.col("item").alias("word"), F.col("spread").alias("spread")))).alias("some"))
+        .withColumns({"host": F.substring_index("name", "\n", 1), "path": F.substring_index("name", "\n", -1)}))
     many, texts = F.col("pages") > 1.5, F.col("leaves") > 1.5
     presentation = F.when(many & F.col("styled").isNotNull(), 1 - F.col("style") / (F.col("styled") * F.log("pages"))).otherwise(1.0)
     content = F.when(F.col("words") > 0, F.when(texts, 1 - F.col("spread") / (F.col("words") * F.log("leaves"))).otherwise(1.0))

@@ -61,8 +61,7 @@ def slow_tree(pages):
             have.setdefault(path, set()).add(k)
             leaf.setdefault(path, set()).add(k)
             for x in [*H.words_of(text), H.block_of(text)]:
-                times.setdefault((path, x), {}).setdefault(k, 0)
-                times[path, x][k] += 1
+                times.setdefault((path, x), {})[k] = 1
             whole.add((path, H.block_of(text)))
     def entropy(counts, m):
         total = sum(counts)
