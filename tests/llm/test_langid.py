@@ -70,7 +70,7 @@ def test_pieces_of_words_bound_memory_and_change_nothing():
 
     from courtside.llm import langid as L
     r = random.Random(4)
-    words = list({"".join(r.choice("abcdefghijklmnopqrstuvwxyzäéñ") for _ in range(r.randint(1, 12))).encode() for _ in range(330_000)})[:300_000]
+    words = list({"".join(r.choice("abcdefghijklmnopqrstuvwxyzäéñ") for _ in range(r.randint(1, 12))).encode() for _ in range(420_000)})[:300_000]
     model = {"table": np.random.default_rng(1).random((L.BUCKETS, 4)).astype(np.float32), "allowed": np.ones((len(L._NAMES), 4), bool), "langs": list("abcd")}
     some = words[:20_000]
     whole, n = L._some_scores(some, model)
