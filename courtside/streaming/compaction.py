@@ -2,7 +2,7 @@
 
 The stream leaves a folder a season and batch. ``compact`` rewrites the rows of all complete loads up
 to the newest one into one new folder, dealt by season and clustered, in as many files as their
-bytes ask for; ``load`` becomes a column of the rows, so deliveries and corrections mean what they
+bytes ask for, on disk and in the memory of the task that sorts a file; ``load`` becomes a column of the rows, so deliveries and corrections mean what they
 meant. Rows that a later delivery has replaced are left out. A manifest with the folder and the last load in it is
 written when the rows are complete, and is the switch: ``read_streamed`` takes rows up to that
 load from the folder and later ones from the stream's own. A run that fails before its
@@ -13,13 +13,17 @@ compaction stands for are deleted by ``drop_loads``, later, when no reader still
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.sinks.files import write_processed
 
 TARGET_BYTES = 128 << 20
+#: Bytes of rows, as Spark holds them, that one task sorts. Columns that compress well
+#: would else bring a task ten times the file's bytes and more.
+SORT_BYTES = 256 << 20
 #: What a season's rows are sorted by within the compacted files.
 CLUSTERS = {"player_stats": ["player_id"], "team_standings": ["team_id"], "shot_charts": ["player_name"]}
 
@@ -47,8 +51,15 @@ def small_files(spark: SparkSession, out: str) -> DataFrame:
     return files.groupBy(season.alias("season")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in a sort: 8 a field and for the null bits, texts in steps of 8 beside them, and a pointer with its sort key."""
+    texts = [F.coalesce(F.ceil(F.octet_length(c) / 8) * 8, F.lit(0)) for c, t in df.dtypes if t == "string"]
+    return reduce(Column.__add__, texts, F.lit(8 * (len(df.columns) + 4)).cast("bigint"))
+
+
 def compact(spark: SparkSession, out: str, dataset: str, target: int = TARGET_BYTES, least_files: int = 2) -> str | None:
-    """Rewrite all complete loads as files of about ``target`` bytes; returns the folder, or None if no season
+    """Rewrite all complete loads as files of about ``target`` bytes, of fewer where their rows take more than
+    ``SORT_BYTES`` of memory; returns the folder, or None if no season
     has ``least_files`` files that are on average smaller than half the target."""
     from courtside.streaming.landing_stream import read_deliveries, read_streamed
 
@@ -64,9 +75,10 @@ def compact(spark: SparkSession, out: str, dataset: str, target: int = TARGET_BY
     rows = read_streamed(spark, out, dataset).where(F.col("load") <= upto)
     earlier = [spark._jvm.org.apache.hadoop.fs.Path(f) for _, f in compactions(spark, out)[-1:]]
     size = sizes.agg(F.sum("bytes")).first()[0] + sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in earlier)
+    held = rows.agg(F.sum(_row_bytes(rows))).first()[0] or 0
     key = uuid.uuid4().hex[:12]
     folder = f"{out}/_compacted/rows/{key}"
-    write_processed(rows, folder, cluster_by=CLUSTERS[dataset], ranges=max(1, -(-size // target)))
+    write_processed(rows, folder, cluster_by=CLUSTERS[dataset], ranges=max(1, -(-size // target), -(-held // SORT_BYTES)))
     spark.createDataFrame([(upto, folder)], "upto bigint, folder string").coalesce(1).write.parquet(f"{out}/_compacted/done/{upto}-{key}")
     return folder
 

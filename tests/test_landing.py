@@ -674,6 +674,24 @@ def test_compaction_joins_small_files_and_keeps_corrections(spark, workdir, monk
     assert read() == after
 
 
+def test_compaction_sorts_no_more_rows_in_a_task_than_memory_allows(spark, workdir, monkeypatch):
+    import glob
+
+    from courtside.streaming import compact, compaction, read_streamed
+    root, out, ck = f"{workdir}/landing", f"{workdir}/streamed", f"{workdir}/ck"
+    for day in (1, 2):  # rows that compress well: the files are far below the target
+        lines = [_shot("g", p % 50, f"P{p % 50:02d}", 4, 5, 3, 1) for p in range(4000)]
+        write_text(f"{root}/shot_charts/season=2024-25/date=2025-01-0{day}/all.csv", "\n".join([SHOT_HEADER, *lines, ""]))
+        stream_landing(spark, root, "shot_charts", out, checkpoint=ck)
+    before = read_streamed(spark, out, "shot_charts").groupBy("date", "player_name").count().collect()
+    monkeypatch.setattr(compaction, "SORT_BYTES", 500_000)
+    files = glob.glob(compact(spark, out, "shot_charts") + "/season=*/*.parquet")
+    rows = [spark.read.parquet(f).count() for f in files]
+    # 8,000 rows of about 350 bytes
+    assert sum(rows) == 8000 and len(rows) >= 5 and max(rows) * 350 < 2 * 500_000
+    assert sorted(read_streamed(spark, out, "shot_charts").groupBy("date", "player_name").count().collect()) == sorted(before)
+
+
 def test_header_history_reads_first_lines_only(spark, workdir):
     from courtside.sources.headers import column_history, file_headers
     base = f"{workdir}/team_standings/season=2024-25"
