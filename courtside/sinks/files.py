@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.session import scratch_path
-from courtside.sources.records import counts, file_lines, part_facts
+from courtside.sinks.folders import CSV, store_uri, write_folders
+from courtside.sources.records import counts, part_facts, player_lines
 
 MANIFEST_SCHEMA = ("dataset string, entity_id bigint, status string, rows bigint, "
                    "path string, message string")
@@ -48,11 +49,14 @@ def land_snapshot(df: DataFrame, root: str, dataset: str, season: str | None, da
             out = out.withColumn(name, F.lit(value))
         elif name not in df.columns:
             raise KeyError(f"{name}=None needs a {name!r} column")
-    if by_player:  # a few files a player, more for a player with much
-        out = out.hint("rebalance", F.col("player_id"))
-    (_dynamic(out).option("header", True).option("quote", '"').option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .partitionBy(*parts).csv(f"{root.rstrip('/')}/{dataset}"))
+    base = f"{root.rstrip('/')}/{dataset}"
+    place = store_uri(df.sparkSession, base) if by_player else None
+    if place is not None:
+        write_folders(out, base, place, parts)
+    else:
+        if by_player:  # a few files a player, more for a player with much
+            out = out.hint("rebalance", F.col("player_id"))
+        _dynamic(out).option("header", True).options(**CSV).partitionBy(*parts).csv(base)
     return snapshot_path(root, dataset, season or "*", date or "*")
 
 
@@ -77,7 +81,7 @@ class Entities(NamedTuple):
 
 def landed_counts(spark: SparkSession, folder: str) -> DataFrame:
     """``entity_id, rows`` of what lies in the per-player folders under ``folder``, as a reader sees it."""
-    lines = file_lines(spark.read.option("lineSep", "\n").text(f"{folder}/player_id=*/*.csv"))
+    lines = player_lines(spark, [folder])
     facts = part_facts(lines)
     # counted by part first, so the entity's name is looked up once a part
     parts = counts(lines, facts)

@@ -20,7 +20,9 @@ rest of the file one record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtside.session import scratch_path
@@ -36,6 +38,32 @@ def file_lines(text: DataFrame) -> DataFrame:
                        F.monotonically_increasing_id().alias("_row"), F.col("value").alias("_line"))
 
 
+#: Files up to this size are read whole.
+SMALL_BYTES = 4 << 20
+
+
+def mixed_lines(files: DataFrame) -> DataFrame:
+    """The same of any files, given as Spark's ``binaryFile`` rows: a small file is one part, opened once by a
+    task that goes on to the next (a text scan sets up a reader a file, ten times the work); those above
+    ``SMALL_BYTES``, of which there are few for the bytes they hold, are scanned in parts."""
+    spark = files.sparkSession
+    size = F.col("_metadata.file_size")  # known from the listing
+    small = files.where(size <= SMALL_BYTES).select(
+        F.col("_metadata.file_path").alias("_path"), F.lit(0).cast("bigint").alias("_start"),
+        F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("_row", "_line"))
+    small = small.withColumn("_row", F.col("_row").cast("bigint"))
+    large = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in files.where(size > SMALL_BYTES).select("path").collect()]
+    return file_lines(spark.read.option("lineSep", "\n").text(large)).unionByName(small) if large else small
+
+
+def player_lines(spark: SparkSession, folders: list[str]) -> DataFrame | None:
+    """Lines of the files in the players' own folders under date folders; None if there is none. The date folders
+    are listed by Spark's tasks, so the driver asks the store for no player's folder."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(list(folders))
+             .where(F.col("_metadata.file_path").rlike("/date=[^/]+/player_id=[^/]+/[^/]+$")))
+    return None if files.select("path").isEmpty() else mixed_lines(files)
+
+
 def _odd() -> Column:
     quotes = F.length("_line") - F.length(F.replace("_line", F.lit('"'), F.lit("")))
     return F.when(F.contains("_line", F.lit('"')), quotes % 2).otherwise(0)

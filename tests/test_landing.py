@@ -692,6 +692,51 @@ def test_compaction_sorts_no_more_rows_in_a_task_than_memory_allows(spark, workd
     assert sorted(read_streamed(spark, out, "shot_charts").groupBy("date", "player_name").count().collect()) == sorted(before)
 
 
+def test_players_folders_are_written_as_sparks_writer_does(spark, workdir, monkeypatch):
+    import glob
+
+    from courtside.sinks import files
+    rows = [(1, 'Al "Ace", J', " x ", None), (1, "a\nb", "", 2.5), (None, "a\r\nb", "é", 1e20), (2, None, None, None), (3, "#", '"', -0.0)]
+    df = spark.createDataFrame(rows, 'player_id long, name string, `a,b` string, v double').withColumn("team", F.lit("x/y%z"))
+    df = df.unionByName(df.withColumn("player_id", F.col("player_id") + 100)).withColumn("season", F.concat(F.lit("S:"), F.coalesce("player_id", F.lit(0)) % 2))
+
+    def contents(root):
+        found = {}
+        for f in glob.glob(f"{root}/shot_charts/season=*/date=*/player_id=*/*.csv"):
+            with open(f, newline="") as text:
+                head, rest = text.read().split("\n", 1)
+            found.setdefault(os.path.dirname(f)[len(root):], []).append((head, rest))
+        return {k: ({h for h, _ in v}, sorted("".join(r for _, r in v).split("\n"))) for k, v in found.items()}
+
+    land_snapshot(df, f"{workdir}/a", "shot_charts", None, "2025-01-01", by_player=True)
+    with monkeypatch.context() as m:  # a store that pyarrow doesn't open
+        m.setattr(files, "store_uri", lambda spark, path: None)
+        land_snapshot(df, f"{workdir}/b", "shot_charts", None, "2025-01-01", by_player=True)
+    got = contents(f"{workdir}/a")
+    assert got == contents(f"{workdir}/b") and len(got) == 7
+    # only the folders with rows are replaced, and what an unfinished run left isn't read
+    write_text(f"{workdir}/a/shot_charts/season=S%3A0/date=2025-01-01/player_id=2/part-0.csv.tmp", "x")
+    again = spark.createDataFrame([(2, "new")], "player_id long, name string").withColumn("season", F.lit("S:0"))
+    land_snapshot(again, f"{workdir}/a", "shot_charts", None, "2025-01-01", by_player=True)
+    now = contents(f"{workdir}/a")
+    place = "/shot_charts/season=S%3A0/date=2025-01-01/player_id=2"
+    assert now.pop(place) == ({"name"}, ["", "new"]) and got.pop(place) and now == got
+    assert os.listdir(f"{workdir}/a{place}") == [os.path.basename(f) for f in glob.glob(f"{workdir}/a{place}/*.csv")]
+
+
+def test_players_files_take_few_tasks_and_no_lookup_by_the_driver(spark, workdir, monkeypatch):
+    from courtside.sources import records
+    base = f"{workdir}/shot_charts/season=2024-25/date=2025-01-01"
+    for p in range(40):
+        write_text(f"{base}/player_id={p}/p.csv", SHOT_HEADER + "\n" + _shot(f"g{p}", p, '"A\nB"', 4, 5, 3, 1) + "\n")
+    lines = records.player_lines(spark, [f"{workdir}/shot_charts/season=*/date=*"])
+    assert lines.inputFiles() and "binaryFile" in lines._jdf.queryExecution().analyzed().toString()
+    small = sorted(map(tuple, read_landing(spark, workdir, "shot_charts").collect()), key=str)
+    monkeypatch.setattr(records, "SMALL_BYTES", 100)  # all files in parts
+    large = sorted(map(tuple, read_landing(spark, workdir, "shot_charts").collect()), key=str)
+    assert small == large and len(small) == 40 and small[0][2] == "A\nB"
+
+
 def test_header_history_reads_first_lines_only(spark, workdir):
     from courtside.sources.headers import column_history, file_headers
     base = f"{workdir}/team_standings/season=2024-25"
