@@ -19,14 +19,14 @@ per file part; the rows are then read once and look up their header there.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
-from courtside.sources.records import fields, file_lines, part_facts, records, width
+from courtside.sources.records import fields, file_lines, part_facts, player_lines, records, width
 
 
 def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
@@ -69,10 +69,14 @@ def tracked_players(df: DataFrame, ids: Sequence[int] | DataFrame, column: str =
     return df.join(wanted, F.col(column) == F.col("_tracked"), "left_semi")
 
 
-def _lines(spark: SparkSession, patterns: Sequence[str]) -> DataFrame | None:
+def _lines(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
+    return file_lines(spark.read.option("lineSep", "\n").text(list(patterns)))
+
+
+def _if_there(read: Callable[[SparkSession, list[str]], DataFrame | None], spark: SparkSession, patterns: list[str]) -> DataFrame | None:
     """Lines of all files that match; None if no file does."""
     try:
-        return file_lines(spark.read.option("lineSep", "\n").text(list(patterns)))
+        return read(spark, patterns)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -154,8 +158,8 @@ def read_landing(spark: SparkSession, root: str, dataset: str, season: str | Non
     base = f"{root.rstrip('/')}/{dataset}"
     folders = newest_dates(spark, base, season) if newest_only else [f"{base}/season={season or '*'}/date={date or '*'}"]
     targets, optional = landing_targets(dataset)
-    bulk = _lines(spark, [f"{f}/*.csv" for f in folders]) if folders else None
-    single = _lines(spark, [f"{f}/player_id=*/*.csv" for f in folders]) if folders and dataset == "shot_charts" else None
+    bulk = _if_there(_lines, spark, [f"{f}/*.csv" for f in folders]) if folders else None
+    single = _if_there(player_lines, spark, folders) if folders and dataset == "shot_charts" else None
     if bulk is None and single is None:
         raise FileNotFoundError(f"no landed {dataset} files under {folders or base}")
     out = days = None
