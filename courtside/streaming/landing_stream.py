@@ -8,7 +8,7 @@ stateless; choosing the newest snapshot stays a batch step downstream
 (``courtside.operators.latest_snapshot``), so no streaming state grows
 with the data.
 
-Files are streamed as text and each micro-batch binds its records to their own
+Each micro-batch reads its files as lines and binds its records to their own
 file's header, as the batch reader does: any header version, line breaks in quoted
 fields, ``season`` inside the file or not, one file per player or one for all. A batch
 writes to a ``load=<batch>`` partition of its seasons and replaces only that, so a batch
@@ -34,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from courtside.plans.normalize import _STEPS
 from courtside.session import checkpoint_root
 from courtside.sources.landing import bind_by_header, landing_targets
-from courtside.sources.records import file_lines, part_facts
+from courtside.sources.records import mixed_lines, part_facts
 from courtside.streaming.compaction import _listing, compactions
 
 #: What one delivery covers.
@@ -56,7 +56,8 @@ def stream_landing(spark: SparkSession, root: str, dataset: str, out: str,
     """Process every landed file not seen before and add it to ``out``."""
     if checkpoint is None:
         checkpoint = os.path.join(checkpoint_root(spark), "courtside", "streams", dataset)
-    reader = (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("lineSep", "\n"))
+    reader = (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+              .format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     targets, optional = landing_targets(dataset)
@@ -65,7 +66,7 @@ def stream_landing(spark: SparkSession, root: str, dataset: str, out: str,
 
     def add(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        lines = file_lines(batch)
+        lines = mixed_lines(batch)
         facts = part_facts(lines)
         rows = bind_by_header(lines, facts, targets, {*optional, "player_id"} if dataset == "shot_charts" else optional)
         if "player_id" in rows.columns:
@@ -81,7 +82,7 @@ def stream_landing(spark: SparkSession, root: str, dataset: str, out: str,
         if found != count:
             raise RuntimeError(f"load {number} wrote {count} rows, its deliveries name {found}")
 
-    raw = reader.text(f"{root.rstrip('/')}/{dataset}").select("value", "_metadata")
+    raw = reader.load(f"{root.rstrip('/')}/{dataset}").select("path", "content", "_metadata")
     q = (raw.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     if wait:
