@@ -61,7 +61,7 @@ def player_lines(spark: SparkSession, folders: list[str]) -> DataFrame | None:
     are listed by Spark's tasks, so the driver asks the store for no player's folder."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(list(folders))
              .where(F.col("_metadata.file_path").rlike("/date=[^/]+/player_id=[^/]+/[^/]+$")))
-    return None if files.select("path").isEmpty() else mixed_lines(files)
+    return mixed_lines(files) if files.select("path").take(1) else None  # take stops at the first file
 
 
 def _odd() -> Column:
