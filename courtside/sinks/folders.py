@@ -20,6 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +31,6 @@ CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreT
 _ODD = "[\\x01-\\x1F\\x22#%'*/:=?\\x5C\\x7F{\\[\\]^]"
 
 
-def _store(place: str):
-    from pyarrow.fs import FileSystem
-
-    return FileSystem.from_uri(place)
-
-
 def store_uri(spark: SparkSession, path: str) -> str | None:
     """The path with its store's name as pyarrow reads it; None if pyarrow doesn't open that store."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,7 +38,7 @@ def store_uri(spark: SparkSession, path: str) -> str | None:
     scheme, rest = uri.split(":", 1)
     place = uri if rest.startswith("//") else f"{scheme}://{rest}"
     try:
-        _store(place)
+        FileSystem.from_uri(place)
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         return None
     return place
@@ -63,7 +58,7 @@ def write_folders(df: DataFrame, path: str, place: str, parts: Sequence[str]) ->
     key = uuid.uuid4().hex[:12]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(place)
+        store, base = FileSystem.from_uri(place)
         name, now, f = f"part-{key}-{uuid.uuid4().hex[:12]}.csv", None, None
         for batch in batches:
             runs, lines, done, at = pc.run_end_encode(batch.column(0)), batch.column(1), [], 0
@@ -83,9 +78,7 @@ def write_folders(df: DataFrame, path: str, place: str, parts: Sequence[str]) ->
             yield pa.RecordBatch.from_pydict({"folder": [now], "name": [name]})
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSelector, FileType
-
-        store, base = _store(place)
+        store, base = FileSystem.from_uri(place)
         for batch in batches:
             for folder, new in zip(*(c.to_pylist() for c in batch.columns)):
                 there = {i.base_name: i for i in store.get_file_info(FileSelector(f"{base}/{folder}"))}
