@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.session import scratch_path
-from courtside.sinks.folders import CSV, store_uri, write_folders
-from courtside.sources.records import counts, part_facts, player_lines
+from courtside.sinks.folders import CSV, write_folders
+from courtside.sources.player_files import player_counts
+from courtside.stores import store_uri
 
 MANIFEST_SCHEMA = ("dataset string, entity_id bigint, status string, rows bigint, "
                    "path string, message string")
@@ -81,12 +82,7 @@ class Entities(NamedTuple):
 
 def landed_counts(spark: SparkSession, folder: str) -> DataFrame:
     """``entity_id, rows`` of what lies in the per-player folders under ``folder``, as a reader sees it."""
-    lines = player_lines(spark, [folder])
-    facts = part_facts(lines)
-    # counted by part first, so the entity's name is looked up once a part
-    parts = counts(lines, facts)
-    names = facts.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), F.col("_player_id").try_cast("bigint").alias("entity_id"))
-    return (parts.join(names, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+    return (player_counts(spark, [folder]).select(F.col("_player_id").try_cast("bigint").alias("entity_id"), "n")
             .groupBy("entity_id").agg(F.sum("n").alias("rows")))
 
 

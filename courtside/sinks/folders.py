@@ -21,29 +21,17 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow.fs import FileSelector, FileSystem, FileType
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.session import scratch_path
+from courtside.stores import folder_tasks
 
 CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 #: Characters that Spark writes as %XX in a folder's name.
 _ODD = "[\\x01-\\x1F\\x22#%'*/:=?\\x5C\\x7F{\\[\\]^]"
 
 
-def store_uri(spark: SparkSession, path: str) -> str | None:
-    """The path with its store's name as pyarrow reads it; None if pyarrow doesn't open that store."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    uri = found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toUri().toString()
-    scheme, rest = uri.split(":", 1)
-    place = uri if rest.startswith("//") else f"{scheme}://{rest}"
-    try:
-        FileSystem.from_uri(place)
-    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
-        return None
-    return place
-
-
 def _folder(name: str) -> Column:
     text = F.col(name).cast("string")
     safe = F.when(text.rlike(_ODD), F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike(_ODD), F.concat(F.lit("%"), F.hex(c))).otherwise(c)), "")).otherwise(text)
@@ -94,7 +82,9 @@ def write_folders(df: DataFrame, path: str, place: str, parts: Sequence[str]) ->
              .sortWithinPartitions("_folder"))
     listed = scratch_path(spark, "landed_files")
     lines.mapInArrow(write, "folder string, name string").write.parquet(listed)
-    new = spark.read.schema("folder string, name string").parquet(listed).groupBy("folder").agg(F.collect_list("name").alias("names"))
+    written = spark.read.schema("folder string, name string").parquet(listed)
+    # dealt by number: the names' bytes alone would put all folders into one task
+    new = written.repartition(folder_tasks(spark, written.count()), "folder").groupBy("folder").agg(F.collect_list("name").alias("names"))
     new.mapInArrow(settle, "folder string").write.format("noop").mode("overwrite").save()
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     found.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(found)  # without rows too

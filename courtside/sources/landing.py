@@ -19,14 +19,16 @@ per file part; the rows are then read once and look up their header there.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.schemas import PLAYER_COLUMNS, SHOT_COLUMNS, STANDINGS_COLUMNS
-from courtside.sources.records import fields, file_lines, part_facts, player_lines, records, width
+from courtside.sources.player_files import landed_files
+from courtside.sources.records import escaped, fields, file_lines, part_facts, records, whole_records, width
 
 
 def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]],
@@ -73,10 +75,10 @@ def _lines(spark: SparkSession, patterns: Sequence[str]) -> DataFrame:
     return file_lines(spark.read.option("lineSep", "\n").text(list(patterns)))
 
 
-def _if_there(read: Callable[[SparkSession, list[str]], DataFrame | None], spark: SparkSession, patterns: list[str]) -> DataFrame | None:
+def _if_there(spark: SparkSession, patterns: Sequence[str]) -> DataFrame | None:
     """Lines of all files that match; None if no file does."""
     try:
-        return read(spark, patterns)
+        return _lines(spark, patterns)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -93,8 +95,20 @@ def bind_by_header(lines: DataFrame, facts: DataFrame, targets: Mapping[str, Seq
     without any candidate of a required target raises an error that names
     its candidates and header. No file is ever left out.
     """
-    optional = set(optional)
     n = width(facts)
+    bound = _places(facts, n, targets, optional).select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), "_at", "_path_season", "date", "_player_id")
+    return _bound(records(lines, facts).join(bound, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s"))), n, targets)
+
+
+def bind_whole(whole: DataFrame, targets: Mapping[str, Sequence[str]], optional: Iterable[str] = ()) -> DataFrame:
+    """The same for files with their ``_text`` in which no line is odd: each is bound by its own row, without a join."""
+    n = width(whole)
+    return _bound(whole_records(_places(whole, n, targets, optional, "_text")), n, targets)
+
+
+def _places(facts: DataFrame, n: int, targets: Mapping[str, Sequence[str]], optional: Iterable[str], *more: str) -> DataFrame:
+    """Of each file part whose file has a header: where the targets stand in it (``_at``), and what the path names."""
+    optional = set(optional)
     heads = facts.where("_head IS NOT NULL").withColumn("_names", F.transform(fields(F.col("_head"), n), lambda t: F.lower(F.trim(t))))
     at = []
     for target, candidates in targets.items():
@@ -105,10 +119,12 @@ def bind_by_header(lines: DataFrame, facts: DataFrame, targets: Mapping[str, Seq
             first = F.coalesce(first, F.raise_error(said).cast("bigint"))
         at.append(first.cast("int").alias(f"_{target}"))
     season = F.array_position("_names", "season")
-    bound = heads.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), F.struct(*at, F.when(season > 0, season).cast("int").alias("_season")).alias("_at"),
-                         F.col("_season").alias("_path_season"), F.col("_date").cast("date").alias("date"), F.col("_player_id"))
-    rows = (records(lines, facts).join(bound, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
-            .withColumn("_field", fields(F.col("_record"), n)))
+    return heads.select("_path", "_start", F.struct(*at, F.when(season > 0, season).cast("int").alias("_season")).alias("_at"),
+                        F.col("_season").alias("_path_season"), F.col("_date").cast("date").alias("date"), "_player_id", *more)
+
+
+def _bound(rows: DataFrame, n: int, targets: Mapping[str, Sequence[str]]) -> DataFrame:
+    rows = rows.withColumn("_field", fields(F.col("_record"), n))
     def field(name: str) -> Column:
         return F.get("_field", F.col(f"_at.{name}") - 1)
     cols = [field(f"_{t}").alias(t) for t in targets]
@@ -150,30 +166,34 @@ def read_landing(spark: SparkSession, root: str, dataset: str, season: str | Non
     Columns are bound by name per file (candidate names, case-insensitive,
     see ``courtside.schemas``), so ``WINS`` in one file and ``W`` in another
     both become ``wins``. ``newest_only`` reads each season's newest date
-    folder and nothing else. A pass over the files for quotes and headers runs at once;
-    the rows are read when they are used. A player's shots that were landed on one date
+    folder and nothing else. A pass over the files for quotes and headers runs at once, and small files in players' own
+    folders are copied to the scratch folder; the rows are read when they are used. A player's shots that were landed on one date
     both in the date folder and in a folder of the player's own count once
     (the date folder's).
     """
     base = f"{root.rstrip('/')}/{dataset}"
     folders = newest_dates(spark, base, season) if newest_only else [f"{base}/season={season or '*'}/date={date or '*'}"]
     targets, optional = landing_targets(dataset)
-    bulk = _if_there(_lines, spark, [f"{f}/*.csv" for f in folders]) if folders else None
-    single = _if_there(player_lines, spark, folders) if folders and dataset == "shot_charts" else None
-    if bulk is None and single is None:
+    own = landed_files(spark, folders) if folders and dataset == "shot_charts" else None
+    # where few files lie beside players' folders they are named: a pattern would make the driver look at each folder
+    files = [f"{f}/*.csv" for f in folders] if own is None or own.beside is None else escaped(own.beside)
+    bulk = _if_there(spark, files) if files else None
+    if bulk is None and (own is None or not own.there):
         raise FileNotFoundError(f"no landed {dataset} files under {folders or base}")
     out = days = None
     if bulk is not None:
         facts = part_facts(bulk)
         days = facts.select("_season", "_date").distinct()
         out = bind_by_header(bulk, facts, targets, optional).drop("_player_id")
-    if single is not None:
-        facts = part_facts(single)
+    if own is not None and own.there:
         # the folder's name is the player where the file doesn't say
-        own = bind_by_header(single, facts, targets, {*optional, "player_id"}).withColumn("player_id", F.coalesce("player_id", "_player_id")).drop("_player_id")
-        if out is not None and not facts.select("_season", "_date").join(days, ["_season", "_date"], "left_semi").isEmpty():
+        optional = {*optional, "player_id"}
+        single = [bind_whole(own.alone, targets, optional)] if own.alone is not None else []
+        single += [bind_by_header(own.lines, own.facts, targets, optional)] if own.lines is not None else []
+        single = reduce(DataFrame.unionByName, single).withColumn("player_id", F.coalesce("player_id", "_player_id")).drop("_player_id")
+        if out is not None and not own.days().join(days, ["_season", "_date"], "left_semi").isEmpty():
             there = out.select(F.col("season").alias("_s"), F.col("date").alias("_d"), F.col("player_id").alias("_p")).distinct()
-            own = own.join(there, F.col("season").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
-                           & F.col("player_id").eqNullSafe(F.col("_p")), "left_anti")
-        out = own if out is None else out.unionByName(own)
+            single = single.join(there, F.col("season").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))
+                                 & F.col("player_id").eqNullSafe(F.col("_p")), "left_anti")
+        out = single if out is None else out.unionByName(single)
     return out

@@ -8,7 +8,9 @@ number is found without any file passing through one task:
 * a running sum over the parts of a file says how many such lines stand before each part;
 * a part in which every line is a record by itself (no odd line, an even number before it) is read
   as it is: no shuffle. Only the lines of other parts are numbered within their part; those of one
-  record, which may begin in one part and end in a later one, are joined to one text.
+  record, which may begin in one part and end in a later one, are joined to one text;
+* a small file that is read whole is one part: ``whole_facts`` finds the same beside its text, so
+  ``whole_records`` needs no join to tell its header from its records.
 
 The rows of ``part_facts`` are few (bytes / part size, and one a small file) and written before they
 are used, so the planner knows their size when it joins them with the lines.
@@ -21,6 +23,7 @@ rest of the file one record.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,7 +55,7 @@ def mixed_lines(files: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("_path"), F.lit(0).cast("bigint").alias("_start"),
         F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("_row", "_line"))
     small = small.withColumn("_row", F.col("_row").cast("bigint"))
-    large = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in files.where(size > SMALL_BYTES).select("path").collect()]
+    large = escaped(r[0] for r in files.where(size > SMALL_BYTES).select("path").collect())
     return file_lines(spark.read.option("lineSep", "\n").text(large)).unionByName(small) if large else small
 
 
@@ -64,39 +67,78 @@ def player_lines(spark: SparkSession, folders: list[str]) -> DataFrame | None:
     return mixed_lines(files) if files.select("path").take(1) else None  # take stops at the first file
 
 
-def _odd() -> Column:
-    quotes = F.length("_line") - F.length(F.replace("_line", F.lit('"'), F.lit("")))
-    return F.when(F.contains("_line", F.lit('"')), quotes % 2).otherwise(0)
+def escaped(paths: Iterable[str]) -> list[str]:
+    """Paths as patterns that match nothing else."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def _odd(line: Column) -> Column:
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.when(F.contains(line, F.lit('"')), quotes % 2).otherwise(0)
 
 
 def _folder(name: str) -> Column:
     return F.try_url_decode(F.nullif(F.regexp_extract("_path", f"/{name}=([^/]+)/", 1), F.lit("")))
 
 
-def _without_cr(text: str) -> Column:
-    return F.when(F.endswith(F.col(text), F.lit("\r")), F.expr(f"left({text}, length({text}) - 1)")).otherwise(F.col(text))
+def _without_cr(text: Column) -> Column:
+    return F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
+
+
+def _is_text(line: Column) -> Column:
+    return F.trim(_without_cr(line)) != ""
+
+
+def _header(line: Column) -> Column:
+    return F.regexp_replace(line, "^﻿|\r$", "")
+
+
+def _of_path() -> list[Column]:
+    return [*[_folder(c).alias(f"_{c}") for c in FOLDERS], F.nullif(F.regexp_extract("_path", "/player_([0-9]+)\\.csv$", 1), F.lit("")).alias("_file_player")]
 
 
 def part_facts(lines: DataFrame) -> DataFrame:
     """A row per file part: ``_path, _start, _odd`` (lines with an odd number of quotes), ``_before`` (such
     lines in earlier parts of the file), ``_lines`` (that aren't blank), ``_head`` and ``_head_row`` (the file's first line, on
     every part) and the values of the folder names. Written to the session's scratch folder."""
+    line = F.col("_line")
     own = lines.groupBy("_path", "_start").agg(
-        F.sum(_odd()).alias("_odd"), F.count_if(F.trim(_without_cr("_line")) != "").alias("_lines"), F.min("_row").alias("_first_row"),
-        F.min_by(F.when(F.col("_start") == 0, F.col("_line")), F.col("_row")).alias("_first"))
+        F.sum(_odd(line)).alias("_odd"), F.count_if(_is_text(line)).alias("_lines"), F.min("_row").alias("_first_row"),
+        F.min_by(F.when(F.col("_start") == 0, line), F.col("_row")).alias("_first"))
     parts = Window.partitionBy("_path").orderBy("_start")
     from_start = parts.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = F.regexp_replace(F.first("_first").over(from_start), "^﻿|\r$", "")
     facts = own.select("_path", "_start", "_odd", "_lines",
                        F.coalesce(F.sum("_odd").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                       head.alias("_head"), F.first("_first_row").over(from_start).alias("_head_row"),
-                       *[_folder(c).alias(f"_{c}") for c in FOLDERS],
-                       F.nullif(F.regexp_extract("_path", "/player_([0-9]+)\\.csv$", 1), F.lit("")).alias("_file_player"))
+                       _header(F.first("_first").over(from_start)).alias("_head"), F.first("_first_row").over(from_start).alias("_head_row"), *_of_path())
     path = scratch_path(lines.sparkSession, "parts")
     facts.write.parquet(path)
     return lines.sparkSession.read.schema(facts.schema).parquet(path)
 
 
+def whole_facts(files: DataFrame) -> DataFrame:
+    """The facts of files that are one part, from ``_path`` and ``_text``; all columns of ``files`` stay beside them."""
+    more = [c for c in files.columns if c != "_path"]
+    lines = files.withColumn("_all", F.split("_text", "\n"))
+    first = F.lit(0).cast("bigint")
+    return lines.select("_path", first.alias("_start"), F.size(F.filter("_all", lambda x: _odd(x) == 1)).cast("bigint").alias("_odd"),
+                        F.size(F.filter("_all", _is_text)).cast("bigint").alias("_lines"), first.alias("_before"),
+                        _header(F.col("_all")[0]).alias("_head"), first.alias("_head_row"), *_of_path(), *more)
+
+
+def whole_lines(whole: DataFrame) -> DataFrame:
+    """``_path, _start, _row, _line`` of files with their ``_text``."""
+    return (whole.select("_path", "_start", F.posexplode(F.split("_text", "\n")).alias("_row", "_line"))
+            .withColumn("_row", F.col("_row").cast("bigint")))
+
+
+def whole_records(whole: DataFrame) -> DataFrame:
+    """``_record`` for every record but the header of files with their ``_text`` in which no line is odd; their
+    other columns stay beside it."""
+    more = [c for c in whole.columns if c != "_text"]
+    return (whole.select(*more, F.explode(F.slice(F.split("_text", "\n"), 2, 1 << 30)).alias("_line"))  # from the second on
+            .select(*more, _without_cr(F.col("_line")).alias("_record")).where(F.trim("_record") != ""))
+
+
 def _is_broken() -> Column:
     """Whether a part holds lines that aren't records by themselves."""
     return (F.col("_odd") > 0) | (F.col("_before") % 2 == 1)
@@ -112,7 +154,7 @@ def records(lines: DataFrame, facts: DataFrame) -> DataFrame:
     if not facts.where(_is_broken()).isEmpty():
         # the number of odd lines before a line: of earlier parts, and within its own part
         earlier = Window.partitionBy("_path", "_start").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-        numbered = (rows.where("_broken").select("_path", "_start", "_row", "_line", "_before", _odd().alias("_odd"))
+        numbered = (rows.where("_broken").select("_path", "_start", "_row", "_line", "_before", _odd(F.col("_line")).alias("_odd"))
                     .withColumn("_odds", F.col("_before") + F.coalesce(F.sum("_odd").over(earlier), F.lit(0))))
         alone = (F.col("_odds") % 2 == 0) & (F.col("_odd") == 0)
         # lines of one record: from the odd line that opens it to the one that closes it
@@ -120,7 +162,7 @@ def records(lines: DataFrame, facts: DataFrame) -> DataFrame:
                   .agg(F.min("_start").alias("_start"), F.sort_array(F.collect_list(F.struct("_start", "_row", "_line"))).alias("_all"))
                   .select("_path", "_start", F.array_join(F.transform("_all", lambda x: x["_line"]), "\n").alias("_record")))
         whole = whole.unionByName(numbered.where(alone).select("_path", "_start", F.col("_line").alias("_record"))).unionByName(joined)
-    return whole.withColumn("_record", _without_cr("_record")).where(F.trim("_record") != "")
+    return whole.withColumn("_record", _without_cr(F.col("_record"))).where(F.trim("_record") != "")
 
 
 def counts(lines: DataFrame, facts: DataFrame) -> DataFrame:

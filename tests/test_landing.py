@@ -737,6 +737,65 @@ def test_players_files_take_few_tasks_and_no_lookup_by_the_driver(spark, workdir
     assert small == large and len(small) == 40 and small[0][2] == "A\nB"
 
 
+def test_players_files_are_opened_once_and_bound_without_a_join(spark, workdir, monkeypatch):
+    """Files in players' folders, listed and read whole by tasks, give what Spark's own reader gives."""
+    base = f"{workdir}/a/shot_charts/season=2024-25/date=2025-01-01"
+    swapped = ",".join(SHOT_HEADER.split(",")[::-1])
+    for p in range(30):
+        row = _shot(f"g{p}", p, f'"A ""{p}"", B"', 4, 5, 3, "" if p % 2 else 1)
+        text = {0: f"{SHOT_HEADER}\n{row}\n", 1: f"\ufeff{SHOT_HEADER.upper()}\r\n\r\n{row}\r\n{SHOT_HEADER}", 2: f"{SHOT_HEADER}\n"}.get(p % 4)
+        if text is None:
+            text = f"{swapped}\n" + ",".join(row.replace(", B", " B").split(",")[::-1]) + "\n"
+        write_text(f"{base}/player_id={p}/p.csv", text)
+    for p, name in enumerate(["n%2Fa", "a b", "x%é", "7"]):  # as folders are written; the file has no player
+        cells = _shot(f"h{p}", "", "C", 4, 5, 3, 1)
+        write_text(f"{base}/player_id={name}/p [1].csv", f"{SHOT_HEADER}\n{cells}\n")
+    plan = read_landing(spark, f"{workdir}/a", "shot_charts")._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "Join" not in plan
+    # the driver names the few files beside players' folders; hidden and unfinished files aren't read
+    write_text(f"{base}/all {{1}}.csv", f"{SHOT_HEADER}\n{_shot('g0', 0, 'bulk', 4, 5, 3, 1)}\n{_shot('b', 99, 'bulk', 4, 5, 3, 1)}\n")
+    for name in (".x.csv", "_x.csv", "x.csv.tmp"):
+        write_text(f"{base}/{name}", "bad")
+        write_text(f"{base}/player_id=1/{name}", "bad")
+    write_text(f"{base}/player_id=1/_a=b.csv", f"{SHOT_HEADER}\n{_shot('i', 1, 'D', 4, 5, 3, 1)}\n")
+    write_text(f"{base}/player_id=5/deep/p.csv", "bad")
+    write_text(f"{base}/player_id=6/empty.csv", "")
+    # a record over several lines, an open quote
+    write_text(f"{base}/player_id=50/p.csv", f"{SHOT_HEADER}\n" + _shot("j", 50, '"A\n\nB"', 4, 5, 3, 1) + "\n" + _shot("k", 50, '"C', 4, 5, 3, 1))
+    write_text(f"{workdir}/a/shot_charts/season=2024-25/date=2025-01-02/player_id=0/p.csv", f"{SHOT_HEADER}\n{_shot('l', 0, 'next', 4, 5, 3, 1)}\n")
+
+    def rows():
+        return sorted(map(tuple, read_landing(spark, f"{workdir}/a", "shot_charts").collect()), key=str)
+
+    def counted():
+        from courtside.sinks.files import landed_counts
+        return sorted(map(tuple, landed_counts(spark, base).collect()), key=str)
+
+    got, n = rows(), counted()
+    assert len(got) == 8 + 16 + 7 + 4 + 1 + 2 + 1 - 1 + 2  # of 30 files, the odd names, _a=b, 50, the next day; 0 counts once; beside
+    assert {r[1] for r in got if r[0] in ("h0", "h1", "h2", "h3")} == {"n%2Fa", "a b", "x%é", "7"} and ("j", "50", "A\n\nB") in {r[:3] for r in got}
+    monkeypatch.setattr("courtside.sources.records.SMALL_BYTES", 400)  # some in parts
+    monkeypatch.setattr("courtside.sources.player_files.MOST_BESIDE", 0)  # those beside players' folders by a pattern
+    assert rows() == got
+    monkeypatch.setattr("courtside.sources.player_files.store_uri", lambda spark, path: None)  # a store that pyarrow doesn't open
+    assert rows() == got and counted() == n
+
+
+def test_players_folders_are_dealt_by_number(spark, workdir, monkeypatch):
+    monkeypatch.setattr("courtside.stores.FOLDERS_A_TASK", 5, raising=False)
+    df = spark.range(60).selectExpr("id AS player_id", "'x' AS team")
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    sc.setJobGroup("land", "land")
+    try:
+        land_snapshot(df, workdir, "shot_charts", "2024-25", "2025-01-01", by_player=True)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("land") for s in tracker.getJobInfo(j).stageIds]
+    assert 12 in [i.numTasks for i in map(tracker.getStageInfo, stages) if i]  # 60 folders settled, five a task; names alone are too few bytes for two tasks
+    assert len(os.listdir(f"{workdir}/shot_charts/season=2024-25/date=2025-01-01")) == 60
+
+
 def test_header_history_reads_first_lines_only(spark, workdir):
     from courtside.sources.headers import column_history, file_headers
     base = f"{workdir}/team_standings/season=2024-25"
